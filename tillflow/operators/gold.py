@@ -162,23 +162,50 @@ def gold_features_joined(purchases: DataFrame, cancellations: DataFrame,
     return g.select(*GOLD_COLUMNS)
 
 
+_TAG_COLS = [K, "ilgili_ID", "stock_code", "invoice_date", "total_price", "country"]
+
+
 def gold_features(purchases: DataFrame, cancellations: DataFrame,
                   split: Column | None = None, require_target: bool = True) -> DataFrame:
-    """C3 as one aggregation per customer.
+    """C3 as one aggregation per customer, from the two Silver tables.
 
     Rows are tagged f (feature purchase), t (target purchase) or c (feature
-    cancellation) and aggregated once. Sums, min/max and the two modes are
-    combined map-side; each distinct count is planned by Spark as an Expand
-    keyed by (customer, value), so a customer holding a large share of rows
-    is still spread over many reducers.
+    cancellation) and aggregated once (see ``aggregate_tagged``).
     """
     split = split if split is not None else split_column(purchases)
     ts = F.col("invoice_date")
-    cols = [K, "ilgili_ID", "stock_code", "invoice_date", "total_price", "country"]
-    tagged = (purchases.select(*cols, F.when(ts < split, F.lit("f"))
+    tagged = (purchases.select(*_TAG_COLS, F.when(ts < split, F.lit("f"))
                                .when(ts >= split, F.lit("t")).alias("_p"))
-              .unionByName(cancellations.filter(ts < split).select(*cols, F.lit("c").alias("_p")))
-              .filter(F.col("_p").isNotNull()))
+              .unionByName(cancellations.filter(ts < split).select(*_TAG_COLS, F.lit("c").alias("_p"))))
+    return aggregate_tagged(tagged, split, require_target)
+
+
+def gold_features_from_clean(clean: DataFrame, split: Column | None = None,
+                             require_target: bool = True) -> DataFrame:
+    """C3 from the cleaned (not yet split) Silver rows: one scan, one de-duplication.
+
+    The purchase / cancellation predicates of the Silver split are applied as
+    tags, so three-valued logic is kept: a null event type tags nothing.
+    """
+    from tillflow.operators.silver import purchases as purchase_rows
+    split = split if split is not None else split_column(purchase_rows(clean))
+    ts = F.col("invoice_date")
+    is_p = ~F.col("is_cancellation") & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
+    is_c = F.col("is_cancellation")
+    tag = (F.when(is_p & (ts < split), F.lit("f")).when(is_p & (ts >= split), F.lit("t"))
+            .when(is_c & (ts < split), F.lit("c")))
+    return aggregate_tagged(clean.select(*_TAG_COLS, tag.alias("_p")), split, require_target)
+
+
+def aggregate_tagged(tagged: DataFrame, split: Column, require_target: bool = True) -> DataFrame:
+    """The one-pass Gold aggregate over rows tagged f / t / c.
+
+    Sums, min/max and the two modes are combined map-side; each distinct
+    count is planned by Spark as an Expand keyed by (customer, value), so a
+    customer holding a large share of rows is still spread over many reducers.
+    """
+    ts = F.col("invoice_date")
+    tagged = tagged.filter(F.col("_p").isNotNull())
     f, t, c = (F.col("_p") == x for x in ("f", "t", "c"))
     g = tagged.groupBy(K).agg(
         F.max(F.when(f, ts)).alias("_last"),

@@ -50,7 +50,7 @@ class Layers:
         return f, t, c, split
 
     def gold(self) -> DataFrame:
-        return gold.gold_features(self.purchases(), self.cancellations())
+        return gold.gold_features_from_clean(self.clean())
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:

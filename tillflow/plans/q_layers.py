@@ -138,7 +138,13 @@ FROM gold""", "gold")
 
 @query("gold_features", GOLD_SQL)
 def gold_features(spark, sf_dir):
-    """C3 flagship: one-pass Gold."""
+    """C3 flagship: one-pass Gold from the cleaned rows."""
+    return rounded(Layers(spark, sf_dir).gold())
+
+
+@query("gold_features_tables", GOLD_SQL)
+def gold_features_tables(spark, sf_dir):
+    """C3 one-pass from the two Silver tables (the API used on written tables)."""
     L = Layers(spark, sf_dir)
     return rounded(gold.gold_features(L.purchases(), L.cancellations()))
 
