@@ -19,17 +19,30 @@ def col_(c: str | Column) -> Column:
 
 
 def parse_ts(c: str | Column) -> Column:
-    """ISO string -> wall-clock timestamp; malformed text gives null (ANSI on)."""
-    return F.try_to_timestamp(col_(c)).cast("timestamp_ntz")
+    """ISO text -> wall-clock ``timestamp_ntz``; malformed text gives null (ANSI on).
+
+    All time helpers here use only field extraction, ``datediff`` and interval
+    arithmetic on ``timestamp_ntz``, which do not depend on the session time
+    zone (``date_format`` / ``timestamp_diff`` do, around DST gaps).
+    """
+    return col_(c).try_cast("timestamp_ntz")
+
+
+def _when_present(ts: Column, value: Column) -> Column:
+    return F.when(ts.isNotNull(), value)
 
 
 def iso_seconds(c: str | Column) -> Column:
     """Timestamp -> ``yyyy-MM-ddTHH:mm:ss`` text."""
-    return F.date_format(col_(c), ISO_SECONDS)
+    ts = col_(c)
+    return _when_present(ts, F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", F.year(ts), F.month(ts),
+                                             F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts)))
 
 
 def year_month(c: str | Column) -> Column:
-    return F.date_format(col_(c), "yyyy-MM")
+    """Timestamp -> ``yyyy-MM`` month key."""
+    ts = col_(c)
+    return _when_present(ts, F.format_string("%04d-%02d", F.year(ts), F.month(ts)))
 
 
 def weekday_name(dow: str | Column) -> Column:
@@ -37,20 +50,31 @@ def weekday_name(dow: str | Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), col_(dow))
 
 
+def _second_of_day(ts: Column) -> Column:
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.date_part(F.lit("SECOND"), ts)
+
+
 def whole_days_between(start: str | Column, end: str | Column) -> Column:
     """Whole days from start to end (floor for end >= start), like ``timedelta.days``."""
-    secs = F.unix_micros(col_(end).cast("timestamp")) - F.unix_micros(col_(start).cast("timestamp"))
-    return F.floor(secs / F.lit(86_400_000_000)).cast("long")
+    a, b = col_(start), col_(end)
+    secs = F.datediff(b, a) * 86400 + (_second_of_day(b) - _second_of_day(a))
+    return F.floor(secs / F.lit(86400)).cast("long")
 
 
 def add_days(ts: str | Column, days: Column) -> Column:
     return col_(ts) + F.make_dt_interval(days=days.cast("int"))
 
 
+def truncate_seconds(ts: str | Column) -> Column:
+    t = col_(ts)
+    sec = F.date_part(F.lit("SECOND"), t)
+    return t - F.make_dt_interval(secs=sec - F.floor(sec))
+
+
 def split_instant(min_ts: str | Column, max_ts: str | Column, share: float) -> Column:
     """``min + floor(whole_days * share)`` days, truncated to the second."""
     d = F.floor(whole_days_between(min_ts, max_ts) * F.lit(share))
-    return F.date_trunc("second", add_days(min_ts, d)).cast("timestamp_ntz")
+    return truncate_seconds(add_days(min_ts, d)).cast("timestamp_ntz")
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.functions import iso_seconds
+from tillflow.functions import iso_seconds, parse_ts
 from tillflow.sources.schemas import (
     CANCEL_PREFIX, CANCELLATION, DEFAULT_TOPIC, PURCHASE, SOURCE_COLUMNS, TOPIC_PARTITIONS,
 )
@@ -104,7 +104,7 @@ def bronze_batch(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) -
     """
     msgs = to_messages(transactions(spark, sf_dir))
     key = F.coalesce(F.col("kullanici_ID"), F.lit(0))
-    ts = F.try_to_timestamp(F.col("invoice_date")).cast("timestamp_ntz")
+    ts = parse_ts("invoice_date")
     return msgs.select(
         F.lit(topic).alias("kafka_topic"),
         F.pmod(key, F.lit(TOPIC_PARTITIONS)).cast("int").alias("kafka_partition"),
