@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators import gold, silver
+from tillflow.session import ensure_checkpoint_dir
 from tillflow.sources.tables import bronze_batch, transactions
 
 
@@ -52,6 +53,13 @@ class Layers:
     def gold(self) -> DataFrame:
         return gold.gold_features_from_clean(self.clean())
 
+    def gold_materialized(self) -> DataFrame:
+        """Gold written to the shared checkpoint folder, for queries that read it several
+        times (quantile bounds, ranges, then the rows): the lineage runs once and a lost
+        executor re-reads the checkpoint instead of recomputing Silver."""
+        ensure_checkpoint_dir(self.spark)
+        return self.gold().checkpoint(eager=True)
+
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
     """Round every double column (D9: sum order differs between engines)."""

@@ -29,7 +29,7 @@ def trained(spark, sf_dir) -> ml.Trained:
     ensure_checkpoint_dir(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        _TRAINED[key] = ml.train_all(Layers(spark, sf_dir).gold())
+        _TRAINED[key] = ml.train_all(Layers(spark, sf_dir).gold_materialized())
     return _TRAINED[key]
 
 
@@ -41,13 +41,13 @@ SELECT kullanici_ID, recency_days, frequency, round(monetary, 4) AS monetary,
 FROM trim_t1 WHERE monetary <= (SELECT quantile_cont(monetary, 0.99) FROM trim_t1)""", "trim_t1"))
 def outlier_trim(spark, sf_dir):
     """M1/M2 with exact quantiles: positive target, target <= p99, monetary <= p99."""
-    return rounded(ml.outlier_trim(Layers(spark, sf_dir).gold()))
+    return rounded(ml.outlier_trim(Layers(spark, sf_dir).gold_materialized()))
 
 
 @query("train_test_split")
 def train_test_split(spark, sf_dir):
     """M3: trimmed Gold with a repeatable 80/20 hash split on the customer key."""
-    return rounded(ml.train_test_split(ml.outlier_trim(Layers(spark, sf_dir).gold())))
+    return rounded(ml.train_test_split(ml.outlier_trim(Layers(spark, sf_dir).gold_materialized())))
 
 
 @query("ml_features")

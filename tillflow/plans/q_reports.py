@@ -347,13 +347,13 @@ def spend_histogram(spark, sf_dir):
 
 @query("rfm_histograms", q(_hist_sql("gold", RFM_BINS), "gold"))
 def rfm_histograms(spark, sf_dir):
-    return rounded(profile.histograms(Layers(spark, sf_dir).gold(), RFM_BINS))
+    return rounded(profile.histograms(Layers(spark, sf_dir).gold_materialized(), RFM_BINS))
 
 
 @query("target_log_histogram", q(_hist_sql("gold", TARGET_BINS,
                                            {"log1p_future_spending": "ln(1 + future_spending)"}), "gold"))
 def target_log_histogram(spark, sf_dir):
-    g = Layers(spark, sf_dir).gold().withColumn("log1p_future_spending", F.log1p("future_spending"))
+    g = Layers(spark, sf_dir).gold_materialized().withColumn("log1p_future_spending", F.log1p("future_spending"))
     return rounded(profile.histograms(g, TARGET_BINS))
 
 

@@ -36,6 +36,9 @@ def build_session(master: str | None = None, app_name: str = "tillflow",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # per-customer modes keep small maps (<= 24 hours, a few countries) per key; a larger
+        # hash table before the sort-based fallback stays bounded (keys x small buffers)
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
