@@ -28,21 +28,20 @@ def parse_ts(c: str | Column) -> Column:
     return col_(c).try_cast("timestamp_ntz")
 
 
-def _when_present(ts: Column, value: Column) -> Column:
-    return F.when(ts.isNotNull(), value)
+def _wall_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.f]`` text of a wall-clock timestamp (no zone involved)."""
+    return ts.cast("timestamp_ntz").cast("string")
 
 
 def iso_seconds(c: str | Column) -> Column:
     """Timestamp -> ``yyyy-MM-ddTHH:mm:ss`` text."""
-    ts = col_(c)
-    return _when_present(ts, F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", F.year(ts), F.month(ts),
-                                             F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts)))
+    t = _wall_text(col_(c))
+    return F.concat(F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 8))
 
 
 def year_month(c: str | Column) -> Column:
     """Timestamp -> ``yyyy-MM`` month key."""
-    ts = col_(c)
-    return _when_present(ts, F.format_string("%04d-%02d", F.year(ts), F.month(ts)))
+    return F.substring(_wall_text(col_(c)), 1, 7)
 
 
 def weekday_name(dow: str | Column) -> Column:
