@@ -76,6 +76,30 @@ def split_instant(min_ts: str | Column, max_ts: str | Column, share: float) -> C
     return truncate_seconds(add_days(min_ts, d)).cast("timestamp_ntz")
 
 
+def literal_row(df) -> dict[str, Column]:
+    """Run a one-row result (an aggregate) and return its fields as typed literals.
+
+    Used for bounds a plan needs before it can run (the split instant, quantile
+    bounds, histogram ranges): one small row crosses to the driver, and the
+    literal can be pushed into scans. A scalar subquery would keep the plan
+    lazy, but adaptive execution does not reuse it, so every reference would
+    recompute the whole input. Nested fields come back as a dict of literals.
+    """
+    from pyspark.sql import types as T
+    row = df.first()
+
+    def lit(v, dt):
+        if isinstance(dt, T.StructType):
+            return {f.name: lit(None if v is None else v[f.name], f.dataType) for f in dt.fields}
+        if v is None:
+            return F.lit(None).cast(dt)
+        if isinstance(dt, T.TimestampNTZType):
+            return F.lit(v.isoformat()).try_cast("timestamp_ntz")
+        return F.lit(v).cast(dt)
+
+    return {f.name: lit(None if row is None else row[f.name], f.dataType) for f in df.schema.fields}
+
+
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den, null when den is 0 or null (no ANSI error)."""
     return F.try_divide(num, den)

@@ -13,12 +13,10 @@ Two plan shapes give the same table:
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.functions import safe_ratio, split_instant, whole_days_between, year_month
+from tillflow.functions import literal_row, safe_ratio, split_instant, whole_days_between, year_month
 from tillflow.sources.schemas import CUSTOMER, FEATURE_SHARE, GOLD_COLUMNS
 
 K = CUSTOMER
@@ -42,23 +40,15 @@ def split_point(purchases: DataFrame, share: float = FEATURE_SHARE) -> DataFrame
 
 
 def split_column(purchases: DataFrame, share: float = FEATURE_SHARE) -> Column:
-    """The split instant as a scalar subquery: computed once per query, no driver round trip."""
-    return split_point(purchases, share).select("split_at").scalar()
+    """The split instant as a literal (one aggregate row collected).
 
+    A literal bound is pushed into a Parquet scan of a written Silver table
+    (``PushedFilters``) and is evaluated once, wherever the plan uses it.
+    """
+    return literal_row(split_point(purchases, share).select("split_at"))["split_at"]
 
-def split_literal(purchases: DataFrame, share: float = FEATURE_SHARE) -> Column:
-    """The split instant collected as a literal.
 
-    A literal bound can be pushed into a Parquet scan of a written Silver table
-    (``PushedFilters``); only a one-row aggregate crosses to the driver.
-    """
-    v = split_point(purchases, share).select("split_at").first()
-    at = v[0] if v else None
-    if at is None:
-        return F.lit(None).cast("timestamp_ntz")
-    if isinstance(at, _dt.datetime):
-        at = at.replace(tzinfo=None)
-    return F.lit(at).cast("timestamp_ntz")
+split_literal = split_column
 
 
 def temporal_split(purchases: DataFrame, cancellations: DataFrame, split: Column):

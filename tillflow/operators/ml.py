@@ -21,6 +21,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillflow.functions import literal_row
 from tillflow.operators.profile import exact_quantiles
 from tillflow.sources.schemas import CUSTOMER
 
@@ -63,8 +64,8 @@ def outlier_trim(gold: DataFrame, q: float = TRIM_QUANTILE, trim_monetary: bool
     """
     def bound(df: DataFrame, c: str) -> Column:
         if exact:
-            return exact_quantiles(df, c, [q], ["b"]).select("b").scalar()
-        return df.agg(F.percentile_approx(c, q, 100).alias("b")).select("b").scalar()
+            return literal_row(exact_quantiles(df, c, [q], ["b"]))["b"]
+        return literal_row(df.agg(F.percentile_approx(c, q, 100).alias("b")))["b"]
 
     pos = gold.filter(F.col(TARGET) > 0)
     kept = pos.filter(F.col(TARGET) <= bound(pos, TARGET))
@@ -167,7 +168,7 @@ def model_metrics(trained: Trained) -> DataFrame:
 def leaderboard(trained: Trained) -> DataFrame:
     """Models by RMSE (ties: name), with rank and the best model flagged."""
     m = model_metrics(trained)
-    best = m.agg(F.min_by("model", F.struct("rmse", "model")).alias("b")).select("b").scalar()
+    best = literal_row(m.agg(F.min_by("model", F.struct("rmse", "model")).alias("b")))["b"]
     return m.select("model", "rmse", "mae", "r2", "fit_seconds", (F.col("model") == best).alias("is_best")) \
             .orderBy("rmse", "model")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.functions import bias_corrected_skew, pct
+from tillflow.functions import bias_corrected_skew, literal_row, pct
 
 
 # --------------------------------------------------------------- quantiles
@@ -109,9 +109,8 @@ def describe_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
                       F.stddev_samp(c).cast("double").alias("std"),
                       F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
         qs = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-        s = qs.select(F.struct("p25", "p50", "p75")).scalar()
-        row = base.select(F.lit(c).alias("column_name"), "*",
-                          *[s.getField(x).alias(x) for x in ("p25", "p50", "p75")])
+        s = literal_row(qs)
+        row = base.select(F.lit(c).alias("column_name"), "*", *[s[x].alias(x) for x in ("p25", "p50", "p75")])
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -153,8 +152,8 @@ def histogram(df: DataFrame, column: str | Column, bins: int, label: str | None
     rng = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     rng = rng.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                      F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
-    r = rng.select(F.struct("lo", "hi")).scalar()
-    lo, hi = r.getField("lo"), r.getField("hi")
+    r = literal_row(rng)
+    lo, hi = r["lo"], r["hi"]
     idx = F.least(F.floor((F.col("x") - lo) * F.lit(bins) / (hi - lo)).cast("int"), F.lit(bins - 1))
     counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count("*").alias("count"))
     # the bin axis has exactly `bins` rows: a proven bound for the broadcast
@@ -183,10 +182,10 @@ def histograms(df: DataFrame, spec: dict[str, int]) -> DataFrame:
         F.when(F.col(f"{c}.lo") == F.col(f"{c}.hi"), F.col(f"{c}.lo") - 0.5).otherwise(F.col(f"{c}.lo")).alias("lo"),
         F.when(F.col(f"{c}.lo") == F.col(f"{c}.hi"), F.col(f"{c}.hi") + 0.5).otherwise(F.col(f"{c}.hi")).alias("hi"),
     ).alias(c) for c in names])
-    r = widened.select(F.struct(*names)).scalar()
+    r = literal_row(widened)
 
     def idx(c: str) -> Column:
-        lo, hi, k = r.getField(c).getField("lo"), r.getField(c).getField("hi"), spec[c]
+        lo, hi, k = r[c]["lo"], r[c]["hi"], spec[c]
         x = F.col(c).cast("double")
         return F.least(F.floor((x - lo) * F.lit(k) / (hi - lo)).cast("int"), F.lit(k - 1))
 
@@ -200,8 +199,8 @@ def histograms(df: DataFrame, spec: dict[str, int]) -> DataFrame:
     lo = F.lit(None).cast("double")
     hi = F.lit(None).cast("double")
     for c in names:
-        lo = F.when(F.col("feature") == c, r.getField(c).getField("lo")).otherwise(lo)
-        hi = F.when(F.col("feature") == c, r.getField(c).getField("hi")).otherwise(hi)
+        lo = F.when(F.col("feature") == c, r[c]["lo"]).otherwise(lo)
+        hi = F.when(F.col("feature") == c, r[c]["hi"]).otherwise(hi)
     out = F.broadcast(axis).join(counts, ["feature", "bin"], "left").select(
         "feature", "bin",
         (lo + F.col("bin") * (hi - lo) / F.col("k")).alias("bin_start"),
@@ -215,7 +214,7 @@ def spend_summary(values: DataFrame, column: str) -> DataFrame:
     med = exact_quantiles(values, column, [0.5], ["median"])
     return values.agg(F.count(column).alias("count"), F.avg(column).alias("mean"),
                       F.stddev_samp(column).alias("std"), F.max(column).alias("max")) \
-                 .select("count", med.select("median").scalar().alias("median"), "mean", "std", "max")
+                 .select("count", literal_row(med)["median"].alias("median"), "mean", "std", "max")
 
 
 def skew_summary(df: DataFrame, column: str) -> DataFrame:
@@ -227,8 +226,8 @@ def skew_summary(df: DataFrame, column: str) -> DataFrame:
 def boxplot_stats(df: DataFrame, column: str) -> DataFrame:
     """Quartiles, IQR, 1.5*IQR fences, whisker ends and outlier count."""
     q = exact_quantiles(df, column, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    s = q.select(F.struct("q1", "median", "q3")).scalar()
-    q1, med, q3 = (s.getField(x) for x in ("q1", "median", "q3"))
+    s = literal_row(q)
+    q1, med, q3 = (s[x] for x in ("q1", "median", "q3"))
     iqr = q3 - q1
     lo_f, hi_f = q1 - 1.5 * iqr, q3 + 1.5 * iqr
     x = F.col(column)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.functions import pct, weekday_name, year_month
+from tillflow.functions import literal_row, pct, weekday_name, year_month
 from tillflow.operators.profile import exact_quantiles
 
 K = "kullanici_ID"
@@ -77,7 +77,7 @@ def invoices_per_customer(tx: DataFrame) -> DataFrame:
     med = exact_quantiles(per, "invoices", [0.5], ["median"])
     return per.agg(F.count("*").alias("customers"), F.avg("invoices").alias("mean"),
                    F.max("invoices").alias("max")) \
-              .select("customers", "mean", med.select("median").scalar().alias("median"), "max")
+              .select("customers", "mean", literal_row(med)["median"].alias("median"), "max")
 
 
 # -------------------------------------------------------------- products
@@ -147,7 +147,7 @@ def cancellation_summary(purch: DataFrame, canc: DataFrame) -> DataFrame:
     """Counts, rate and absolute cancelled amount (0 when empty)."""
     c = canc.agg(F.count("*").alias("cancellations"),
                  F.abs(F.coalesce(F.sum("total_price"), F.lit(0.0))).alias("cancelled_amount"))
-    p = purch.agg(F.count("*").alias("n")).select("n").scalar()
+    p = literal_row(purch.agg(F.count("*").alias("n")))["n"]
     return c.select("cancellations", p.alias("purchases"),
                     pct(F.col("cancellations"), F.col("cancellations") + p).alias("cancellation_rate_pct"),
                     "cancelled_amount")
@@ -205,8 +205,8 @@ def event_type_counts(bronze: DataFrame) -> DataFrame:
 
 def dashboard_kpis(purch: DataFrame, canc: DataFrame, gold: DataFrame) -> DataFrame:
     """The KPI row as one aggregate; no table reaches the driver."""
-    nc = canc.agg(F.count("*")).scalar()
-    ng = gold.agg(F.count("*")).scalar()
+    nc = literal_row(canc.agg(F.count("*").alias("n")))["n"]
+    ng = literal_row(gold.agg(F.count("*").alias("n")))["n"]
     return purch.agg(
         F.count("*").alias("purchases"), F.count_distinct("country").alias("countries"),
         F.to_date(F.min("invoice_date")).alias("first_date"), F.to_date(F.max("invoice_date")).alias("last_date"),
