@@ -31,37 +31,39 @@ def order_key(v: Column) -> Column:
 
 
 def exact_quantiles(df: DataFrame, column: str | Column, probs: list[float],
-                    names: list[str] | None = None) -> DataFrame:
+                    names: list[str] | None = None, groups: list[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``percentile`` semantics).
 
-    Distributed selection; no task holds all values:
+    Distributed selection; no task holds all values of a group:
 
-    1. ``groupBy(value).count`` collapses repeats map-side (a value held by a
-       third of the rows becomes one row);
-    2. values are grouped into order-preserving buckets (``order_key``) and each
+    1. ``groupBy(groups, value).count`` collapses repeats map-side (a value
+       held by a third of the rows becomes one row);
+    2. values are put into order-preserving buckets (``order_key``) and each
        bucket computes a running count over its sorted values;
-    3. the bucket totals (bounded by the key range, ~1.07M rows at most) give
-       each bucket its rank offset and the total count;
-    4. only the rows whose rank span covers a wanted rank are kept, and one
-       small aggregate interpolates.
-
-    The plan has no subquery and is deterministic, so callers may refer to
-    its scalar result several times and Spark evaluates it once. Returns one
-    row, one column per probability (null for empty input).
+    3. bucket totals (per group at most ~1.07M rows, the key range) give each
+       bucket its rank offset and the group size;
+    4. only rows whose rank span covers a wanted rank are kept, and one small
+       aggregate per group interpolates.
+
+    Without ``groups`` the offset table has a proven bound and is broadcast;
+    with groups its size grows with the number of groups, so the join is left
+    to the planner. Returns one row per group (one row, null values, for an
+    empty input without groups).
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
+    g = list(groups or [])
     c = F.col(column) if isinstance(column, str) else column
-    vals = df.select(c.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = vals.groupBy("v").agg(F.count("*").alias("c")).withColumn("_b", order_key(F.col("v")))
-    run = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    vals = df.select(*g, c.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = vals.groupBy(*g, "v").agg(F.count("*").alias("c")).withColumn("_b", order_key(F.col("v")))
+    run = Window.partitionBy(*g, "_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     bucketed = counts.withColumn("_run", F.sum("c").over(run))
-    totals = bucketed.groupBy("_b").agg(F.sum("c").alias("_bc"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
-                            F.sum("_bc").over(Window.partitionBy()).alias("_n"))
+    totals = bucketed.groupBy(*g, "_b").agg(F.sum("c").alias("_bc"))
+    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_bc").over(Window.partitionBy(*g)).alias("_n"))
     # each row covers the 0-based ranks [_start, _end)
-    pos = bucketed.join(F.broadcast(offsets), "_b").select(
-        "v", "_n", (F.col("_off") + F.col("_run") - F.col("c")).alias("_start"),
+    pos = bucketed.join(offsets if g else F.broadcast(offsets), g + ["_b"]).select(
+        *g, "v", "_n", (F.col("_off") + F.col("_run") - F.col("c")).alias("_start"),
         (F.col("_off") + F.col("_run")).alias("_end"))
     h = [F.lit(p) * (F.col("_n") - 1) for p in probs]
     lo = [F.floor(x) for x in h]
@@ -77,13 +79,13 @@ def exact_quantiles(df: DataFrame, column: str | Column, probs: list[float],
     for i, (a, b) in enumerate(zip(lo, hi)):
         aggs += [F.max(F.when(covers(a), F.col("v"))).alias(f"_a{i}"),
                  F.max(F.when(covers(b), F.col("v"))).alias(f"_b{i}")]
-    picked = pos.filter(keep).agg(*aggs)
+    picked = pos.filter(keep).groupBy(*g).agg(*aggs)
     out = []
     for i, (p, name) in enumerate(zip(probs, names)):
         x = F.lit(p) * (F.col("_n") - 1)
         va, vb = F.col(f"_a{i}"), F.col(f"_b{i}")
         out.append((va + (x - F.floor(x)) * (vb - va)).alias(name))
-    return picked.select(*out)
+    return picked.select(*g, *out)
 
 
 # ------------------------------------------------------------------ profiles
@@ -102,17 +104,19 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def describe_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pandas-style describe (count, mean, std, min, 25/50/75 %, max)."""
-    out = None
-    for c in columns:
-        base = df.agg(F.count(c).alias("count"), F.avg(c).cast("double").alias("mean"),
-                      F.stddev_samp(c).cast("double").alias("std"),
-                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        qs = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-        s = literal_row(qs)
-        row = base.select(F.lit(c).alias("column_name"), "*", *[s[x].alias(x) for x in ("p25", "p50", "p75")])
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Pandas-style describe (count, mean, std, min, 25/50/75 %, max) of several columns.
+
+    The columns are unpivoted to (column_name, value) once, so the moments and
+    the grouped exact quantiles of all columns come from one scan.
+    """
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                 F.col(c).cast("double").alias("value")) for c in columns])))
+    stats = long.groupBy("column_name").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], groups=["column_name"])
+    # one row per described column on both sides
+    return stats.join(qs, "column_name", "left")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
