@@ -86,3 +86,30 @@ def test_schema_report(spark):
     rows = store.schema_report(g, "gold").collect()
     assert [r["column_name"] for r in rows] == g.columns
     assert {r["column_name"]: r["data_type"] for r in rows}["recency_days"] == "int"
+
+
+def test_gold_invariants_and_trim_options(spark):
+    g = Layers(spark, SF).gold()
+    bad = g.filter(F.abs(F.col("monetary") - F.col("frequency") * F.col("avg_basket_value")) > 1e-6 * F.abs("monetary"))
+    assert bad.count() == 0
+    exact = ml.outlier_trim(g)
+    approx = ml.outlier_trim(g, exact=False)
+    n = g.filter(F.col("future_spending") > 0).count()
+    assert 0 < exact.count() <= n and 0 < approx.count() <= n
+    only_target = ml.outlier_trim(g, trim_monetary=False)
+    assert only_target.count() >= exact.count()
+
+
+def test_bounded_stream_batches(spark):
+    from tillflow.sources.tables import to_messages, transactions
+    from tillflow.streaming import bronze as stream
+    root = tempfile.mkdtemp(prefix="tillflow-bounded-")
+    recs = stream.feed_records(to_messages(transactions(spark, SF)))
+    for part in range(3):
+        stream.write_feed(recs.filter(F.pmod(F.col("offset"), F.lit(3)) == part), os.path.join(root, "feed"))
+    q = stream.start_ingest(stream.read_stream(spark, "files", os.path.join(root, "feed"), max_files_per_trigger=1),
+                            os.path.join(root, "out"), os.path.join(root, "ckpt"))
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) >= 3
+    assert spark.read.parquet(os.path.join(root, "out")).count() == recs.count()
