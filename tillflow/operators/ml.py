@@ -55,13 +55,23 @@ def _estimator(name: str):
 
 # ------------------------------------------------------------ preparation
 def outlier_trim(gold: DataFrame, q: float = TRIM_QUANTILE, trim_monetary: bool = True,
-                 exact: bool = True) -> DataFrame:
+                 exact: bool = True, bound_before_positive: bool = False) -> DataFrame:
     """M1/M2: positive targets, then target <= its q-quantile, then monetary <= its q-quantile.
 
     ``exact`` uses the distributed exact quantile (deterministic, oracle-equal);
     otherwise ``percentile_approx`` with relative error 0.01 as in the
     original job's ``approxQuantile`` (which may return the maximum).
+    ``bound_before_positive`` with ``trim_monetary=False`` is the training
+    script's order: the target bound is taken over all rows, then both filters.
     """
+    if bound_before_positive:
+        b = (literal_row(exact_quantiles(gold, TARGET, [q], ["b"]))["b"] if exact
+             else literal_row(gold.agg(F.percentile_approx(TARGET, q, 100).alias("b")))["b"])
+        kept = gold.filter(F.col(TARGET) <= b).filter(F.col(TARGET) > 0)
+        if trim_monetary:
+            kept = kept.filter(F.col("monetary") <= literal_row(exact_quantiles(kept, "monetary", [q], ["b"]))["b"])
+        return kept
+
     def bound(df: DataFrame, c: str) -> Column:
         if exact:
             return literal_row(exact_quantiles(df, c, [q], ["b"]))["b"]
@@ -74,6 +84,16 @@ def outlier_trim(gold: DataFrame, q: float = TRIM_QUANTILE, trim_monetary: bool
     return kept
 
 
+def trim_funnel(gold: DataFrame, q: float = TRIM_QUANTILE) -> DataFrame:
+    """E17 (training part): rows after each trimming step, as (step, position, row_count)."""
+    from tillflow.operators.reports import step_counts
+    pos = gold.filter(F.col(TARGET) > 0)
+    t1 = pos.filter(F.col(TARGET) <= literal_row(exact_quantiles(pos, TARGET, [q], ["b"]))["b"])
+    t2 = t1.filter(F.col("monetary") <= literal_row(exact_quantiles(t1, "monetary", [q], ["b"]))["b"])
+    return step_counts([("gold", gold), ("positive_target", pos), ("target_trimmed", t1),
+                        ("monetary_trimmed", t2)])
+
+
 def split_column(seed: int = SEED, train_share: int = TRAIN_SHARE) -> Column:
     """M3: hash split on the customer key: repeatable whatever the partitioning."""
     h = F.pmod(F.xxhash64(F.col(CUSTOMER), F.lit(seed)), F.lit(100))

@@ -44,6 +44,30 @@ def outlier_trim(spark, sf_dir):
     return rounded(ml.outlier_trim(Layers(spark, sf_dir).gold_materialized()))
 
 
+@query("trim_funnel", q("""
+SELECT 'gold' AS step, 0 AS position, count(*) AS row_count FROM gold
+UNION ALL SELECT 'positive_target', 1, count(*) FROM trim_pos
+UNION ALL SELECT 'target_trimmed', 2, count(*) FROM trim_t1
+UNION ALL SELECT 'monetary_trimmed', 3, count(*) FROM trim_t1
+  WHERE monetary <= (SELECT quantile_cont(monetary, 0.99) FROM trim_t1)""", "gold", "trim_t1"))
+def trim_funnel(spark, sf_dir):
+    """Rows after each step of the training-set trimming."""
+    return ml.trim_funnel(Layers(spark, sf_dir).gold_materialized())
+
+
+@query("outlier_trim_script", q("""
+SELECT kullanici_ID, recency_days, frequency, round(monetary, 4) AS monetary,
+       round(avg_basket_value, 4) AS avg_basket_value,
+       round(avg_days_between_purchases, 4) AS avg_days_between_purchases, unique_products,
+       cancellation_count, active_months, most_active_hour, country, round(future_spending, 4) AS future_spending
+FROM gold WHERE future_spending <= (SELECT quantile_cont(future_spending, 0.99) FROM gold) AND future_spending > 0""",
+                                   "gold"))
+def outlier_trim_script(spark, sf_dir):
+    """M1/M2 in the training script's order: target bound over all rows, then > 0 (exact quantile)."""
+    g = Layers(spark, sf_dir).gold_materialized()
+    return rounded(ml.outlier_trim(g, trim_monetary=False, bound_before_positive=True))
+
+
 @query("train_test_split")
 def train_test_split(spark, sf_dir):
     """M3: trimmed Gold with a repeatable 80/20 hash split on the customer key."""

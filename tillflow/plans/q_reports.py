@@ -386,3 +386,27 @@ def _corr_sql() -> str:
 @query("feature_correlation", q(_corr_sql(), "gold"))
 def feature_correlation(spark, sf_dir):
     return rounded(profile.correlation_matrix(Layers(spark, sf_dir).gold(), GOLD_NUMERIC), 6)
+
+
+def _describe_sql(source: str, cols: list[str]) -> str:
+    return _union([f"""
+SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+       round(CAST(min({c}) AS DOUBLE), 4) AS min, round(CAST(max({c}) AS DOUBLE), 4) AS max,
+       round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50,
+       round(quantile_cont({c}, 0.75), 4) AS p75 FROM {source}""" for c in cols])
+
+
+CUSTOMER_STAT_COLS = ["row_count", "invoice_count", "total_spend", "unique_products"]
+
+
+@query("describe_gold", q(_describe_sql("gold", GOLD_NUMERIC), "gold"))
+def describe_gold(spark, sf_dir):
+    """E1/E2 on the Gold features (count, mean, std, min, quartiles, max per column)."""
+    return rounded(profile.describe_quartiles(Layers(spark, sf_dir).gold_materialized(), GOLD_NUMERIC))
+
+
+@query("describe_customer_stats", q(_describe_sql("cstats", CUSTOMER_STAT_COLS), "cstats"))
+def describe_customer_stats(spark, sf_dir):
+    """E2 on the per-customer profile (rows, invoices, spend, products)."""
+    stats = reports.customer_stats(Layers(spark, sf_dir).purchases())
+    return rounded(profile.describe_quartiles(stats, CUSTOMER_STAT_COLS))
