@@ -54,6 +54,8 @@ def train_job(spark: SparkSession, lake: str, fmt: str = "parquet", model_dir: s
     """C4: Gold -> five regressors -> run log (and saved models)."""
     t = ml.train_all(store.read_layer(spark, lake, "gold", fmt))
     metrics = [r.asDict() for r in ml.model_metrics(t).collect()]  # one row per model
+    for r in metrics:
+        r["train_rows"] = t.prepared.filter("split = 'train'").count() if r is metrics[0] else metrics[0]["train_rows"]
     store.log_runs(spark, lake, ml.run_records(t, metrics))
     if model_dir:
         for name, m in t.models.items():
