@@ -54,11 +54,14 @@ def build_session(master: str | None = None, app_name: str = "tillflow",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The value of ``spark.checkpoint.dir`` wins. Only when it is unset (local
-    tests) a scratch folder is created and registered.
+    The value of ``spark.checkpoint.dir`` wins. Only when it is unset in local
+    mode (tests) a scratch folder is created and registered; on a cluster an
+    unset value is an error rather than a machine-local folder.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_CONF} is not set: name a folder every executor can reach")
         path = tempfile.mkdtemp(prefix="tillflow-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -18,10 +18,14 @@ from tillflow.sources.schemas import PUBLISH_LOG_SCHEMA, RUN_LOG_SCHEMA
 LOG_DIR = "_publish_log"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether a table folder can be read (a missing path raises at analysis, no job runs)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.format(fmt).load(path).schema
+        return True
+    except AnalysisException:
+        return False
 
 
 def publish(df: DataFrame, root: str, table: str, fmt: str = "parquet",
@@ -71,7 +75,7 @@ def layer_counts(spark: SparkSession, root: str, tables: list[str], fmt: str = "
     out = None
     for t in tables:
         path = os.path.join(root, t)
-        if not _exists(spark, path):
+        if not _exists(spark, path, fmt):
             continue
         r = spark.read.format(fmt).load(path).agg(F.count("*").alias("row_count")) \
                  .select(F.lit(t).alias("layer"), "row_count")
