@@ -62,6 +62,21 @@ def cancellations(clean: DataFrame) -> DataFrame:
     return clean.filter(F.col("is_cancellation"))
 
 
+SILVER_TABLE = "silver_table"
+
+
+def with_silver_table(clean: DataFrame) -> DataFrame:
+    """U3 as one column: which Silver table a cleaned row belongs to (null: neither).
+
+    Writing the cleaned rows once, partitioned by this column, gives both
+    tables from one evaluation and one write; each table is then a partition
+    that readers select by partition pruning.
+    """
+    is_p = ~F.col("is_cancellation") & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
+    tag = F.when(is_p, F.lit("purchases")).when(F.col("is_cancellation"), F.lit("cancellations"))
+    return clean.withColumn(SILVER_TABLE, tag)
+
+
 def silver_tables(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     clean = silver_clean(silver_typed(bronze))
     return purchases(clean), cancellations(clean)

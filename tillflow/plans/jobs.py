@@ -18,7 +18,7 @@ from tillflow.operators import gold, ml, silver
 from tillflow.sources import store
 from tillflow.sources.tables import bronze_batch
 
-LAYERS = ["bronze", "silver_purchases", "silver_cancellations", "gold"]
+LAYERS = ["bronze", "silver/silver_table=purchases", "silver/silver_table=cancellations", "gold"]
 
 
 def bronze_job(spark: SparkSession, sf_dir: str, lake: str, fmt: str = "parquet") -> int:
@@ -26,26 +26,38 @@ def bronze_job(spark: SparkSession, sf_dir: str, lake: str, fmt: str = "parquet"
     return store.publish(bronze_batch(spark, sf_dir), lake, "bronze", fmt)
 
 
+SILVER_FOLDER = "silver"
+SILVER_TABLES = {"purchases": "silver_purchases", "cancellations": "silver_cancellations"}
+
+
+def silver_path(table: str) -> str:
+    """Folder of a Silver table inside the lake: a partition of the one Silver write."""
+    value = {v: k for k, v in SILVER_TABLES.items()}[table]
+    return f"{SILVER_FOLDER}/{silver.SILVER_TABLE}={value}"
+
+
 def silver_job(spark: SparkSession, lake: str, fmt: str = "parquet") -> dict:
     """Bronze -> typed -> cleaned -> purchases / cancellations.
 
-    The cleaned frame is checkpointed once, so both tables come from one
-    evaluation of the de-duplication (the original job evaluated it per action).
+    The cleaned rows are tagged with their table and written once, partitioned
+    by the tag: one evaluation of the de-duplication and one write for both
+    tables (the original job re-ran the de-duplication per action). Rows are
+    sorted by time inside each file (a local sort, no shuffle), so Parquet
+    min/max statistics let Gold's literal time bound skip row groups.
     """
     clean = silver.silver_clean(silver.silver_typed(store.read_layer(spark, lake, "bronze", fmt)))
-    clean = clean.checkpoint(eager=True)
-    # rows sorted by time inside each file (a local sort, no shuffle): Parquet min/max
-    # statistics then let Gold's literal time bound skip row groups
-    p = silver.purchases(clean).sortWithinPartitions("invoice_date")
-    c = silver.cancellations(clean).sortWithinPartitions("invoice_date")
-    return {"silver_purchases": store.publish(p, lake, "silver_purchases", fmt),
-            "silver_cancellations": store.publish(c, lake, "silver_cancellations", fmt)}
+    tagged = silver.with_silver_table(clean).sortWithinPartitions(silver.SILVER_TABLE, "invoice_date")
+    return store.publish_split(tagged, lake, SILVER_FOLDER, silver.SILVER_TABLE, SILVER_TABLES, fmt)
+
+
+def read_silver(spark: SparkSession, lake: str, table: str, fmt: str = "parquet"):
+    return store.read_layer(spark, lake, silver_path(table), fmt)
 
 
 def gold_job(spark: SparkSession, lake: str, fmt: str = "parquet", require_target: bool = True) -> int:
     """Silver tables -> Gold, with the split computed once and used as a literal."""
-    p = store.read_layer(spark, lake, "silver_purchases", fmt)
-    c = store.read_layer(spark, lake, "silver_cancellations", fmt)
+    p = read_silver(spark, lake, "silver_purchases", fmt)
+    c = read_silver(spark, lake, "silver_cancellations", fmt)
     split = gold.split_literal(p)
     return store.publish(gold.gold_features(p, c, split, require_target), lake, "gold", fmt)
 

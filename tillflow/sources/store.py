@@ -44,6 +44,28 @@ def publish(df: DataFrame, root: str, table: str, fmt: str = "parquet",
         w = w.partitionBy(*partition_by)
     w.save(path)
     rows = spark.read.format(fmt).load(path).count()
+    _log(spark, root, table, rows, path)
+    return rows
+
+
+def publish_split(df: DataFrame, root: str, folder: str, column: str, tables: dict[str, str],
+                  fmt: str = "parquet") -> dict[str, int]:
+    """K3 for tables that are partitions of one write: ``tables`` maps a value of
+    ``column`` to a table name. Rows with another value (or null) are not written.
+    Each table is logged with its own row count (from one grouped count)."""
+    spark = df.sparkSession
+    path = os.path.join(root, folder)
+    df.filter(F.col(column).isin(list(tables))).write.format(fmt).mode("overwrite").partitionBy(column).save(path)
+    counts = {r[column]: r["n"] for r in
+              spark.read.format(fmt).load(path).groupBy(column).agg(F.count("*").alias("n")).collect()}
+    out = {}
+    for value, table in tables.items():
+        out[table] = counts.get(value, 0)
+        _log(spark, root, table, out[table], f"{path}/{column}={value}")
+    return out
+
+
+def _log(spark: SparkSession, root: str, table: str, rows: int, path: str) -> None:
     log_path = os.path.join(root, LOG_DIR)
     version = 0
     if _exists(spark, log_path):
@@ -54,7 +76,6 @@ def publish(df: DataFrame, root: str, table: str, fmt: str = "parquet",
                                     "WRITE" if version == 0 else "OVERWRITE", rows, path)],
                                   PUBLISH_LOG_SCHEMA)
     entry.coalesce(1).write.mode("append").parquet(log_path)
-    return rows
 
 
 def publish_history(spark: SparkSession, root: str, table: str) -> DataFrame:
