@@ -50,6 +50,8 @@ def test_split_is_repeatable(spark):
     a = ml.train_test_split(g).select("kullanici_ID", "split")
     b = ml.train_test_split(g.repartition(3)).select("kullanici_ID", "split")
     assert a.exceptAll(b).count() == 0
+    r = ml.train_test_split(g, method="random")
+    assert r.count() == g.count() and r.select("kullanici_ID").distinct().count() == g.count()
 
 
 def test_entry_contract(spark):

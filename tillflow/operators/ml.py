@@ -100,7 +100,16 @@ def split_column(seed: int = SEED, train_share: int = TRAIN_SHARE) -> Column:
     return F.when(h < train_share, F.lit("train")).otherwise(F.lit("test"))
 
 
-def train_test_split(df: DataFrame) -> DataFrame:
+def train_test_split(df: DataFrame, method: str = "hash") -> DataFrame:
+    """M3: add ``split`` = train / test.
+
+    ``hash`` (default) depends only on the customer key. ``random`` is the
+    original ``randomSplit([0.8, 0.2], seed)``, whose result depends on the
+    partitioning and row order of the input.
+    """
+    if method == "random":
+        train, test = df.randomSplit([TRAIN_SHARE / 100, 1 - TRAIN_SHARE / 100], seed=SEED)
+        return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     return df.withColumn("split", split_column())
 
 
