@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from tillflow.sources.schemas import WEEKDAY_NAMES
 
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-
-
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -114,14 +111,3 @@ def bias_corrected_skew(x: str | Column) -> Column:
     n = F.count(col_(x)).cast("double")
     g1 = F.skewness(col_(x))
     return F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))
-
-
-def hist_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Equal-width bin index in [0, bins); the last bin is closed on the right."""
-    width = (hi - lo) / F.lit(bins)
-    raw = F.when(width > 0, F.floor(F.try_divide(x - lo, width))).otherwise(F.lit(0))
-    return F.least(raw.cast("int"), F.lit(bins - 1))
-
-
-def round_money(c: Column, places: int = 2) -> Column:
-    return F.round(c, places)

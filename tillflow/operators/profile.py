@@ -89,10 +89,6 @@ def exact_quantiles(df: DataFrame, column: str | Column, probs: list[float],
 
 
 # ------------------------------------------------------------------ profiles
-def _inline(row_structs: list[Column]) -> Column:
-    return F.inline(F.array(*row_structs))
-
-
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample stddev, min, max per column, typed (not strings)."""
     structs = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("count"),
