@@ -1,9 +1,11 @@
 """Builds the layer DataFrames of one run from a folder of driver tables.
 
 Every registered query starts here, so its work grows with the input tables.
-Nothing is cached: each query is one lazy plan, and Spark reuses identical
-exchanges inside it (e.g. the de-duplication shuffle shared by purchases and
-cancellations).
+Plans are lazy; Spark reuses identical exchanges inside one plan (e.g. the
+de-duplication shuffle shared by purchases and cancellations). Bounds a plan
+needs first (the split instant) are one-row literals, and queries that read
+Gold several times use ``gold_materialized`` (a reliable checkpoint in the
+shared checkpoint folder) instead of recomputing it.
 """
 
 from __future__ import annotations
