@@ -65,3 +65,15 @@ def test_home_country_absent_share_zero(spark):
     df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "country string, total_price double")
     r = reports.home_vs_others(df, "HOME").collect()[0]
     assert r["home_rows"] == 0 and r["home_sales_pct"] == 0.0 and r["other_sales"] == 3.0
+
+
+def test_single_and_multi_histogram_agree(spark):
+    vals = [3.0, 3.5, 7.25, 9.0, 12.0, 12.0, -1.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    one = [(r["bin"], r["count"]) for r in profile.histogram(df, "x", 4).orderBy("bin").collect()]
+    many = [(r["bin"], r["count"]) for r in profile.histograms(df, {"x": 4}).orderBy("bin").collect()]
+    assert one == many
+    counts, _ = np.histogram(vals, bins=4)
+    assert [c for _, c in one] == list(counts)
+    const = spark.createDataFrame([(5.0,), (5.0,)], "x double")
+    assert sum(r["count"] for r in profile.histogram(const, "x", 3).collect()) == 2
