@@ -115,3 +115,14 @@ def test_bounded_stream_batches(spark):
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) >= 3
     assert spark.read.parquet(os.path.join(root, "out")).count() == recs.count()
+
+
+def test_run_log_search(spark, trained):
+    from tillflow.sources import store
+    root = tempfile.mkdtemp(prefix="tillflow-runs-")
+    assert store.search_runs(spark, root, ml.EXPERIMENT).count() == 0          # nothing logged yet
+    metrics = [r.asDict() for r in ml.model_metrics(trained).collect()]
+    store.log_runs(spark, root, ml.run_records(trained, metrics))
+    runs = store.search_runs(spark, root, ml.EXPERIMENT).collect()
+    assert {r["run_name"] for r in runs} == set(trained.models)
+    assert store.search_runs(spark, root, "other").count() == 0

@@ -104,18 +104,34 @@ def feature_importance(spark, sf_dir):
     return ml.feature_importance(trained(spark, sf_dir))
 
 
-@query("run_log")
-def run_log(spark, sf_dir):
-    """The runs appended to a run-log table and searched back by experiment."""
+def _logged_runs(spark, sf_dir) -> str:
+    """Append the trained models' runs to a fresh run-log table; return its root."""
     t = trained(spark, sf_dir)
     metrics = [r.asDict() for r in ml.model_metrics(t).collect()]  # one row per model
     root = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
     store.log_runs(spark, root, ml.run_records(t, metrics))
+    return root
+
+
+@query("run_log")
+def run_log(spark, sf_dir):
+    """K5: the runs appended to a run-log table (params and metrics as maps)."""
+    root = _logged_runs(spark, sf_dir)
     return store.search_runs(spark, root, ml.EXPERIMENT).select(
         "experiment", "run_name", "model_type", "params",
         F.map_filter("metrics", lambda k, v: k != "training_time_seconds").alias("metrics"))
 
 
+@query("run_search")
+def run_search(spark, sf_dir):
+    """The runs of one experiment as a frame (model, RMSE, MAE, R^2), best first."""
+    root = _logged_runs(spark, sf_dir)
+    runs = store.search_runs(spark, root, ml.EXPERIMENT)
+    return runs.select("run_name", "model_type", F.col("metrics")["rmse"].alias("rmse"),
+                       F.col("metrics")["mae"].alias("mae"), F.col("metrics")["r2"].alias("r2")) \
+               .orderBy("rmse", "run_name")
+
+
 @query("publish_history")
 def publish_history(spark, sf_dir):
     """K3/K7: Silver published twice, Gold built from the written Silver; the version log."""
