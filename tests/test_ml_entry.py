@@ -126,3 +126,27 @@ def test_run_log_search(spark, trained):
     runs = store.search_runs(spark, root, ml.EXPERIMENT).collect()
     assert {r["run_name"] for r in runs} == set(trained.models)
     assert store.search_runs(spark, root, "other").count() == 0
+
+
+def _plan_text(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def test_plan_guards(spark):
+    """Gold reads each driver table once; on written Silver the time bound reaches the scan."""
+    from tillflow.operators import gold
+    from tillflow.plans import jobs
+    lazy = _plan_text(Layers(spark, SF).gold())
+    assert lazy.split("\n\n")[0].count("Scan parquet") == 5          # lineitem, orders, part, customer, nation
+    lake = tempfile.mkdtemp(prefix="tillflow-guard-")
+    jobs.run_all(spark, SF, lake)
+    p = jobs.read_silver(spark, lake, "silver_purchases")
+    c = jobs.read_silver(spark, lake, "silver_cancellations")
+    plan = _plan_text(gold.gold_features(p, c, gold.split_literal(p)))
+    assert "LessThan(invoice_date" in plan
+    assert "ReadSchema: struct<kullanici_ID:bigint,ilgili_ID:string,stock_code:string,country:string," in plan
