@@ -77,3 +77,18 @@ def test_single_and_multi_histogram_agree(spark):
     assert [c for _, c in one] == list(counts)
     const = spark.createDataFrame([(5.0,), (5.0,)], "x double")
     assert sum(r["count"] for r in profile.histogram(const, "x", 3).collect()) == 2
+
+
+def test_exact_quantiles_crowded_band(spark):
+    # many distinct values inside one 0.3 % band of magnitude (one coarse bucket)
+    vals = [100.0 + i * 1e-7 for i in range(3000)] + [-5.0, 0.0, 1e6]
+    got = _q(spark, vals, [0.01, 0.5, 0.9, 0.999])
+    want = np.quantile(np.array(vals), [0.01, 0.5, 0.9, 0.999])
+    assert np.allclose(got, want, rtol=1e-13, atol=0)
+
+
+def test_grouped_quantiles(spark):
+    rows = [("a", float(i)) for i in range(11)] + [("b", float(i * i)) for i in range(7)] + [("c", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r["k"]: r["m"] for r in profile.exact_quantiles(df, "x", [0.5], ["m"], groups=["k"]).collect()}
+    assert got == {"a": 5.0, "b": 9.0}

@@ -13,56 +13,80 @@ from tillflow.functions import bias_corrected_skew, literal_row, pct
 
 
 # --------------------------------------------------------------- quantiles
-# Buckets per doubling of magnitude in the order-preserving value key.
+# Buckets per doubling of magnitude in the order-preserving value key, and
+# sub-buckets inside one bucket.
 KEY_STEPS_PER_OCTAVE = 256
+SUB_STEPS = 1 << 20
 _KEY_SHIFT = 1_000_000  # > 256 * 2098 (the binary exponent range of a double)
 
 
+def _log_steps(v: Column) -> Column:
+    return F.log2(F.abs(v)) * KEY_STEPS_PER_OCTAVE
+
+
 def order_key(v: Column) -> Column:
     """A coarse bucket id that is monotone in ``v``: sign and ``floor(256 * log2|v|)``.
 
     Each bucket spans about 0.3 % of relative magnitude; there are at most
     about 1.07 million non-empty buckets whatever the data size.
     """
-    mag = F.floor(F.log2(F.abs(v)) * KEY_STEPS_PER_OCTAVE)
+    mag = F.floor(_log_steps(v))
     return (F.when(v > 0, F.lit(_KEY_SHIFT) + mag)
              .when(v < 0, F.lit(-_KEY_SHIFT) - mag)
              .otherwise(F.lit(0))).cast("long")
 
 
+def sub_key(v: Column) -> Column:
+    """A finer id inside an ``order_key`` bucket (the next 20 bits of ``log2|v|``), monotone in ``v``.
+
+    ``log`` is semi-monotonic, so both keys never invert the order of values.
+    """
+    frac = _log_steps(v) - F.floor(_log_steps(v))
+    step = F.least(F.floor(frac * SUB_STEPS), F.lit(SUB_STEPS - 1))
+    return (F.when(v > 0, step).when(v < 0, F.lit(SUB_STEPS - 1) - step).otherwise(F.lit(0))).cast("long")
+
+
 def exact_quantiles(df: DataFrame, column: str | Column, probs: list[float],
                     names: list[str] | None = None, groups: list[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``percentile`` semantics).
 
-    Distributed selection; no task holds all values of a group:
+    Distributed selection; no window holds more than a bounded number of rows:
 
     1. ``groupBy(groups, value).count`` collapses repeats map-side (a value
        held by a third of the rows becomes one row);
-    2. values are put into order-preserving buckets (``order_key``) and each
-       bucket computes a running count over its sorted values;
-    3. bucket totals (per group at most ~1.07M rows, the key range) give each
-       bucket its rank offset and the group size;
+    2. each value gets an order-preserving bucket (``order_key``, ~0.3 % of
+       magnitude, at most ~1.07M per group) and sub-bucket (``sub_key``, 2^20
+       per bucket); running counts are taken inside a sub-bucket only;
+    3. rank offsets are prefix sums in two levels: sub-buckets inside a bucket
+       (at most 2^20 rows per window) and buckets inside a group (at most
+       ~1.07M rows per window);
     4. only rows whose rank span covers a wanted rank are kept, and one small
        aggregate per group interpolates.
 
-    Without ``groups`` the offset table has a proven bound and is broadcast;
-    with groups its size grows with the number of groups, so the join is left
-    to the planner. Returns one row per group (one row, null values, for an
-    empty input without groups).
+    The bucket-level offsets are broadcast when there are no groups (a proven
+    bound); the sub-bucket offsets grow with the distinct values and are
+    joined by the planner. Returns one row per group (one row, null values,
+    for an empty input without groups).
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     g = list(groups or [])
     c = F.col(column) if isinstance(column, str) else column
     vals = df.select(*g, c.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = vals.groupBy(*g, "v").agg(F.count("*").alias("c")).withColumn("_b", order_key(F.col("v")))
-    run = Window.partitionBy(*g, "_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    bucketed = counts.withColumn("_run", F.sum("c").over(run))
-    totals = bucketed.groupBy(*g, "_b").agg(F.sum("c").alias("_bc"))
+    counts = (vals.groupBy(*g, "v").agg(F.count("*").alias("c"))
+                  .withColumn("_b", order_key(F.col("v"))).withColumn("_s", sub_key(F.col("v"))))
+    run = Window.partitionBy(*g, "_b", "_s").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    keyed = counts.withColumn("_run", F.sum("c").over(run))
+    sub_totals = counts.groupBy(*g, "_b", "_s").agg(F.sum("c").alias("_sc"))
+    in_bucket = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    sub_off = sub_totals.select(*g, "_b", "_s", F.coalesce(F.sum("_sc").over(in_bucket), F.lit(0)).alias("_soff"))
+    bucket_totals = sub_totals.groupBy(*g, "_b").agg(F.sum("_sc").alias("_bc"))
     before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
-                            F.sum("_bc").over(Window.partitionBy(*g)).alias("_n"))
+    bucket_off = bucket_totals.select(*g, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_boff"),
+                                      F.sum("_bc").over(Window.partitionBy(*g)).alias("_n"))
+    offsets = sub_off.join(bucket_off if g else F.broadcast(bucket_off), g + ["_b"]).select(
+        *g, "_b", "_s", (F.col("_boff") + F.col("_soff")).alias("_off"), "_n")
     # each row covers the 0-based ranks [_start, _end)
-    pos = bucketed.join(offsets if g else F.broadcast(offsets), g + ["_b"]).select(
+    pos = keyed.join(offsets, g + ["_b", "_s"]).select(
         *g, "v", "_n", (F.col("_off") + F.col("_run") - F.col("c")).alias("_start"),
         (F.col("_off") + F.col("_run")).alias("_end"))
     h = [F.lit(p) * (F.col("_n") - 1) for p in probs]
