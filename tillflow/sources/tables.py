@@ -28,10 +28,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet"
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source transactions (8 columns) derived from the driver tables.
 
-    lineitem is the large side; orders is joined on its key (sort-merge or
-    shuffle-hash, chosen by the planner and re-planned by AQE at runtime);
-    part/customer/nation are dimension sides which the planner broadcasts
-    only when their measured size is under the broadcast threshold.
+    lineitem is the large side. Orders are enriched with customer and nation
+    first (an order-level join), then joined to the lines on the order key and
+    to part on the part key. The planner picks the strategies: it broadcasts
+    a side only when its measured size is under the broadcast threshold, and
+    otherwise sort-merge joins with AQE splitting skewed keys.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
@@ -39,10 +40,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(pt, li.l_partkey == pt.p_partkey)
-           .join(cu, od.o_custkey == cu.c_custkey)
-           .join(na, cu.c_nationkey == na.n_nationkey))
+    # customer and nation are joined at order level first: when customer is too
+    # large to broadcast, its shuffle moves order-sized rows, not line-sized ones
+    orders = (od.join(cu, od.o_custkey == cu.c_custkey)
+                .join(na, cu.c_nationkey == na.n_nationkey)
+                .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
+    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+           .join(pt, li.l_partkey == pt.p_partkey))
     returned = F.col("l_returnflag") == "R"
     part_key = F.col("l_partkey")
     return j.select(
