@@ -50,8 +50,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return at.join(least, "pick").select("id", "component_id")
 
 
-def work_units(members: DataFrame, key: str, spread: Column, weight: Column, max_rows: int, max_weight: int) -> DataFrame:
-    """Deal groups to bounded work units: adds ``blk``, ``bi`` and ``bj``.
+def work_units(members: DataFrame, key: str, spread: Column, weight: Column, max_rows: int, max_weight: int,
+               keep_blocks: bool = False) -> DataFrame:
+    """Deal groups to bounded work units: adds ``blk``, ``bi`` and ``bj`` (and the block count ``nb``).
 
     Groups with one row are dropped. A group over ``max_rows`` rows or
     ``max_weight`` total weight is cut into blocks by the hash ``spread``, and
@@ -67,7 +68,7 @@ def work_units(members: DataFrame, key: str, spread: Column, weight: Column, max
               .otherwise(F.array(F.lit(0)))
     return (cut.withColumn("_o", F.explode(others))
             .withColumn("bi", F.least("blk", "_o")).withColumn("bj", F.greatest("blk", "_o"))
-            .drop("_o", "_b"))
+            .withColumn("nb", F.col("_b")).drop("_o", "_b", *([] if keep_blocks else ["nb"])))
 
 
 class Forest:

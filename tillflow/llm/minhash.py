@@ -247,3 +247,17 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
            .join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def drop_near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
+    """One row of every near-duplicate class, that of its smallest doc_id; same columns.
+
+    Of rows that repeat a doc_id the one with the least text stays; rows with a null doc_id all stay.
+    """
+    seen = near_duplicates(docs, p).filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")) \
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_and("kept").alias("stays"))
+    touched = scratch_table(seen.filter("n > 1 or not stays"), "touched")
+    untouched = docs.join(touched, F.col("doc_id") == F.col("_id"), "left_anti")
+    repeated = docs.join(touched.filter("stays"), F.col("doc_id") == F.col("_id"), "left_semi")
+    first = repeated.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text")).alias("_row"))
+    return untouched.unionByName(first.select("_row.*"))

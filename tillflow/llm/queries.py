@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tillflow.llm.minhash import near_duplicates
+import public_tokenizers
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tillflow.llm import langid, licenses, minhash, packing, pieces, pii, quality, rules, vectors, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -21,15 +25,112 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_best_fit_packing")
+def op1_best_fit_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    """The language of every document, learned from the labelled documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    got = langid.identify(docs, docs.filter(langid.fold() != 0))
+    return got.select("doc_id", (langid.fold() == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_pii")
+def op3_pii(spark, sf_dir):
+    """Personal data of every document: base spans, and terms that reveal them."""
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+    part = lambda kind, a, b: F.concat_ws(":", kind, a.cast("string"), b.cast("string"))
+    base = F.transform(F.arrays_zip("kinds", "starts", "ends"), lambda x: part(F.get(names, x["kinds"]), x["starts"], x["ends"]))
+    terms = F.transform("terms", lambda x: part(F.lit("term"), x["start"], x["end"]))
+    count = lambda k: F.size(F.filter("kinds", lambda x: x == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select("doc_id", *[count(k) for k in range(4)], F.sha2(F.concat_ws(",", base), 256).alias("base_sha256"),
+                        F.concat_ws(",", F.concat(base, terms)).alias("spans"))
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark, sf_dir):
+    """License notices of every document by patience alignment."""
+    return licenses.scan_documents(_table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT hex, payload_bytes, max(page_id) AS newest FROM p GROUP BY ALL)
+SELECT page_id, p.payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < newest THEN newest END AS refers_to
+FROM p JOIN g USING (hex, payload_bytes)
+"""
+
+
+@query("op5_warc", OP5_SQL)
+def op5_warc(spark, sf_dir):
+    """A WARC record per page in seekable bundles, read back."""
+    bundles = warc.write_bundles(_table(spark, sf_dir, "pages"))
+    return warc.read_bundles(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark, sf_dir):
+    """Quality score of every document, learned from the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), quality.not_held_out())
+    return quality.score_documents(docs.select("doc_id", "text"), model).select(
+        "doc_id", (~quality.not_held_out()).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= model.cut_score).cast("int").alias("predicted"))
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark, sf_dir):
+    """Every document encoded with offsets and decoded again."""
+    return pieces.digest_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+u AS (SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE a.norm > 0 AND b.norm > 0 AND isfinite(a.norm) AND isfinite(b.norm)
+        AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON l.a = r.b),
+comp AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id)::BIGINT AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN comp ON comp.a = vec_id
+"""
+
+
+@query("op8_embedding_near_dedup", OP8_SQL)
+def op8_embedding_near_dedup(spark, sf_dir):
+    """Near-duplicate classes of all embeddings: cosine of 0.98 or more within a label."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark, sf_dir):
+    """Base measures and the line-frequency verdict of every document."""
+    return rules.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+
 OP10_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-           ELSE list_transform(range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' ')) END) AS sh
+           ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS sh
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
@@ -46,4 +147,10 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp c ON c.doc_id
 @query("op10_minhash", OP10_SQL)
 def op10_minhash(spark, sf_dir):
     """Near-duplicate classes of all documents: 4-word shingles, Jaccard of 0.8 or more."""
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    """The whole corpus pipeline: quality, rules, near duplicates, personal data, packing."""
+    return corpus_pipeline.run(spark, sf_dir)
