@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ from tillflow.llm.runtime import ship, slices
 
 @dataclass(frozen=True)
 class LangParams:
-    sample_rows: int = 60
+    sample_rows: int = 120
     sample_window: int = 2000
-    train_chars: int = 1 << 15
+    train_chars: int = 1 << 16
     block: int = 1024
 
 
@@ -131,10 +132,10 @@ class Parser:
                 miss[c] = t
             table = np.tile(((miss + base) << 1) | 1, (n + 1, 1))
             table[0] = (miss + base) << 1
-            for s in range(1, n):
-                if nxt[s]:
-                    c = np.fromiter(nxt[s].keys(), np.int64, len(nxt[s]))
-                    table[s, c] = (np.fromiter(nxt[s].values(), np.int64, len(nxt[s])) + base) << 1
+            state = np.repeat(np.arange(n), [len(d) for d in nxt])
+            char = np.fromiter(chain.from_iterable(nxt), np.int64, len(state))
+            to = np.fromiter(chain.from_iterable(d.values() for d in nxt), np.int64, len(state))
+            table[state, char] = (to + base) << 1
             tables.append(table)
             self.roots.append(base)
             base += n + 1

@@ -7,7 +7,9 @@ that occur once in the region and once in the template, takes the longest
 increasing subsequence of anchor pairs, and recurses into the gaps between
 consecutive anchors; in a gap without unique common words, equal words at its
 two ends are matched. The coverage is the share of template words that are
-matched, and the best region per text and template is reported.
+matched; the words of the matched stretch of text must be matched to the same
+share, so that a longer notice is not taken for a shorter one inside it. The
+best region per text and template is reported.
 
 Words are runs of letters and digits, A-Z lower-cased. One scan over the texts,
 no shuffle; the templates are parameters.
@@ -132,13 +134,21 @@ class Scanner:
                 if len(region) < need:
                     continue
                 lo, hi = region[0], region[-1] + 1
-                got = align(words[lo:hi], template)
-                if len(got) >= need and (best is None or len(got) > best[0]):
+                got = self._dense(align(words[lo:hi], template), need)
+                if got and (best is None or len(got) > best[0]):
                     best = (len(got), found[lo + got[0][0]][0], found[lo + got[-1][0]][1])
             if best:
                 out.append((name, best[0] / len(template), best[1], best[2]))
         return out
 
+    def _dense(self, got: list[tuple[int, int]], need: float) -> list[tuple[int, int]]:
+        """Matches without loose ends: the share of matched words in their stretch of text reaches the coverage too."""
+        while len(got) >= need:
+            if len(got) >= self.p.coverage * (got[-1][0] - got[0][0] + 1):
+                return got
+            got = got[1:] if got[1][0] - got[0][0] > got[-1][0] - got[-2][0] else got[:-1]
+        return []
+
     def _regions(self, hits: list[int]):
         region: list[int] = []
         for i in hits:

@@ -215,7 +215,8 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
         "doc_id long, n_shingles long, fp1 long, fp2 long, sketch binary, bands array<long>"), "sketch")
 
     full = sketches.filter("n_shingles > 0 and doc_id is not null")
-    least = full.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
+    # written first, so that a join can split a class that holds a third of the rows
+    least = scratch_table(full.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "least")
     classes = full.select("doc_id", "n_shingles", "fp1", "fp2").join(least, ["n_shingles", "fp1", "fp2"]) \
                   .select("doc_id", "rep").distinct()
     classes = scratch_table(classes, "classes")

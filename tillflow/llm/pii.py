@@ -10,8 +10,10 @@ and t, and n(e, t) of which hold t within ``window`` words of e,
 
 and the disclosure PMI / IC is 1 when t occurs with e only. Terms at or above
 ``generalise`` become a placeholder, at or above ``remove`` they are taken out.
-Only pairs seen in ``support`` different contexts (the words around the entity)
-count, so copies of one passage are one observation.
+Only pairs seen in at least ``support`` different contexts count, and at least
+``spread_percent`` percent of the pair's documents must differ in context. A
+context is known by the least hash of the other words around the entity, so
+exact and edited copies of one passage are few observations.
 
 Jobs: one scan finds entities and the words near them; pair counts are
 aggregations with map-side combination; n(t) is counted over all documents in a
@@ -48,6 +50,7 @@ TERM = 4  # the kind number of a revealing term, listed behind the base kinds
 class Disclosure:
     window: int = 8
     support: int = 3
+    spread_percent: int = 50
     generalise: float = 0.75
     remove: float = 0.95
 
@@ -145,10 +148,12 @@ def nearby(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tu
                   and not (e == a and text[a - 1:a] not in _BLANK) and not (s == b and text[b:b + 1] not in _BLANK)]
         if not around:
             continue
-        words = [text[s:e] for s, e in around]
-        context = _hash(" ".join(words))
+        terms = term_hash([text[s:e] for s, e in around])
         entity = entity_of(kind, text[a:b])
-        out += [(entity, t, s, e, context) for t, (s, e) in zip(term_hash(words), around)]
+        least = sorted(set(terms))[:2]
+        for t, (s, e) in zip(terms, around):
+            others = [x for x in least if x != t]
+            out.append((entity, t, s, e, others[0] if others else 0))
     return out
 
 
@@ -215,7 +220,7 @@ def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure())
                 .select("row", "x.entity", "x.term", "x.context")
     per_context = near.groupBy("entity", "term", "context").agg(F.count_distinct("row").alias("n"))
     pairs = per_context.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_et")) \
-                       .filter(F.col("contexts") >= p.support)
+                       .filter((F.col("contexts") >= p.support) & (100 * F.col("contexts") >= p.spread_percent * F.col("n_et")))
     pairs = scratch_table(pairs, "pairs")
     terms = scratch_table(docs.select("text").mapInArrow(_count_words(bitmap_of(pairs.select("term"))), "term long, n long")
                           .groupBy("term").agg(F.sum("n").alias("n_t")), "terms")
