@@ -36,9 +36,6 @@ def build_session(master: str | None = None, app_name: str = "tillflow",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # per-customer modes keep small maps (<= 24 hours, a few countries) per key; a larger
-        # hash table before the sort-based fallback stays bounded (keys x small buffers)
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -51,24 +48,61 @@ def build_session(master: str | None = None, app_name: str = "tillflow",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors share one machine (``local-cluster`` counts as a cluster)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The value of ``spark.checkpoint.dir`` wins. Only when it is unset in local
-    mode (tests) a scratch folder is created and registered; on a cluster an
-    unset value is an error rather than a machine-local folder.
+    The value of ``spark.checkpoint.dir`` wins, then a folder already set on
+    the Spark context. Only when both are unset in local mode (tests) a scratch
+    folder is created and registered; on a cluster an unset value is an error
+    rather than a machine-local folder.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
+    registered = spark.sparkContext.getCheckpointDir()
+    if not path:
+        path = registered
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError(f"{CHECKPOINT_CONF} is not set: name a folder every executor can reach")
         path = tempfile.mkdtemp(prefix="tillflow-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext.getCheckpointDir() is None:
+    if registered is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables; it is deleted when the driver's JVM ends.
+
+    Results are lazy and may read their scratch tables at any time, so the
+    application owns the folder; ``clean_scratch`` deletes it earlier.
+    """
+    sc = spark.sparkContext
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", sc.applicationId)
+    if getattr(sc, "_tillflow_scratch", None) != root:
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        sc._tillflow_scratch = root
+    return root
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables under the shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+    return os.path.join(scratch_root(spark), name)
+
+
+def clean_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders whose results have been consumed (all of this application's without ``paths``)."""
+    sc = spark.sparkContext
+    for p in paths or (scratch_root(spark),):
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    if not paths:
+        sc._tillflow_scratch = None
