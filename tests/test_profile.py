@@ -92,3 +92,31 @@ def test_grouped_quantiles(spark):
     df = spark.createDataFrame(rows, "k string, x double")
     got = {r["k"]: r["m"] for r in profile.exact_quantiles(df, "x", [0.5], ["m"], groups=["k"]).collect()}
     assert got == {"a": 5.0, "b": 9.0}
+
+
+def test_infinities_are_end_values(spark):
+    inf = float("inf")
+    assert _q(spark, [1, 2, 3, inf], [0.0, 0.5, 1.0]) == [1.0, 2.5, inf]
+    assert _q(spark, [-inf, -inf, 5, inf], [0.0, 0.25, 1.0]) == [-inf, -inf, inf]
+    assert _q(spark, [float("nan"), 4.0], [0.5]) == [4.0]
+
+
+def test_correlation_uses_rows_with_both_values(spark):
+    rows = [(1.0, 2.0, 9), (2.0, 4.0, 7), (3.0, 6.0, None), (4.0, 8.0, 1), (None, 100.0, 4)]
+    df = spark.createDataFrame(rows, "a double, b double, c int")
+    r = {(x["feature_a"], x["feature_b"]): x["corr"] for x in profile.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    import pandas as pd
+    want = pd.DataFrame(rows, columns=["a", "b", "c"]).astype(float).corr()
+    for (x, y), v in r.items():
+        assert v == pytest.approx(want.loc[x, y]), (x, y)
+    assert r["a", "b"] == pytest.approx(1.0) and r["a", "a"] == 1.0
+    target = profile.target_correlation(df, ["a", "b", "c"], "c").collect()
+    assert [t["feature"] for t in target] == sorted(["a", "b"], key=lambda f: -want.loc[f, "c"])
+
+
+def test_quantile_plan_ranks_only_wanted_buckets(spark):
+    """The windows over values sit above the join with the wanted buckets."""
+    df = spark.range(1000).selectExpr("cast(id as double) as x")
+    plan = profile.exact_quantiles(df, "x", [0.5], ["m"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert any("_b" in w for w in windows) and "Join Inner" in plan

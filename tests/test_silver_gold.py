@@ -129,3 +129,17 @@ def test_empty_input(spark):
     p, c = silver.silver_tables(b)
     assert gold.gold_features(p, c).count() == 0
     assert gold.gold_features_joined(p, c).count() == 0
+
+
+def test_funnel_equals_step_by_step_counts(spark):
+    from tillflow.operators.reports import cleaning_funnel
+    messages = [msg(), msg(), msg(customer=None), msg(desc=None), msg(kind=None, invoice="7"), msg(kind=None, invoice="7"),
+                msg(kind="cancellation", invoice="C1", qty=-2), msg(invoice="8", price=0.0), msg(invoice="9", qty=None)]
+    typed = silver.silver_typed(bronze_of(spark, messages))
+    got = {r["step"]: r["row_count"] for r in cleaning_funnel(typed).collect()}
+    clean = silver.silver_clean(typed)
+    assert got == {"bronze": 9, "with_customer": 8, "with_description": 7, "deduplicated": clean.count(),
+                   "purchases": silver.purchases(clean).count(), "cancellations": silver.cancellations(clean).count(),
+                   "null_event_type": 1}
+    empty = {r["step"]: r["row_count"] for r in cleaning_funnel(silver.silver_typed(bronze_of(spark, []))).collect()}
+    assert set(empty.values()) == {0} and len(empty) == 7

@@ -2,13 +2,14 @@
 
 Two plan shapes give the same table:
 
-* ``gold_features_joined`` follows the original layout: one aggregation per
-  feature, then a chain of left joins on the customer key and an inner join
-  with the target.
 * ``gold_features`` (default) is one ``groupBy(customer)`` over the tagged
-  feature / target / cancellation rows with conditional aggregates. It reads
-  each input once and shuffles once per distinct-count group instead of once
-  per branch plus once per join.
+  feature / target / cancellation rows with conditional aggregates.
+* ``gold_features_joined`` aggregates the feature rows once per customer, left
+  joins the cancellation counts and inner joins the target: two joins of
+  customer-level sides.
+
+Both read the Silver tables; give them written ones (``jobs``,
+``Layers.written_*``), since the split instant is computed from them first.
 """
 
 from __future__ import annotations
@@ -48,9 +49,6 @@ def split_column(purchases: DataFrame, share: float = FEATURE_SHARE) -> Column:
     return literal_row(split_point(purchases, share).select("split_at"))["split_at"]
 
 
-split_literal = split_column
-
-
 def temporal_split(purchases: DataFrame, cancellations: DataFrame, split: Column):
     """Feature rows ``< split``, target rows ``>= split``, cancellations ``< split``."""
     ts = F.col("invoice_date")
@@ -132,27 +130,40 @@ def future_spending(targ: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- whole tables
+def _feature_aggregates(on: Column) -> list[Column]:
+    """The aggregates of the feature rows marked by ``on`` (combined map-side; distinct counts by Expand)."""
+    ts = F.col("invoice_date")
+    where = lambda x: F.when(on, x)
+    return [F.min(where(ts)).alias("_first"), F.max(where(ts)).alias("_last"),
+            F.sum(where(F.col("total_price"))).alias("monetary"),
+            F.count_distinct(where(F.col("ilgili_ID"))).alias("frequency"),
+            F.count_distinct(where(F.col("stock_code"))).alias("unique_products"),
+            F.count_distinct(where(year_month(ts))).alias("active_months"),
+            F.mode(where(F.hour(ts)), True).alias("most_active_hour"),
+            F.mode(where(F.col("country")), True).alias("country")]
+
+
+def _finish(g: DataFrame, split: Column) -> DataFrame:
+    """Gold's columns from the aggregates of one customer per row."""
+    derived = {"recency_days": F.datediff(split, F.col("_last")),
+               "avg_basket_value": safe_ratio(F.col("monetary"), F.col("frequency")),
+               "avg_days_between_purchases": _gap(F.col("_first"), F.col("_last"), F.col("frequency"))}
+    return g.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in GOLD_COLUMNS])
+
+
 def gold_features_joined(purchases: DataFrame, cancellations: DataFrame,
                          split: Column | None = None, require_target: bool = True) -> DataFrame:
-    """C3 in the original shape: nine aggregations joined on the customer key."""
+    """C3 by joins: one aggregate of the feature rows, J1 with the cancellations, J2 with the target."""
     split = split if split is not None else split_column(purchases)
     feat, targ, canc = temporal_split(purchases, cancellations, split)
-    g = (rfm(feat, split)
-         .join(avg_basket(feat), K, "left")
-         .join(purchase_gap(feat), K, "left")
-         .join(unique_products(feat), K, "left")
-         .join(cancellation_count(canc), K, "left")
-         .join(active_months(feat), K, "left")
-         .join(most_active_hour(feat), K, "left")
-         .join(main_country(feat), K, "left")
-         .join(future_spending(targ), K, "inner" if require_target else "left")
-         .fillna({"cancellation_count": 0}))
-    if not require_target:
-        g = g.fillna({"future_spending": 0.0})
-    return g.select(*GOLD_COLUMNS)
+    per_customer = feat.groupBy(K).agg(*_feature_aggregates(F.lit(True)))
+    fill = {"cancellation_count": 0} if require_target else {"cancellation_count": 0, "future_spending": 0.0}
+    whole = (per_customer.join(cancellation_count(canc), K, "left")
+             .join(future_spending(targ), K, "inner" if require_target else "left").fillna(fill))
+    return _finish(whole, split)
 
 
-_TAG_COLS = [K, "ilgili_ID", "stock_code", "invoice_date", "total_price", "country"]
+INPUT_COLUMNS = [K, "ilgili_ID", "stock_code", "invoice_date", "total_price", "country"]
 
 
 def gold_features(purchases: DataFrame, cancellations: DataFrame,
@@ -164,29 +175,12 @@ def gold_features(purchases: DataFrame, cancellations: DataFrame,
     """
     split = split if split is not None else split_column(purchases)
     ts = F.col("invoice_date")
-    tagged = (purchases.select(*_TAG_COLS, F.when(ts < split, F.lit("f"))
+    tagged = (purchases.select(*INPUT_COLUMNS, F.when(ts < split, F.lit("f"))
                                .when(ts >= split, F.lit("t")).alias("_p"))
-              .unionByName(cancellations.filter(ts < split).select(*_TAG_COLS, F.lit("c").alias("_p"))))
+              .unionByName(cancellations.filter(ts < split).select(*INPUT_COLUMNS, F.lit("c").alias("_p"))))
     return aggregate_tagged(tagged, split, require_target)
 
 
-def gold_features_from_clean(clean: DataFrame, split: Column | None = None,
-                             require_target: bool = True) -> DataFrame:
-    """C3 from the cleaned (not yet split) Silver rows: one scan, one de-duplication.
-
-    The purchase / cancellation predicates of the Silver split are applied as
-    tags, so three-valued logic is kept: a null event type tags nothing.
-    """
-    from tillflow.operators.silver import purchases as purchase_rows
-    split = split if split is not None else split_column(purchase_rows(clean))
-    ts = F.col("invoice_date")
-    is_p = ~F.col("is_cancellation") & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
-    is_c = F.col("is_cancellation")
-    tag = (F.when(is_p & (ts < split), F.lit("f")).when(is_p & (ts >= split), F.lit("t"))
-            .when(is_c & (ts < split), F.lit("c")))
-    return aggregate_tagged(clean.select(*_TAG_COLS, tag.alias("_p")), split, require_target)
-
-
 def aggregate_tagged(tagged: DataFrame, split: Column, require_target: bool = True) -> DataFrame:
     """The one-pass Gold aggregate over rows tagged f / t / c.
 
@@ -194,33 +188,17 @@ def aggregate_tagged(tagged: DataFrame, split: Column, require_target: bool = Tr
     count is planned by Spark as an Expand keyed by (customer, value), so a
     customer holding a large share of rows is still spread over many reducers.
     """
-    ts = F.col("invoice_date")
     tagged = tagged.filter(F.col("_p").isNotNull())
     f, t, c = (F.col("_p") == x for x in ("f", "t", "c"))
     g = tagged.groupBy(K).agg(
-        F.max(F.when(f, ts)).alias("_last"),
-        F.min(F.when(f, ts)).alias("_first"),
-        F.count_distinct(F.when(f, F.col("ilgili_ID"))).alias("frequency"),
-        F.sum(F.when(f, F.col("total_price"))).alias("monetary"),
-        F.count_distinct(F.when(f, F.col("stock_code"))).alias("unique_products"),
+        *_feature_aggregates(f),
         F.count_distinct(F.when(c, F.col("ilgili_ID"))).alias("cancellation_count"),
-        F.count_distinct(F.when(f, year_month(ts))).alias("active_months"),
-        F.mode(F.when(f, F.hour(ts)), True).alias("most_active_hour"),
-        F.mode(F.when(f, F.col("country")), True).alias("country"),
         F.sum(F.when(t, F.col("total_price"))).alias("future_spending"),
         F.max(f).alias("_has_f"),
         F.max(t).alias("_has_t"),
-    )
-    g = g.filter(F.col("_has_f"))
+    ).filter(F.col("_has_f"))
     if require_target:
         g = g.filter(F.col("_has_t"))
     else:
         g = g.withColumn("future_spending", F.coalesce("future_spending", F.lit(0.0)))
-    return g.select(
-        K,
-        F.datediff(split, F.col("_last")).alias("recency_days"),
-        "frequency", "monetary",
-        safe_ratio(F.col("monetary"), F.col("frequency")).alias("avg_basket_value"),
-        _gap(F.col("_first"), F.col("_last"), F.col("frequency")).alias("avg_days_between_purchases"),
-        "unique_products", "cancellation_count", "active_months", "most_active_hour", "country",
-        "future_spending")
+    return _finish(g, split)

@@ -31,7 +31,8 @@ def order_key(v: Column) -> Column:
     about 1.07 million non-empty buckets whatever the data size.
     """
     mag = F.floor(_log_steps(v))
-    return (F.when(v > 0, F.lit(_KEY_SHIFT) + mag)
+    return (F.when(v == float("inf"), F.lit(2 * _KEY_SHIFT)).when(v == float("-inf"), F.lit(-2 * _KEY_SHIFT))
+             .when(v > 0, F.lit(_KEY_SHIFT) + mag)
              .when(v < 0, F.lit(-_KEY_SHIFT) - mag)
              .otherwise(F.lit(0))).cast("long")
 
@@ -43,52 +44,54 @@ def sub_key(v: Column) -> Column:
     """
     frac = _log_steps(v) - F.floor(_log_steps(v))
     step = F.least(F.floor(frac * SUB_STEPS), F.lit(SUB_STEPS - 1))
-    return (F.when(v > 0, step).when(v < 0, F.lit(SUB_STEPS - 1) - step).otherwise(F.lit(0))).cast("long")
+    return (F.when(F.abs(v) == float("inf"), F.lit(0)).when(v > 0, step).when(v < 0, F.lit(SUB_STEPS - 1) - step).otherwise(F.lit(0))).cast("long")
 
 
 def exact_quantiles(df: DataFrame, column: str | Column, probs: list[float],
                     names: list[str] | None = None, groups: list[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``percentile`` semantics).
 
-    Distributed selection; no window holds more than a bounded number of rows:
-
-    1. ``groupBy(groups, value).count`` collapses repeats map-side (a value
-       held by a third of the rows becomes one row);
-    2. each value gets an order-preserving bucket (``order_key``, ~0.3 % of
-       magnitude, at most ~1.07M per group) and sub-bucket (``sub_key``, 2^20
-       per bucket); running counts are taken inside a sub-bucket only;
-    3. rank offsets are prefix sums in two levels: sub-buckets inside a bucket
-       (at most 2^20 rows per window) and buckets inside a group (at most
-       ~1.07M rows per window);
-    4. only rows whose rank span covers a wanted rank are kept, and one small
-       aggregate per group interpolates.
-
-    The bucket-level offsets are broadcast when there are no groups (a proven
-    bound); the sub-bucket offsets grow with the distinct values and are
-    joined by the planner. Returns one row per group (one row, null values,
-    for an empty input without groups).
+    Distributed selection in two looks at the input (give a written table):
+
+    1. rows are counted per order-preserving bucket (``order_key``: ~0.3 % of
+       magnitude, at most ~1.07M per group, combined map-side); prefix sums over
+       the buckets of a group tell the buckets that hold the wanted ranks, at
+       most two per probability;
+    2. only the values in those buckets are counted, ranked inside sub-buckets
+       (``sub_key``, 2^20 per bucket) with prefix sums over the sub-buckets of a
+       bucket, and the rows that cover a wanted rank are interpolated.
+
+    So no window holds more than a bounded number of buckets, or the values of
+    one sub-bucket, and nothing is sorted that lies outside the wanted buckets.
+    A value held by a third of the rows is one row after the counting.
+    Infinities are the end buckets; interpolating next to one gives infinity.
+    Returns one row per group (one row, null values, for an empty input
+    without groups).
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     g = list(groups or [])
     c = F.col(column) if isinstance(column, str) else column
-    vals = df.select(*g, c.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = (vals.groupBy(*g, "v").agg(F.count("*").alias("c"))
-                  .withColumn("_b", order_key(F.col("v"))).withColumn("_s", sub_key(F.col("v"))))
+    vals = df.select(*g, c.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v")) \
+             .withColumn("_b", order_key(F.col("v")))
+    buckets = vals.groupBy(*g, "_b").agg(F.count("*").alias("_bc"))
+    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    spans = buckets.select(*g, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_boff"), "_bc",
+                           F.sum("_bc").over(Window.partitionBy(*g)).alias("_n"))
+    holds = F.lit(False)
+    for p in probs:
+        for rank in (F.floor(F.lit(p) * (F.col("_n") - 1)), F.ceil(F.lit(p) * (F.col("_n") - 1))):
+            holds = holds | ((F.col("_boff") <= rank) & (rank < F.col("_boff") + F.col("_bc")))
+    wanted = spans.filter(holds).select(*g, "_b", "_boff", "_n")
+    counts = (vals.join(wanted, g + ["_b"]).groupBy(*g, "_b", "_boff", "_n", "v").agg(F.count("*").alias("c"))
+                  .withColumn("_s", sub_key(F.col("v"))))
     run = Window.partitionBy(*g, "_b", "_s").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     keyed = counts.withColumn("_run", F.sum("c").over(run))
     sub_totals = counts.groupBy(*g, "_b", "_s").agg(F.sum("c").alias("_sc"))
     in_bucket = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     sub_off = sub_totals.select(*g, "_b", "_s", F.coalesce(F.sum("_sc").over(in_bucket), F.lit(0)).alias("_soff"))
-    bucket_totals = sub_totals.groupBy(*g, "_b").agg(F.sum("_sc").alias("_bc"))
-    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bucket_off = bucket_totals.select(*g, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_boff"),
-                                      F.sum("_bc").over(Window.partitionBy(*g)).alias("_n"))
-    offsets = sub_off.join(bucket_off if g else F.broadcast(bucket_off), g + ["_b"]).select(
-        *g, "_b", "_s", (F.col("_boff") + F.col("_soff")).alias("_off"), "_n")
     # each row covers the 0-based ranks [_start, _end)
-    pos = keyed.join(offsets, g + ["_b", "_s"]).select(
-        *g, "v", "_n", (F.col("_off") + F.col("_run") - F.col("c")).alias("_start"),
-        (F.col("_off") + F.col("_run")).alias("_end"))
+    end = F.col("_boff") + F.col("_soff") + F.col("_run")
+    pos = keyed.join(sub_off, g + ["_b", "_s"]).select(*g, "v", "_n", (end - F.col("c")).alias("_start"), end.alias("_end"))
     h = [F.lit(p) * (F.col("_n") - 1) for p in probs]
     lo = [F.floor(x) for x in h]
     hi = [F.ceil(x) for x in h]
@@ -108,7 +111,8 @@ def exact_quantiles(df: DataFrame, column: str | Column, probs: list[float],
     for i, (p, name) in enumerate(zip(probs, names)):
         x = F.lit(p) * (F.col("_n") - 1)
         va, vb = F.col(f"_a{i}"), F.col(f"_b{i}")
-        out.append((va + (x - F.floor(x)) * (vb - va)).alias(name))
+        step = (x - F.floor(x)) * (vb - va)  # not a number between equal infinities, or off a rank at an infinity
+        out.append(F.when((va == vb) | (x == F.floor(x)), va).otherwise(va + step).alias(name))
     return picked.select(*g, *out)
 
 
@@ -266,17 +270,31 @@ def boxplot_stats(df: DataFrame, column: str) -> DataFrame:
              lo_f.alias("lower_fence"), hi_f.alias("upper_fence"), "whisker_low", "whisker_high", "outliers")
 
 
-def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair in one aggregate, long form.
+def _pair_correlation(a: str, b: str) -> Column:
+    """Pearson correlation over the rows where both columns are present (aggregate).
 
-    A constant column has no correlation: null instead of an ANSI divide error.
+    Null instead of an ANSI divide error when either is constant there.
     """
+    sd = [F.stddev_samp(F.when(F.col(y).isNotNull(), F.col(x).cast("double"))) for x, y in ((a, b), (b, a))]
+    if a == b:
+        return F.when(sd[0] > 0, F.lit(1.0))
+    return F.try_divide(F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")), sd[0] * sd[1]).cast("double")
+
+
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson correlation of every pair in one aggregate, long form (pairwise complete rows)."""
     structs = []
     for i, a in enumerate(columns):
         for b in columns[i:]:
-            r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b)).cast("double")
+            r = _pair_correlation(a, b)
             pairs = [(a, b)] if a == b else [(a, b), (b, a)]
             # both orders share one set of aggregate buffers (Catalyst de-duplicates them)
             structs += [F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), r.alias("corr"))
                         for x, y in pairs]
     return df.agg(F.array(*structs).alias("_r")).select(F.inline("_r"))
+
+
+def target_correlation(df: DataFrame, columns: list[str], target: str) -> DataFrame:
+    """(feature, corr) of every other column with the target, in one aggregate, highest first."""
+    structs = [F.struct(F.lit(c).alias("feature"), _pair_correlation(c, target).alias("corr")) for c in columns if c != target]
+    return df.agg(F.array(*structs).alias("_r")).select(F.inline("_r")).orderBy(F.col("corr").desc_nulls_last(), "feature")

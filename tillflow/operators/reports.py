@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions import literal_row, pct, weekday_name, year_month
+from tillflow.operators import silver
 from tillflow.operators.profile import exact_quantiles
 
 K = "kullanici_ID"
@@ -70,14 +71,16 @@ def top_customers(purch: DataFrame, n: int = 10) -> DataFrame:
     return customer_stats(purch).orderBy(F.col("total_spend").desc(), F.col(K).asc()).limit(n)
 
 
-def invoices_per_customer(tx: DataFrame) -> DataFrame:
-    """Distinct invoices per known customer -> customers, mean, median, max."""
-    per = tx.dropna(subset=["CustomerID"]).groupBy("CustomerID").agg(
-        F.count_distinct("InvoiceNo").alias("invoices"))
-    med = exact_quantiles(per, "invoices", [0.5], ["median"])
-    return per.agg(F.count("*").alias("customers"), F.avg("invoices").alias("mean"),
-                   F.max("invoices").alias("max")) \
-              .select("customers", "mean", literal_row(med)["median"].alias("median"), "max")
+def invoices_by_customer(tx: DataFrame) -> DataFrame:
+    """Distinct invoices of every known customer."""
+    return tx.dropna(subset=["CustomerID"]).groupBy("CustomerID").agg(F.count_distinct("InvoiceNo").alias("invoices"))
+
+
+def invoices_per_customer(per: DataFrame) -> DataFrame:
+    """Customers, mean, median and max of ``invoices_by_customer`` (read twice: give a written table)."""
+    med = literal_row(exact_quantiles(per, "invoices", [0.5], ["median"]))["median"]
+    sums = per.agg(F.count("*").alias("customers"), F.avg("invoices").alias("mean"), F.max("invoices").alias("max"))
+    return sums.select("customers", "mean", med.alias("median"), "max")
 
 
 # -------------------------------------------------------------- products
@@ -143,14 +146,13 @@ def home_vs_others(purch: DataFrame, home: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- cancellations
-def cancellation_summary(purch: DataFrame, canc: DataFrame) -> DataFrame:
-    """Counts, rate and absolute cancelled amount (0 when empty)."""
-    c = canc.agg(F.count("*").alias("cancellations"),
-                 F.abs(F.coalesce(F.sum("total_price"), F.lit(0.0))).alias("cancelled_amount"))
-    p = literal_row(purch.agg(F.count("*").alias("n")))["n"]
-    return c.select("cancellations", p.alias("purchases"),
-                    pct(F.col("cancellations"), F.col("cancellations") + p).alias("cancellation_rate_pct"),
-                    "cancelled_amount")
+def cancellation_summary(clean: DataFrame) -> DataFrame:
+    """Counts, rate and absolute cancelled amount (0 when empty), in one aggregate over the cleaned rows."""
+    is_c, is_p = F.col("is_cancellation"), silver.is_purchase()
+    sums = clean.agg(F.count_if(is_c).alias("cancellations"), F.count_if(is_p).alias("purchases"),
+                     F.abs(F.coalesce(F.sum(F.when(is_c, F.col("total_price"))), F.lit(0.0))).alias("cancelled_amount"))
+    rate = pct(F.col("cancellations"), F.col("cancellations") + F.col("purchases"))
+    return sums.select("cancellations", "purchases", rate.alias("cancellation_rate_pct"), "cancelled_amount")
 
 
 def cancellations_by_country(canc: DataFrame) -> DataFrame:
@@ -203,15 +205,15 @@ def event_type_counts(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("olay_tipi").agg(F.count("*").alias("row_count")).orderBy(F.col("row_count").desc())
 
 
-def dashboard_kpis(purch: DataFrame, canc: DataFrame, gold: DataFrame) -> DataFrame:
-    """The KPI row as one aggregate; no table reaches the driver."""
-    nc = literal_row(canc.agg(F.count("*").alias("n")))["n"]
-    ng = literal_row(gold.agg(F.count("*").alias("n")))["n"]
-    return purch.agg(
-        F.count("*").alias("purchases"), F.count_distinct("country").alias("countries"),
-        F.to_date(F.min("invoice_date")).alias("first_date"), F.to_date(F.max("invoice_date")).alias("last_date"),
-    ).select("purchases", nc.alias("cancellations"), ng.alias("gold_customers"), "countries",
-             "first_date", "last_date")
+def dashboard_kpis(tagged: DataFrame, gold: DataFrame) -> DataFrame:
+    """The KPI row, one conditional aggregate over the tagged Silver rows; no table reaches the driver."""
+    p, c = (F.col(silver.SILVER_TABLE) == t for t in ("purchases", "cancellations"))
+    customers = literal_row(gold.agg(F.count("*").alias("n")))["n"]
+    day = lambda f: F.to_date(f(F.when(p, F.col("invoice_date"))))
+    sums = tagged.agg(F.count_if(p).alias("purchases"), F.count_if(c).alias("cancellations"),
+                      F.count_distinct(F.when(p, F.col("country"))).alias("countries"),
+                      day(F.min).alias("first_date"), day(F.max).alias("last_date"))
+    return sums.select("purchases", "cancellations", customers.alias("gold_customers"), "countries", "first_date", "last_date")
 
 
 def step_counts(steps: list[tuple[str, DataFrame]]) -> DataFrame:
@@ -224,12 +226,25 @@ def step_counts(steps: list[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
-def cleaning_funnel(typed: DataFrame, purch_filter, canc_filter, dedup) -> DataFrame:
-    """Rows after each Silver step, plus the removed duplicates and null-flag rows."""
-    with_c = typed.filter(F.col(K).isNotNull())
-    with_d = with_c.filter(F.col("description").isNotNull())
-    clean = dedup(with_d)
-    null_flag = clean.filter(F.col("is_cancellation").isNull())
-    return step_counts([("bronze", typed), ("with_customer", with_c), ("with_description", with_d),
-                        ("deduplicated", clean), ("purchases", purch_filter(clean)),
-                        ("cancellations", canc_filter(clean)), ("null_event_type", null_flag)])
+def cleaning_funnel(typed: DataFrame) -> DataFrame:
+    """Rows after each Silver step, plus the null-flag rows, from one grouping of the typed rows.
+
+    Rows that fail an early step are grouped under their step alone; the others
+    by the de-duplication keys, where the group's size counts the copies and
+    the surviving row tells the Silver table.
+    """
+    step = F.when(F.col(K).isNull(), 0).when(F.col("description").isNull(), 1).otherwise(2)
+    staged = typed.withColumn("_step", step)
+    keys = [F.when(F.col("_step") == 2, F.col(k)).alias(f"_k{i}") for i, k in enumerate(silver.DEDUP_KEYS)]
+    # the survivor's struct lacks the keys; the quantity is one of them and is carried along
+    groups = staged.groupBy("_step", *keys).agg(F.count("*").alias("_n"), silver.survivor(typed, silver.DEDUP_KEYS).alias("_row"),
+                                                F.min("quantity").alias("_q"))
+    last = F.col("_step") == 2
+    kind, price = F.col("_row.is_cancellation"), F.col("_row.unit_price")
+    counts = {"bronze": F.sum("_n"), "with_customer": F.sum(F.when(F.col("_step") >= 1, F.col("_n"))),
+              "with_description": F.sum(F.when(last, F.col("_n"))), "deduplicated": F.count_if(last),
+              "purchases": F.count_if(last & ~kind & (F.col("_q") > 0) & (price > 0)),
+              "cancellations": F.count_if(last & kind), "null_event_type": F.count_if(last & kind.isNull())}
+    row = groups.agg(*[F.coalesce(c, F.lit(0)).alias(n) for n, c in counts.items()])
+    steps = [F.struct(F.lit(n).alias("step"), F.lit(i).alias("position"), F.col(n).alias("row_count")) for i, n in enumerate(counts)]
+    return row.select(F.inline(F.array(*steps)))

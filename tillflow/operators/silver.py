@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.functions import parse_ts
 from tillflow.sources.schemas import CANCELLATION, DEDUP_KEYS
@@ -31,21 +32,29 @@ def drop_replays(df: DataFrame, keys: list[str] = DEDUP_KEYS,
     collapses to one row per task before the shuffle instead of being sorted
     inside one reducer. Null keys group together, as in ``dropDuplicates``.
     """
-    order = [c for c in order if c in df.columns]
     rest = [c for c in df.columns if c not in keys]
-    payload = order + [c for c in rest if c not in order]
-    packed = F.min(F.struct(*[F.col(c) for c in payload])).alias("_row")
-    out = df.groupBy(*keys).agg(packed)
+    out = df.groupBy(*keys).agg(survivor(df, keys, order).alias("_row"))
     return out.select(*[F.col(k) for k in keys], *[F.col(f"_row.{c}").alias(c) for c in rest]) \
               .select(*df.columns)
 
 
+def survivor(df: DataFrame, keys: list[str] = DEDUP_KEYS, order: list[str] = SURVIVOR_ORDER) -> Column:
+    """Aggregate: the non-key columns of a group's earliest delivery, as a struct."""
+    order = [c for c in order if c in df.columns]
+    return F.min(F.struct(*order, *[c for c in df.columns if c not in keys and c not in order]))
+
+
 def silver_clean(typed: DataFrame) -> DataFrame:
     """P8 + U2: customer and description present, replays removed."""
     kept = typed.filter(F.col("kullanici_ID").isNotNull()).filter(F.col("description").isNotNull())
     return drop_replays(kept)
 
 
+def is_purchase() -> Column:
+    """P9/P10 as a condition (null for a null flag, quantity or price that decides it)."""
+    return ~F.col("is_cancellation") & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
+
+
 def purchases(clean: DataFrame) -> DataFrame:
     """Non-cancellation rows with positive quantity and price.
 
@@ -72,11 +81,16 @@ def with_silver_table(clean: DataFrame) -> DataFrame:
     tables from one evaluation and one write; each table is then a partition
     that readers select by partition pruning.
     """
-    is_p = ~F.col("is_cancellation") & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
-    tag = F.when(is_p, F.lit("purchases")).when(F.col("is_cancellation"), F.lit("cancellations"))
+    tag = F.when(is_purchase(), F.lit("purchases")).when(F.col("is_cancellation"), F.lit("cancellations"))
     return clean.withColumn(SILVER_TABLE, tag)
 
 
+def written_schema(spark) -> T.StructType:
+    """Schema of the written Silver folder: the cleaned columns and the table tag."""
+    from tillflow.streaming.bronze import FEED_SCHEMA, decode
+    return with_silver_table(silver_typed(decode(spark.createDataFrame([], FEED_SCHEMA)))).schema
+
+
 def silver_tables(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     clean = silver_clean(silver_typed(bronze))
     return purchases(clean), cancellations(clean)

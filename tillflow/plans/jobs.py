@@ -6,34 +6,45 @@ not from the raw feed), and Gold reads Silver with a literal time bound that
 Parquet can use to skip row groups.
 
     python -m tillflow.plans.jobs <sf_dir> <lake_dir> [bronze|silver|gold|train|all]
+        [--source fixture|files|kafka] [--feed PATH] [--bootstrap HOSTS] [--topic NAME] [--duration SECONDS]
+        [--format parquet|delta] [--no-models]
+
+``--source files`` ingests a folder of Kafka-shaped JSON lines and ``kafka`` a
+topic, both as a checkpointed stream that stops when drained or after
+``--duration`` seconds; ``fixture`` builds Bronze from the driver tables.
 """
 
 from __future__ import annotations
 
+import argparse
+import logging
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
 from tillflow.operators import gold, ml, silver
 from tillflow.sources import store
+from tillflow.sources.schemas import DEFAULT_TOPIC
 from tillflow.sources.tables import bronze_batch
+from tillflow.streaming import bronze as stream
 
-LAYERS = ["bronze", "silver/silver_table=purchases", "silver/silver_table=cancellations", "gold"]
-
+SILVER_FOLDER = "silver"
+SILVER_TABLES = {"purchases": "silver_purchases", "cancellations": "silver_cancellations"}
+# folder inside the lake -> table name
+LAYERS = {"bronze": "bronze", **{f"{SILVER_FOLDER}/{silver.SILVER_TABLE}={v}": t for v, t in SILVER_TABLES.items()}, "gold": "gold"}
 
 def bronze_job(spark: SparkSession, sf_dir: str, lake: str, fmt: str = "parquet") -> int:
     """C1 in batch form: the fixture feed decoded into the Bronze table."""
     return store.publish(bronze_batch(spark, sf_dir), lake, "bronze", fmt)
 
 
-SILVER_FOLDER = "silver"
-SILVER_TABLES = {"purchases": "silver_purchases", "cancellations": "silver_cancellations"}
-
-
-def silver_path(table: str) -> str:
-    """Folder of a Silver table inside the lake: a partition of the one Silver write."""
-    value = {v: k for k, v in SILVER_TABLES.items()}[table]
-    return f"{SILVER_FOLDER}/{silver.SILVER_TABLE}={value}"
+def bronze_stream_job(spark: SparkSession, lake: str, source: str, feed: str | None = None, bootstrap: str | None = None,
+                      topic: str = DEFAULT_TOPIC, duration_seconds: float = 0, fmt: str = "parquet") -> int:
+    """C1 as a stream: a feed folder or a Kafka topic appended to Bronze, with checkpoint and progress table."""
+    return stream.run_ingest(spark, feed, os.path.join(lake, "bronze"), os.path.join(lake, "_checkpoints", "bronze"),
+                             duration_seconds, fmt, source, bootstrap, topic,
+                             progress_path=os.path.join(lake, "_progress", "bronze"))
 
 
 def silver_job(spark: SparkSession, lake: str, fmt: str = "parquet") -> dict:
@@ -51,28 +62,35 @@ def silver_job(spark: SparkSession, lake: str, fmt: str = "parquet") -> dict:
 
 
 def read_silver(spark: SparkSession, lake: str, table: str, fmt: str = "parquet"):
-    return store.read_layer(spark, lake, silver_path(table), fmt)
+    value = {v: k for k, v in SILVER_TABLES.items()}[table]
+    return store.read_split(spark, lake, SILVER_FOLDER, silver.SILVER_TABLE, value, silver.written_schema(spark), fmt)
 
 
 def gold_job(spark: SparkSession, lake: str, fmt: str = "parquet", require_target: bool = True) -> int:
     """Silver tables -> Gold, with the split computed once and used as a literal."""
     p = read_silver(spark, lake, "silver_purchases", fmt)
     c = read_silver(spark, lake, "silver_cancellations", fmt)
-    split = gold.split_literal(p)
+    split = gold.split_column(p)
     return store.publish(gold.gold_features(p, c, split, require_target), lake, "gold", fmt)
 
 
-def train_job(spark: SparkSession, lake: str, fmt: str = "parquet", model_dir: str | None = None) -> list:
-    """C4: Gold -> five regressors -> run log (and saved models)."""
+def train_job(spark: SparkSession, lake: str, fmt: str = "parquet", model_dir: str | None = None,
+              save_models: bool = True) -> list:
+    """C4: Gold -> five regressors -> run log, and saved models (under ``<lake>/models`` by default).
+
+    A model that cannot be saved is a warning: the run is logged all the same.
+    """
     t = ml.train_all(store.read_layer(spark, lake, "gold", fmt))
-    metrics = [r.asDict() for r in ml.model_metrics(t).collect()]  # one row per model
-    for r in metrics:
-        r["train_rows"] = t.prepared.filter("split = 'train'").count() if r is metrics[0] else metrics[0]["train_rows"]
+    train_rows = t.prepared.filter("split = 'train'").count()
+    metrics = [{**r.asDict(), "train_rows": train_rows} for r in ml.model_metrics(t).collect()]  # one row per model
     store.log_runs(spark, lake, ml.run_records(t, metrics))
-    if model_dir:
-        for name, m in t.models.items():
-            ml.save_model(m, f"{model_dir}/{name}")
-        ml.save_model(t.pipeline, f"{model_dir}/feature_pipeline")
+    if save_models:
+        folder = model_dir or os.path.join(lake, "models")
+        for name, m in {**t.models, "feature_pipeline": t.pipeline}.items():
+            try:
+                ml.save_model(m, os.path.join(folder, name))
+            except Exception as failed:  # noqa: BLE001  any store error
+                logging.getLogger(__name__).warning("model %s was not saved: %s", name, failed)
     return metrics
 
 
@@ -83,21 +101,33 @@ def run_all(spark: SparkSession, sf_dir: str, lake: str, fmt: str = "parquet") -
     return out
 
 
-def main(argv: list[str]) -> None:
+def main(argv: list[str], spark: SparkSession | None = None) -> None:
     from tillflow.session import build_session
-    sf_dir, lake = argv[0], argv[1]
-    step = argv[2] if len(argv) > 2 else "all"
-    spark = build_session()
-    if step in ("bronze", "all"):
-        print("bronze", bronze_job(spark, sf_dir, lake))
-    if step in ("silver", "all"):
-        print("silver", silver_job(spark, lake))
-    if step in ("gold", "all"):
-        print("gold", gold_job(spark, lake))
-    if step in ("train", "all"):
-        for m in train_job(spark, lake):
+    parse = argparse.ArgumentParser(prog="tillflow.plans.jobs")
+    parse.add_argument("sf_dir")
+    parse.add_argument("lake")
+    parse.add_argument("step", nargs="?", default="all", choices=["bronze", "silver", "gold", "train", "all"])
+    parse.add_argument("--source", default="fixture", choices=["fixture", "files", "kafka"])
+    parse.add_argument("--feed")
+    parse.add_argument("--bootstrap")
+    parse.add_argument("--topic", default=DEFAULT_TOPIC)
+    parse.add_argument("--duration", type=float, default=0)
+    parse.add_argument("--format", default="parquet", choices=["parquet", "delta"])
+    parse.add_argument("--no-models", action="store_true")
+    a = parse.parse_args(argv)
+    spark, fmt, lake = spark or build_session(), a.format, a.lake
+    if a.step in ("bronze", "all"):
+        n = bronze_job(spark, a.sf_dir, lake, fmt) if a.source == "fixture" else \
+            bronze_stream_job(spark, lake, a.source, a.feed, a.bootstrap, a.topic, a.duration, fmt)
+        print("bronze", n)
+    if a.step in ("silver", "all"):
+        print("silver", silver_job(spark, lake, fmt))
+    if a.step in ("gold", "all"):
+        print("gold", gold_job(spark, lake, fmt))
+    if a.step in ("train", "all"):
+        for m in train_job(spark, lake, fmt, save_models=not a.no_models):
             print(m)
-    store.layer_counts(spark, lake, LAYERS).show()
+    store.layer_counts(spark, lake, list(LAYERS), fmt).show()
 
 
 if __name__ == "__main__":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillflow.operators import gold
+from tillflow.operators import gold, silver
 from tillflow.plans.pipeline import Layers, rounded
 from tillflow.plans.registry import query
 from tillflow.plans.sqlbase import q
@@ -58,14 +58,11 @@ GROUP BY period""", "feat", "targ", "canc_feat")
 def temporal_split(spark, sf_dir):
     """Rows, customers, bounds and amount of each period of the split."""
     L = Layers(spark, sf_dir)
-    split = L.split()
-    ts = F.col("invoice_date")
-    cols = ["kullanici_ID", "invoice_date", "total_price"]
-    tagged = (L.purchases().select(*cols, F.when(ts < split, F.lit("feature"))
-                                   .when(ts >= split, F.lit("target")).alias("period"))
-              .unionByName(L.cancellations().filter(ts < split)
-                           .select(*cols, F.lit("feature_cancellations").alias("period")))
-              .filter(F.col("period").isNotNull()))
+    split, table, ts = L.split(), F.col("silver_table"), F.col("invoice_date")
+    period = (F.when((table == "purchases") & (ts < split), "feature").when((table == "purchases") & (ts >= split), "target")
+              .when((table == "cancellations") & (ts < split), "feature_cancellations"))
+    tagged = L.written_silver().select("kullanici_ID", "invoice_date", "total_price", period.alias("period")) \
+                               .filter(F.col("period").isNotNull())
     return tagged.groupBy("period").agg(
         F.count("*").alias("row_count"), F.count_distinct("kullanici_ID").alias("customer_count"),
         F.min("invoice_date").alias("first_invoice"), F.max("invoice_date").alias("last_invoice"),
@@ -138,19 +135,27 @@ FROM gold""", "gold")
 
 @query("gold_features", GOLD_SQL)
 def gold_features(spark, sf_dir):
-    """C3 flagship: one-pass Gold from the cleaned rows."""
+    """C3 flagship: one-pass Gold from the Silver tables, which are evaluated once."""
     return rounded(Layers(spark, sf_dir).gold())
 
 
-@query("gold_features_tables", GOLD_SQL)
-def gold_features_tables(spark, sf_dir):
-    """C3 one-pass from the two Silver tables (the API used on written tables)."""
-    L = Layers(spark, sf_dir)
-    return rounded(gold.gold_features(L.purchases(), L.cancellations()))
-
-
 @query("gold_features_joined", GOLD_SQL)
 def gold_features_joined(spark, sf_dir):
-    """C3 in the join-chain shape; must equal ``gold_features``."""
+    """C3 by joins; must equal ``gold_features``."""
     L = Layers(spark, sf_dir)
-    return rounded(gold.gold_features_joined(L.purchases(), L.cancellations()))
+    return rounded(gold.gold_features_joined(L.written_purchases(), L.written_cancellations(), L.split()))
+
+
+_REPLAYED = q("""
+SELECT ilgili_ID, stock_code, kullanici_ID, invoice_date, quantity, kafka_offset, olay_tipi, is_cancellation
+FROM clean""", "clean")
+
+
+@query("silver_replayed", _REPLAYED)
+def silver_replayed(spark, sf_dir):
+    """U2 on a feed that replays a slice of itself (FIXTURES §4): the first delivery survives, so the result is Silver's."""
+    first = Layers(spark, sf_dir).bronze()
+    copies = first.filter(F.pmod(F.floor(F.col("kafka_offset") / 8), F.lit(20)) == 0) \
+                  .withColumn("kafka_offset", F.col("kafka_offset") + (1 << 40))
+    clean = silver.silver_clean(silver.silver_typed(first.unionByName(copies)))
+    return clean.select(*silver.DEDUP_KEYS, "kafka_offset", "olay_tipi", "is_cancellation")

@@ -1,38 +1,77 @@
 """Registered queries: Spark ML on the Gold table.
 
-Training runs once per (session, input folder) and is shared by the ML
-queries; its inputs and predictions are checkpointed in the shared folder.
+Queries over fitted models are rows-only (tree fits differ between engines);
+the splits, vectors, metrics, run log and search have SQL, over deterministic
+predictors where a model is needed.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators import gold, ml
+from tillflow.operators import ml
+from tillflow.plans import jobs
 from tillflow.plans.pipeline import Layers, rounded
 from tillflow.plans.registry import query
 from tillflow.plans.sqlbase import q, register
-from tillflow.session import ensure_checkpoint_dir, scratch_path
+from tillflow.session import scratch_path
 from tillflow.sources import store
 
-_TRAINED: dict = {}
-
 register("trim_pos", "SELECT * FROM gold WHERE future_spending > 0", ("gold",))
 register("trim_t1", """
 SELECT * FROM trim_pos WHERE future_spending <= (SELECT quantile_cont(future_spending, 0.99) FROM trim_pos)""",
          ("trim_pos",))
 
 
+register("trimmed", "SELECT * FROM trim_t1 WHERE monetary <= (SELECT quantile_cont(monetary, 0.99) FROM trim_t1)", ("trim_t1",))
+register("split_rows", f"""
+SELECT *, CASE WHEN ('0x' || substr(md5(CAST(kullanici_ID AS VARCHAR) || ':{ml.SEED}'), 1, 8))::BIGINT % 100 < {ml.TRAIN_SHARE}
+          THEN 'train' ELSE 'test' END AS split FROM trimmed""", ("trimmed",))
+register("baseline", """
+SELECT kullanici_ID, future_spending, 'TrainMean' AS model, (SELECT avg(future_spending) FROM split_rows WHERE split = 'train') AS prediction
+FROM split_rows WHERE split = 'test'
+UNION ALL
+SELECT kullanici_ID, future_spending, 'PastSpend', monetary * (SELECT avg(future_spending) / avg(monetary) FROM split_rows WHERE split = 'train')
+FROM split_rows WHERE split = 'test'""", ("split_rows",))
+register("baseline_scores", """
+SELECT model, count(*) AS n_test, sqrt(avg((prediction - future_spending) ** 2)) AS rmse, avg(abs(prediction - future_spending)) AS mae,
+       1 - sum((prediction - future_spending) ** 2) / nullif(count(*) * var_pop(future_spending), 0) AS r2
+FROM baseline GROUP BY model""", ("baseline",))
+
+
+_TRAINED: dict = {}
+
+
+def _inputs(spark, sf_dir) -> tuple:
+    """(file, length, modification time) of the driver tables that Gold comes from."""
+    sc, found = spark.sparkContext, []
+    for table in ("lineitem", "orders", "part", "customer", "nation"):
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        files = path.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def trained(spark, sf_dir) -> ml.Trained:
-    ensure_checkpoint_dir(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The five fitted models, shared by the queries of one application over unchanged input files."""
+    key = (spark.sparkContext.applicationId, _inputs(spark, sf_dir))
     if key not in _TRAINED:
+        _TRAINED.clear()
         _TRAINED[key] = ml.train_all(Layers(spark, sf_dir).gold_materialized())
     return _TRAINED[key]
 
 
+def split_rows(spark, sf_dir):
+    return ml.train_test_split(ml.outlier_trim(Layers(spark, sf_dir).gold_materialized()))
+
+
 @query("outlier_trim", q("""
 SELECT kullanici_ID, recency_days, frequency, round(monetary, 4) AS monetary,
        round(avg_basket_value, 4) AS avg_basket_value,
@@ -68,16 +107,96 @@ def outlier_trim_script(spark, sf_dir):
     return rounded(ml.outlier_trim(g, trim_monetary=False, bound_before_positive=True))
 
 
-@query("train_test_split")
+_GOLD = """kullanici_ID, recency_days, frequency, round(monetary, 4) AS monetary,
+       round(avg_basket_value, 4) AS avg_basket_value, round(avg_days_between_purchases, 4) AS avg_days_between_purchases,
+       unique_products, cancellation_count, active_months, most_active_hour, country, round(future_spending, 4) AS future_spending"""
+
+
+@query("train_test_split", q(f"SELECT {_GOLD}, split FROM split_rows", "split_rows"))
 def train_test_split(spark, sf_dir):
     """M3: trimmed Gold with a repeatable 80/20 hash split on the customer key."""
-    return rounded(ml.train_test_split(ml.outlier_trim(Layers(spark, sf_dir).gold_materialized())))
+    return rounded(split_rows(spark, sf_dir))
+
 
+def _features_sql() -> str:
+    numbers = ", ".join(f"coalesce(round({c} / nullif((SELECT stddev_samp({c}) FROM tr), 0), 4), 0.0)" for c in ml.NUMERIC_COLS)
+    return q(f"""
+SELECT kullanici_ID, split, round(future_spending, 4) AS future_spending,
+       list_concat([{numbers}], list_transform((SELECT list(struct_pack(c := country, sd := sd) ORDER BY n DESC, country) FROM slots),
+                   lambda s: CASE WHEN s.c = country THEN coalesce(round(1 / nullif(s.sd, 0), 4), 0.0) ELSE 0.0 END)) AS features
+FROM split_rows""", "slots")
 
-@query("ml_features")
+
+register("tr", "SELECT * FROM split_rows WHERE split = 'train'", ("split_rows",))
+register("slots", """
+SELECT country, count(*) AS n, sqrt(count(*) * ((SELECT count(*) FROM tr) - count(*)) / ((SELECT count(*) FROM tr) * ((SELECT count(*) FROM tr) - 1.0))) AS sd
+FROM tr GROUP BY country""", ("tr",))
+
+
+@query("ml_features", _features_sql())
 def ml_features(spark, sf_dir):
     """M4-M8: scaled feature vectors (as arrays) of every customer, pipeline fitted on train only."""
-    return ml.features_frame(trained(spark, sf_dir))
+    rows = split_rows(spark, sf_dir)
+    out = ml.feature_pipeline().fit(rows.filter(F.col("split") == "train")).transform(rows)
+    return rounded(out.select("kullanici_ID", "split", ml.TARGET, F.transform(
+        vector_to_array("features"), lambda x: F.round(x, 4)).alias("features")))
+
+
+_SCORES = "model, n_test, round(rmse, 4) AS rmse, round(mae, 4) AS mae, round(r2, 6) AS r2"
+
+
+def _baseline_metrics(spark, sf_dir):
+    m = ml.regression_metrics(ml.baseline_predictions(split_rows(spark, sf_dir)), ["model"])
+    return m.select("model", "n_test", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
+
+
+@query("baseline_metrics", q(f"SELECT {_SCORES} FROM baseline_scores", "baseline_scores"))
+def baseline_metrics(spark, sf_dir):
+    """M14 over the deterministic predictors."""
+    return _baseline_metrics(spark, sf_dir)
+
+
+@query("baseline_leaderboard", q(f"SELECT {_SCORES}, row_number() OVER (ORDER BY rmse, model) = 1 AS is_best FROM baseline_scores",
+                                 "baseline_scores"))
+def baseline_leaderboard(spark, sf_dir):
+    """M15 over the deterministic predictors."""
+    return ml.ranked(_baseline_metrics(spark, sf_dir))
+
+
+@query("baseline_residuals", q("""
+SELECT model, count(*) AS n, round(avg(r), 4) AS mean_residual, round(stddev_samp(r), 4) AS std_residual,
+       round(max(r), 4) AS max_residual, round(min(r), 4) AS min_residual
+FROM (SELECT model, future_spending - prediction AS r FROM baseline) GROUP BY model""", "baseline"))
+def baseline_residuals(spark, sf_dir):
+    """M16 over the deterministic predictors, all test rows."""
+    return rounded(ml.residual_stats(ml.baseline_predictions(split_rows(spark, sf_dir))))
+
+
+def _logged_baselines(spark, sf_dir) -> str:
+    rows = [r.asDict() for r in _baseline_metrics(spark, sf_dir).collect()]  # one row per predictor
+    root = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    store.log_runs(spark, root, ml.baseline_records(rows))
+    store.log_runs(spark, root, [{"experiment": "other", "run_name": "x", "model_type": "x"}])
+    return root
+
+
+@query("baseline_run_log", q(f"""
+SELECT '{ml.EXPERIMENT}-baselines' AS experiment, model AS run_name, model AS model_type, unnest(['rmse', 'mae', 'r2']) AS metric,
+       unnest([round(rmse, 4), round(mae, 4), round(r2, 6)]) AS value, '{ml.SEED}' AS seed, '{ml.TRAIN_SHARE}' AS train_share
+FROM baseline_scores""", "baseline_scores"))
+def baseline_run_log(spark, sf_dir):
+    """K5: the predictors' runs as the run-log table holds them (metrics and parameters unfolded)."""
+    runs = spark.read.parquet(f"{_logged_baselines(spark, sf_dir)}/runs").filter(F.col("experiment") != "other")
+    return runs.select("experiment", "run_name", "model_type", F.explode("metrics").alias("metric", "value"),
+                       F.col("params")["seed"].alias("seed"), F.col("params")["train_share"].alias("train_share"))
+
+
+@query("baseline_run_search", q("SELECT model AS run_name, round(rmse, 4) AS rmse, round(mae, 4) AS mae, round(r2, 6) AS r2 FROM baseline_scores",
+                                "baseline_scores"))
+def baseline_run_search(spark, sf_dir):
+    """The runs of one experiment among others, best first."""
+    runs = store.search_runs(spark, _logged_baselines(spark, sf_dir), f"{ml.EXPERIMENT}-baselines")
+    return runs.select("run_name", *[F.col("metrics")[m].alias(m) for m in ("rmse", "mae", "r2")]).orderBy("rmse", "run_name")
 
 
 @query("model_metrics")
@@ -132,19 +251,17 @@ def run_search(spark, sf_dir):
                .orderBy("rmse", "run_name")
 
 
-@query("publish_history")
+@query("publish_history", q("""
+SELECT t.name AS "table", v.version, CASE WHEN v.version = 0 THEN 'WRITE' ELSE 'OVERWRITE' END AS operation, t.n AS num_output_rows
+FROM (SELECT 'bronze' AS name, count(*) AS n FROM bronze UNION ALL SELECT 'silver_purchases', count(*) FROM purchases
+      UNION ALL SELECT 'silver_cancellations', count(*) FROM cancellations UNION ALL SELECT 'gold', count(*) FROM gold) t,
+     (SELECT unnest([0, 1])::BIGINT AS version) v
+WHERE v.version = 0 OR t.name <> 'bronze'""", "bronze", "purchases", "cancellations", "gold"))
 def publish_history(spark, sf_dir):
-    """K3/K7: Silver published twice, Gold built from the written Silver; the version log."""
-    L = Layers(spark, sf_dir)
-    root = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
-    for _ in range(2):
-        store.publish(L.purchases(), root, "silver_purchases")
-        store.publish(L.cancellations(), root, "silver_cancellations")
-    silver_p = store.read_layer(spark, root, "silver_purchases")
-    silver_c = store.read_layer(spark, root, "silver_cancellations")
-    store.publish(gold.gold_features(silver_p, silver_c, gold.split_literal(silver_p)), root, "gold")
-    hist = [store.publish_history(spark, root, t) for t in ("silver_purchases", "silver_cancellations", "gold")]
-    out = hist[0]
-    for h in hist[1:]:
-        out = out.unionByName(h)
-    return out.select("table", "version", "operation", "num_output_rows")
+    """K3/K7: Bronze published once, Silver and Gold twice from the written layer below; the version log."""
+    lake = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    jobs.run_all(spark, sf_dir, lake)
+    jobs.silver_job(spark, lake)
+    jobs.gold_job(spark, lake)
+    logs = [store.publish_history(spark, lake, t) for t in jobs.LAYERS.values()]
+    return reduce(DataFrame.unionByName, logs).select("table", "version", "operation", "num_output_rows")

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tillflow.operators import profile, reports, silver
 from tillflow.plans.pipeline import Layers, rounded
 from tillflow.plans.registry import query
 from tillflow.plans.sqlbase import q, register
-from tillflow.sources.schemas import BRONZE_COLUMNS, SOURCE_COLUMNS, WEEKDAY_NAMES
+from tillflow.session import scratch_path
+from tillflow.sources import store
+from tillflow.sources.tables import transactions
+from tillflow.sources.schemas import BRONZE_COLUMNS, CUSTOMER, GOLD_COLUMNS, SOURCE_COLUMNS, WEEKDAY_NAMES
 
 # Home country of the fixture (largest country at sf0.01); a parameter of the reports.
 HOME = "NATION_7"
 PURCHASE_NUMERIC = ["quantity", "unit_price", "total_price"]
 SOURCE_NUMERIC = ["Quantity", "UnitPrice", "CustomerID"]
-GOLD_NUMERIC = ["recency_days", "frequency", "monetary", "avg_basket_value", "avg_days_between_purchases",
-                "unique_products", "cancellation_count", "active_months", "most_active_hour", "future_spending"]
+GOLD_NUMERIC = [c for c in GOLD_COLUMNS if c not in (CUSTOMER, "country")]
 SILVER_COLUMNS = BRONZE_COLUMNS + ["total_price", "is_cancellation"]
 
+register("tx_gaps", "SELECT * REPLACE (CASE WHEN feed_position % 7 = 0 THEN NULL ELSE Quantity END AS Quantity) FROM tx", ("tx",))
 register("cstats", """
 SELECT kullanici_ID, count(*) AS row_count, count(DISTINCT ilgili_ID) AS invoice_count,
        sum(total_price) AS total_spend, count(DISTINCT stock_code) AS unique_products
@@ -95,7 +100,9 @@ SELECT count(*) AS customers, round(avg(invoices), 4) AS mean, round(quantile_co
 FROM (SELECT CustomerID, count(DISTINCT InvoiceNo) AS invoices FROM tx WHERE CustomerID IS NOT NULL GROUP BY 1)""",
                                   "tx"))
 def invoices_per_customer(spark, sf_dir):
-    return rounded(reports.invoices_per_customer(Layers(spark, sf_dir).transactions()))
+    L = Layers(spark, sf_dir)
+    per = L.write(reports.invoices_by_customer(L.transactions()), "invoices")
+    return rounded(reports.invoices_per_customer(per))
 
 
 # -------------------------------------------------------------- products
@@ -165,8 +172,7 @@ SELECT count(*) AS cancellations, (SELECT count(*) FROM purchases) AS purchases,
        round(abs(coalesce(sum(total_price), 0.0)), 4) AS cancelled_amount
 FROM cancellations""", "purchases", "cancellations"))
 def cancellation_summary(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    return rounded(reports.cancellation_summary(L.purchases(), L.cancellations()))
+    return rounded(reports.cancellation_summary(Layers(spark, sf_dir).clean()))
 
 
 @query("cancellations_by_country", q("""
@@ -223,7 +229,7 @@ SELECT count(*) AS purchases, (SELECT count(*) FROM cancellations) AS cancellati
 FROM purchases""", "purchases", "cancellations", "gold"))
 def dashboard_kpis(spark, sf_dir):
     L = Layers(spark, sf_dir)
-    return reports.dashboard_kpis(L.purchases(), L.cancellations(), L.gold())
+    return reports.dashboard_kpis(L.written_silver(), L.gold())
 
 
 @query("cleaning_funnel", q("""
@@ -236,8 +242,33 @@ UNION ALL SELECT 'cancellations', 5, count(*) FROM cancellations
 UNION ALL SELECT 'null_event_type', 6, count(*) FROM clean WHERE is_cancellation IS NULL""",
                             "typed", "clean", "purchases", "cancellations"))
 def cleaning_funnel(spark, sf_dir):
-    return reports.cleaning_funnel(Layers(spark, sf_dir).typed(), silver.purchases, silver.cancellations,
-                                   silver.drop_replays)
+    return reports.cleaning_funnel(Layers(spark, sf_dir).typed())
+
+
+register("typed_gaps", """
+SELECT * REPLACE (CASE WHEN kafka_offset // 8 % 31 = 0 THEN NULL ELSE olay_tipi END AS olay_tipi,
+                  CASE WHEN kafka_offset // 8 % 31 = 0 THEN NULL ELSE is_cancellation END AS is_cancellation) FROM typed""", ("typed",))
+register("typed_twice", """
+SELECT * FROM typed_gaps UNION ALL SELECT * FROM typed_gaps WHERE kafka_offset // 8 % 20 = 0""", ("typed_gaps",))
+register("clean_gaps", """
+SELECT DISTINCT ON (ilgili_ID, stock_code, kullanici_ID, invoice_date, quantity) * FROM typed_twice
+WHERE kullanici_ID IS NOT NULL AND description IS NOT NULL
+ORDER BY ilgili_ID, stock_code, kullanici_ID, invoice_date, quantity, kafka_timestamp, kafka_partition, kafka_offset""", ("typed_twice",))
+
+
+@query("cleaning_funnel_replayed", q("""
+SELECT 'bronze' AS step, 0 AS position, count(*) AS row_count FROM typed_twice
+UNION ALL SELECT 'with_customer', 1, count(*) FROM typed_twice WHERE kullanici_ID IS NOT NULL
+UNION ALL SELECT 'with_description', 2, count(*) FROM typed_twice WHERE kullanici_ID IS NOT NULL AND description IS NOT NULL
+UNION ALL SELECT 'deduplicated', 3, count(*) FROM clean_gaps
+UNION ALL SELECT 'purchases', 4, count(*) FROM clean_gaps WHERE NOT is_cancellation AND quantity > 0 AND unit_price > 0
+UNION ALL SELECT 'cancellations', 5, count(*) FROM clean_gaps WHERE is_cancellation
+UNION ALL SELECT 'null_event_type', 6, count(*) FROM clean_gaps WHERE is_cancellation IS NULL""", "clean_gaps"))
+def cleaning_funnel_replayed(spark, sf_dir):
+    """E17 over a feed with replayed orders (a twentieth) and orders without an event type (one in 31)."""
+    order = F.floor(F.col("kafka_offset") / 8)
+    gaps = Layers(spark, sf_dir).bronze().withColumn("olay_tipi", F.when(order % 31 != 0, F.col("olay_tipi")))
+    return reports.cleaning_funnel(silver.silver_typed(gaps.unionByName(gaps.filter(order % 20 == 0))))
 
 
 @query("layer_counts", q("""
@@ -246,11 +277,13 @@ UNION ALL SELECT 'silver_purchases', count(*) FROM purchases
 UNION ALL SELECT 'silver_cancellations', count(*) FROM cancellations
 UNION ALL SELECT 'gold', count(*) FROM gold""", "bronze", "purchases", "cancellations", "gold"))
 def layer_counts(spark, sf_dir):
-    """Row count of every layer as one frame."""
-    L = Layers(spark, sf_dir)
-    steps = [("bronze", L.bronze()), ("silver_purchases", L.purchases()),
-             ("silver_cancellations", L.cancellations()), ("gold", L.gold())]
-    return reports.step_counts(steps).select(F.col("step").alias("layer"), "row_count")
+    """The layers written by the jobs, and the row count of every one of them."""
+    from tillflow.plans import jobs
+    lake = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    jobs.run_all(spark, sf_dir, lake)
+    names = F.create_map(*[F.lit(x) for kv in jobs.LAYERS.items() for x in kv])
+    counts = store.layer_counts(spark, lake, list(jobs.LAYERS))
+    return counts.select(names[F.col("layer")].alias("layer"), "row_count")
 
 
 # ------------------------------------------------------------- profiles
@@ -301,7 +334,7 @@ SELECT count(total_spend) AS count, round(quantile_cont(total_spend, 0.5), 4) AS
        round(avg(total_spend), 4) AS mean, round(stddev_samp(total_spend), 4) AS std,
        round(max(total_spend), 4) AS max FROM cstats""", "cstats"))
 def spend_summary(spark, sf_dir):
-    stats = reports.customer_stats(Layers(spark, sf_dir).purchases())
+    stats = Layers(spark, sf_dir).customer_stats()
     return rounded(profile.spend_summary(stats, "total_spend"))
 
 
@@ -341,7 +374,7 @@ TARGET_BINS = {"future_spending": 50, "log1p_future_spending": 50}
 
 @query("spend_histogram", q(_hist_sql("cstats", SPEND_BINS), "cstats"))
 def spend_histogram(spark, sf_dir):
-    stats = reports.customer_stats(Layers(spark, sf_dir).purchases())
+    stats = Layers(spark, sf_dir).customer_stats()
     return rounded(profile.histograms(stats, SPEND_BINS))
 
 
@@ -367,27 +400,39 @@ SELECT round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round
 FROM (SELECT quantile_cont(total_spend, 0.25) AS q1, quantile_cont(total_spend, 0.5) AS median,
              quantile_cont(total_spend, 0.75) AS q3 FROM cstats)""", "cstats"))
 def spend_boxplot(spark, sf_dir):
-    stats = reports.customer_stats(Layers(spark, sf_dir).purchases())
+    stats = Layers(spark, sf_dir).customer_stats()
     return rounded(profile.boxplot_stats(stats, "total_spend"))
 
 
-def _corr_sql() -> str:
-    a_list, b_list, exprs = [], [], []
-    for a in GOLD_NUMERIC:
-        for b in GOLD_NUMERIC:
-            a_list.append(f"'{a}'")
-            b_list.append(f"'{b}'")
-            exprs.append(f"round(CASE WHEN stddev_samp({a}) > 0 AND stddev_samp({b}) > 0 "
-                         f"THEN corr({a}, {b}) END, 6)")
-    return (f"SELECT unnest([{', '.join(a_list)}]) AS feature_a, unnest([{', '.join(b_list)}]) AS feature_b, "
-            f"unnest([{', '.join(exprs)}]) AS corr FROM gold")
+def _corr_sql(columns: list[str], source: str) -> str:
+    """Pairwise-complete correlations: DuckDB's corr uses the rows where both columns are present."""
+    pairs = [(a, b) for a in columns for b in columns]
+    varies = lambda x, y: f"stddev_samp({x}) FILTER (WHERE {y} IS NOT NULL) > 0"
+    exprs = [f"round(CASE WHEN {varies(a, b)} AND {varies(b, a)} THEN corr({a}, {b}) END, 6)" for a, b in pairs]
+    return (f"SELECT unnest([{', '.join(repr(a) for a, _ in pairs)}]) AS feature_a, "
+            f"unnest([{', '.join(repr(b) for _, b in pairs)}]) AS feature_b, unnest([{', '.join(exprs)}]) AS corr FROM {source}")
 
 
-@query("feature_correlation", q(_corr_sql(), "gold"))
+@query("feature_correlation", q(_corr_sql(GOLD_NUMERIC, "gold"), "gold"))
 def feature_correlation(spark, sf_dir):
     return rounded(profile.correlation_matrix(Layers(spark, sf_dir).gold(), GOLD_NUMERIC), 6)
 
 
+@query("source_correlation", q(_corr_sql(SOURCE_NUMERIC, "tx_gaps"), "tx_gaps"))
+def source_correlation(spark, sf_dir):
+    """E9 over source columns with nulls (the customers' own, and every seventh quantity taken out)."""
+    tx = transactions(spark, sf_dir)
+    gaps = tx.withColumn("Quantity", F.when(F.col("_feed_position") % 7 != 0, F.col("Quantity")))
+    return rounded(profile.correlation_matrix(gaps, SOURCE_NUMERIC), 6)
+
+
+@query("target_correlation", q("SELECT feature_a AS feature, corr FROM (" + _corr_sql(GOLD_NUMERIC, "gold")
+                               + ") WHERE feature_b = 'future_spending' AND feature_a <> 'future_spending'", "gold"))
+def target_correlation(spark, sf_dir):
+    """Every feature's correlation with the target, strongest first."""
+    return rounded(profile.target_correlation(Layers(spark, sf_dir).gold(), GOLD_NUMERIC, "future_spending"), 6)
+
+
 def _describe_sql(source: str, cols: list[str]) -> str:
     return _union([f"""
 SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
@@ -408,5 +453,5 @@ def describe_gold(spark, sf_dir):
 @query("describe_customer_stats", q(_describe_sql("cstats", CUSTOMER_STAT_COLS), "cstats"))
 def describe_customer_stats(spark, sf_dir):
     """E2 on the per-customer profile (rows, invoices, spend, products)."""
-    stats = reports.customer_stats(Layers(spark, sf_dir).purchases())
+    stats = Layers(spark, sf_dir).customer_stats()
     return rounded(profile.describe_quartiles(stats, CUSTOMER_STAT_COLS))

@@ -12,6 +12,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.sources.schemas import PUBLISH_LOG_SCHEMA, RUN_LOG_SCHEMA
 
@@ -52,12 +53,14 @@ def publish_split(df: DataFrame, root: str, folder: str, column: str, tables: di
                   fmt: str = "parquet") -> dict[str, int]:
     """K3 for tables that are partitions of one write: ``tables`` maps a value of
     ``column`` to a table name. Rows with another value (or null) are not written.
+    The whole folder is replaced (a table without rows leaves no old partition).
     Each table is logged with its own row count (from one grouped count)."""
     spark = df.sparkSession
     path = os.path.join(root, folder)
-    df.filter(F.col(column).isin(list(tables))).write.format(fmt).mode("overwrite").partitionBy(column).save(path)
-    counts = {r[column]: r["n"] for r in
-              spark.read.format(fmt).load(path).groupBy(column).agg(F.count("*").alias("n")).collect()}
+    w = df.filter(F.col(column).isin(list(tables))).write.format(fmt).mode("overwrite").partitionBy(column)
+    w.option("overwriteSchema" if fmt == "delta" else "partitionOverwriteMode", "true" if fmt == "delta" else "static").save(path)
+    back = read_split(spark, root, folder, column, None, df.schema, fmt)
+    counts = {r[column]: r["n"] for r in back.groupBy(column).agg(F.count("*").alias("n")).collect()}
     out = {}
     for value, table in tables.items():
         out[table] = counts.get(value, 0)
@@ -65,6 +68,23 @@ def publish_split(df: DataFrame, root: str, folder: str, column: str, tables: di
     return out
 
 
+def read_split(spark: SparkSession, root: str, folder: str, column: str, value: str | None, schema: T.StructType,
+               fmt: str = "parquet") -> DataFrame:
+    """A table of ``publish_split``: the folder's root, pruned to one partition (all of them for ``value`` None).
+
+    The root is read with the known schema, so a table without rows is empty
+    instead of a missing path, and a Delta folder is read as the table it is.
+    """
+    reader = spark.read.format(fmt)
+    whole = (reader if fmt == "delta" else reader.schema(schema)).load(os.path.join(root, folder))
+    return whole if value is None else whole.filter(F.col(column) == value).drop(column)
+
+
+def _now() -> dt.datetime:
+    """Zone-aware, so that the stored instant does not depend on the process's zone."""
+    return dt.datetime.now(dt.timezone.utc)
+
+
 def _log(spark: SparkSession, root: str, table: str, rows: int, path: str) -> None:
     log_path = os.path.join(root, LOG_DIR)
     version = 0
@@ -72,14 +92,23 @@ def _log(spark: SparkSession, root: str, table: str, rows: int, path: str) -> No
         prev = spark.read.schema(PUBLISH_LOG_SCHEMA).parquet(log_path).filter(F.col("table") == table) \
                     .agg(F.max("version")).first()[0]
         version = 0 if prev is None else prev + 1
-    entry = spark.createDataFrame([(table, version, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                                    "WRITE" if version == 0 else "OVERWRITE", rows, path)],
+    entry = spark.createDataFrame([(table, version, _now(), "WRITE" if version == 0 else "OVERWRITE", rows, path)],
                                   PUBLISH_LOG_SCHEMA)
     entry.coalesce(1).write.mode("append").parquet(log_path)
 
 
-def publish_history(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """K7: versions of one table, newest first (empty frame when never published)."""
+def publish_history(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
+    """K7: versions of one table, newest first (empty frame when never published).
+
+    With ``fmt="delta"`` the table's own transaction history answers; otherwise
+    the log that every publish appends to.
+    """
+    if fmt == "delta":
+        from delta.tables import DeltaTable
+        path = os.path.join(root, table)
+        return DeltaTable.forPath(spark, path).history().select(
+            F.lit(table).alias("table"), F.col("version"), F.col("timestamp"), F.col("operation"),
+            F.col("operationMetrics")["numOutputRows"].cast("long").alias("num_output_rows"), F.lit(path).alias("path"))
     log_path = os.path.join(root, LOG_DIR)
     if not _exists(spark, log_path):
         return spark.createDataFrame([], PUBLISH_LOG_SCHEMA)
