@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.graph import Forest, components, work_units
-from tillflow.llm.runtime import drop_scratch, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -255,10 +255,11 @@ def drop_near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 
     Of rows that repeat a doc_id the one with the least text stays; rows with a null doc_id all stay.
     """
-    seen = near_duplicates(docs, p).filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")) \
+    id_, row = fresh(docs, "_id", "_row")
+    seen = near_duplicates(docs, p).filter("doc_id is not null").groupBy(F.col("doc_id").alias(id_)) \
         .agg(F.count(F.lit(1)).alias("n"), F.bool_and("kept").alias("stays"))
     touched = scratch_table(seen.filter("n > 1 or not stays"), "touched")
-    untouched = docs.join(touched, F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = docs.join(touched.filter("stays"), F.col("doc_id") == F.col("_id"), "left_semi")
-    first = repeated.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text")).alias("_row"))
-    return untouched.unionByName(first.select("_row.*"))
+    untouched = docs.join(touched.select(id_), F.col("doc_id") == F.col(id_), "left_anti")
+    repeated = docs.join(touched.filter("stays").select(id_), F.col("doc_id") == F.col(id_), "left_semi")
+    first = repeated.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text")).alias(row))
+    return untouched.unionByName(first.select(f"{row}.*"))

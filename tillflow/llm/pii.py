@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
-from tillflow.llm.runtime import scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = 4  # the kind number of a revealing term, listed behind the base kinds
@@ -269,20 +269,20 @@ def replace_spans(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[at:]
 
 
-def _sanitise_batches(p: Disclosure):
+def _sanitise_batches(p: Disclosure, marks: list[str]):
     names = [f"<{k.upper()}>" for k in KINDS]
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            extra = [batch.column(c).to_pylist() for c in ("_kinds", "_starts", "_ends", "_terms")]
+            extra = [batch.column(c).to_pylist() for c in marks]
             changed = [False] * len(texts)
             for i, (kinds, starts, ends, terms) in enumerate(zip(*extra)):
                 spans = [(a, b, names[k]) for k, a, b in zip(kinds or (), starts or (), ends or ())]
                 spans += [(t["start"], t["end"], "" if t["disclosure"] >= p.remove else "<TERM>") for t in terms or ()]
                 if spans:
                     texts[i], changed[i] = replace_spans(texts[i], spans), True
-            cols = {c: batch.column(c) for c in batch.schema.names if c not in ("_kinds", "_starts", "_ends", "_terms")}
+            cols = {c: batch.column(c) for c in batch.schema.names if c not in marks}
             cols["text"] = pa.array(texts, batch.schema.field("text").type)
             if "n_chars" in cols:
                 cols["n_chars"] = pa.array([len(t) if x else n for t, x, n in zip(texts, changed, cols["n_chars"].to_pylist())],
@@ -293,12 +293,12 @@ def _sanitise_batches(p: Disclosure):
 
 def sanitise(docs: DataFrame, p: Disclosure = Disclosure()) -> DataFrame:
     """``docs`` with base entities and revealing terms replaced in ``text``; same rows and columns."""
-    marks = find(docs, p).filter((F.size("kinds") > 0) | (F.size("terms") > 0)).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("kinds").alias("_kinds"),
-        F.col("starts").alias("_starts"), F.col("ends").alias("_ends"), F.col("terms").alias("_terms")).dropDuplicates(["_id", "_key"])
-    joined = docs.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left") \
-                 .select(*docs.columns, "_kinds", "_starts", "_ends", "_terms")
-    return joined.mapInArrow(_sanitise_batches(p), docs.schema)
+    id_, key, *marks = fresh(docs, "_id", "_key", "_kinds", "_starts", "_ends", "_terms")
+    found = find(docs, p).filter((F.size("kinds") > 0) | (F.size("terms") > 0)) \
+        .select("doc_id", "text_key", "kinds", "starts", "ends", "terms").toDF(id_, key, *marks).dropDuplicates([id_, key])
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key)), "left") \
+                 .select(*docs.columns, *marks)
+    return joined.mapInArrow(_sanitise_batches(p, marks), docs.schema)
 
 
 def span_digest(kinds: list[int], starts: list[int], ends: list[int]) -> str:

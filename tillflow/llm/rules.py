@@ -6,15 +6,17 @@ at least twice in it.
 
 The method: lines are normalised (words joined by one space, A-Z lower-cased,
 digits as 0) and hashed; for every host the documents that hold a line are
-counted, each document once. A line is boilerplate of its host when more than
-``max(line_docs, line_share * documents of the host)`` different documents hold
-it. Documents count as different when their sketches (the least hashed 4-word
-shingle) differ, and at least ``spread_percent`` percent of the line's
-documents must differ, so the copies of one document do not make each other's
-lines boilerplate. Boilerplate lines are removed, and a document that loses
-more than ``depleted_percent`` percent of its words is rejected.
-
-Counts are aggregations with map-side combination on (host, line, sketch), so a
+counted, equal texts once. A line in more than
+``max(line_docs, line_share * documents of the host)`` documents is frequent. A
+frequent line is boilerplate if its documents are different ones: each is known
+by its sketch, the least hashed 4-word shingle of its other, infrequent lines
+(of all its lines if it has none), and more than that limit, and at least
+``spread_percent`` percent of them, must differ. The edited copies of one
+document share their sketches, so they do not make each other's lines
+boilerplate. Boilerplate lines are removed, and a document that loses more than
+``depleted_percent`` percent of its words is rejected.
+
+Counts are aggregations with map-side combination on (host, line, text), so a
 host or a line that holds a third of all rows is no special case; texts are not
 shuffled.
 
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
-from tillflow.llm.runtime import scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -92,7 +94,7 @@ def base_measures(buf: np.ndarray, offs: np.ndarray, w: arrays.Words) -> dict[st
 
 
 def line_keys(buf: np.ndarray, offs: np.ndarray):
-    """(row, line number, words, hash) of every line with a word, and each row's sketch."""
+    """(row, line number, words, hash, least 4-word shingle) of every line with a word."""
     w = arrays.words(buf, offs, arrays.line_table())
     starts, ends, row = arrays.lines(buf, offs)
     number = np.arange(len(row)) - np.searchsorted(row, row)
@@ -100,16 +102,19 @@ def line_keys(buf: np.ndarray, offs: np.ndarray):
     has = hi > lo
     with np.errstate(over="ignore"):
         h = arrays.span_hash(arrays.prefix(w.hashes), lo[has], hi[has])
-    s, at = arrays.shingles(w, 4)
-    least = np.zeros(len(offs) - 1, np.uint64)
-    filled = np.diff(at) > 0
-    if filled.any():
-        least[filled] = np.minimum.reduceat(s, at[:-1][filled])
+    # shingles inside each line: the lines take the part of rows
+    inner = arrays.Words(w.buf, w.starts, w.ends, np.append(lo[has], hi[has][-1:]), w.hashes)
+    least = np.minimum.reduceat(*_line_shingles(inner)) if has.any() else np.zeros(0, np.uint64)
     return row[has], number[has], (hi - lo)[has], h, least
 
 
+def _line_shingles(lines: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
+    s, at = arrays.shingles(lines, 4)
+    return s, at[:-1]
+
+
 _PROFILE = ("doc_id long, host long, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-            "n_repeat_words long, sketch long, lines array<struct<h:long,words:int,numbers:array<int>>>")
+            "n_repeat_words long, lines array<struct<h:long,words:int,least:long,numbers:array<int>>>")
 
 
 def _profile_batches(batches):
@@ -119,22 +124,22 @@ def _profile_batches(batches):
             m = base_measures(buf, offs, arrays.words(buf, offs))
             row, number, size, h, least = line_keys(buf, offs)
             lines: list[dict] = [{} for _ in range(len(offs) - 1)]
-            for r, no, k, x in zip(row.tolist(), number.tolist(), size.tolist(), h.view(np.int64).tolist()):
+            for r, no, k, x, s in zip(row.tolist(), number.tolist(), size.tolist(), h.view(np.int64).tolist(),
+                                      least.view(np.int64).tolist()):
                 have = lines[r].get(x)
                 if have is None:
-                    lines[r][x] = [k, [no]]
+                    lines[r][x] = [k, s, [no]]
                 else:
                     have[0] += k
-                    have[1].append(no)
-            cells = [[{"h": x, "words": v[0], "numbers": v[1]} for x, v in d.items()] for d in lines]
+                    have[2].append(no)
+            cells = [[{"h": x, "words": v[0], "least": v[1], "numbers": v[2]} for x, v in d.items()] for d in lines]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("host"), batch.column("text_key"),
                  *[pa.array(m[c], pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-                 pa.array(least.view(np.int64)),
-                 pa.array(cells, pa.list_(pa.struct([("h", pa.int64()), ("words", pa.int32()),
+                 pa.array(cells, pa.list_(pa.struct([("h", pa.int64()), ("words", pa.int32()), ("least", pa.int64()),
                                                      ("numbers", pa.list_(pa.int32()))])))],
                 ["doc_id", "host", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                 "sketch", "lines"])
+                 "lines"])
 
 
 def judge(docs: DataFrame, p: LineRules = LineRules()) -> DataFrame:
@@ -143,49 +148,58 @@ def judge(docs: DataFrame, p: LineRules = LineRules()) -> DataFrame:
     narrow = docs.select("doc_id", "text", F.xxhash64("source").alias("host"), F.xxhash64("text").alias("text_key"))
     prof = scratch_table(narrow.mapInArrow(_profile_batches, _PROFILE), "profile")
     hosts = prof.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    each = prof.select("doc_id", "text_key", "host", "sketch", F.explode("lines").alias("l")) \
-               .select("doc_id", "text_key", "host", "sketch", "l.h", "l.words", "l.numbers")
-    seen = (each.groupBy("host", "h", "sketch").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("host", "h").agg(F.sum("n").alias("docs"), F.count(F.lit(1)).alias("different")))
-    over = (seen.join(hosts, "host")
-            .filter((F.col("different") > F.greatest(F.lit(p.line_docs), F.ceil(F.col("host_docs") * p.line_share)))
-                    & (100 * F.col("different") >= p.spread_percent * F.col("docs")))
-            .select("host", "h"))
     row = ["doc_id", "text_key", "host"]
+    each = prof.select(*row, F.explode("lines").alias("l")).select(*row, "l.h", "l.words", "l.numbers")
+    limit = F.greatest(F.lit(p.line_docs), F.ceil(F.col("host_docs") * p.line_share))
+    frequent = (each.groupBy("host", "h", "text_key").agg(F.lit(1).alias("x")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
+                .join(hosts, "host").withColumn("limit", limit).filter("docs > limit").select("host", "h", "docs", "limit"))
+    frequent = scratch_table(frequent, "frequent")
+    # the frequent lines of each row that has any: at most the row's own lines
+    held = each.join(frequent.select("host", "h"), ["host", "h"]).groupBy("text_key", "host").agg(F.collect_set("h").alias("held"))
+    texts = prof.select("text_key", "host", "lines").dropDuplicates(["text_key", "host"])
+    others = F.filter("lines", lambda x: ~F.array_contains("held", x["h"]))
+    least = lambda lines: F.array_min(F.transform(lines, lambda x: x["least"]))
+    sketched = held.join(texts, ["text_key", "host"]).select("host", F.coalesce(least(others), least(F.col("lines"))).alias("sketch"),
+                                                             F.explode("held").alias("h"))
+    different = (sketched.groupBy("host", "h", "sketch").agg(F.lit(1).alias("x"))
+                 .groupBy("host", "h").agg(F.count(F.lit(1)).alias("different")))
+    over = frequent.join(different, ["host", "h"]).filter(
+        (F.col("different") > F.col("limit")) & (100 * F.col("different") >= p.spread_percent * F.col("docs"))).select("host", "h")
     lost = (each.join(over, ["host", "h"]).dropDuplicates([*row, "h"])  # a repeated row has its lines once
             .groupBy(*row).agg(F.sum("words").cast("long").alias("lost"),
                                F.sort_array(F.flatten(F.collect_list("numbers"))).alias("numbers")))
-    out = prof.drop("lines", "sketch").alias("a").join(
+    out = prof.drop("lines").alias("a").join(
         lost.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key"))
         & (F.col("a.host") == F.col("b.host")), "left").select(
         "a.*", F.coalesce("b.lost", F.lit(0)).alias("removed_words"), F.col("b.numbers").alias("removed"))
     base = (F.col("n_words") < p.min_words) | (100 * F.col("n_repeat_words") > p.repeat_percent * F.col("n_words"))
     depleted = 100 * F.col("removed_words") > p.depleted_percent * F.col("n_words")
-    return (out.withColumn("base_failed", base).withColumn("kept", ~base & ~depleted).drop("host"))
-
-
-def _strip_batches(batches):
-    """Rewrite texts without their removed lines; adjusts n_chars where the table has it."""
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        cuts = batch.column("_removed").to_pylist()
-        for i, cut in enumerate(cuts):
-            if cut:
-                gone = set(cut)
-                texts[i] = "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in gone)
-        cols = {c: batch.column(c) for c in batch.schema.names if c != "_removed"}
-        cols["text"] = pa.array(texts, batch.schema.field("text").type)
-        if "n_chars" in cols:
-            cols["n_chars"] = pa.array([None if t is None else len(t) if cut else n for t, cut, n in
-                                        zip(texts, cuts, cols["n_chars"].to_pylist())], cols["n_chars"].type)
-        yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+    return (out.withColumn("base_failed", base).withColumn("kept", ~base & ~depleted))
+
+
+def _strip_batches(mark: str):
+    """Rewrite texts without the lines whose numbers ``mark`` holds; adjusts n_chars where the table has it."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            cuts = batch.column(mark).to_pylist()
+            for i, cut in enumerate(cuts):
+                if cut:
+                    gone = set(cut)
+                    texts[i] = "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in gone)
+            cols = {c: batch.column(c) for c in batch.schema.names if c != mark}
+            cols["text"] = pa.array(texts, batch.schema.field("text").type)
+            if "n_chars" in cols:
+                cols["n_chars"] = pa.array([len(t) if cut else n for t, cut, n in zip(texts, cuts, cols["n_chars"].to_pylist())],
+                                           cols["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+    return run
 
 
 def apply_rules(docs: DataFrame, p: LineRules = LineRules()) -> DataFrame:
     """The rows of ``docs`` that are kept, with their boilerplate lines removed; same columns."""
-    verdict = judge(docs, p).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed")) \
-        .dropDuplicates(["_id", "_key"])
-    kept = docs.join(verdict, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))) \
-               .select(*docs.columns, "_removed")
-    return kept.mapInArrow(_strip_batches, docs.schema)
+    id_, key, host, mark = fresh(docs, "_id", "_key", "_host", "_removed")
+    verdict = judge(docs, p).filter("kept").select("doc_id", "text_key", "host", "removed").toDF(id_, key, host, mark) \
+        .dropDuplicates([id_, key, host])
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key)) & (F.xxhash64("source") == F.col(host))
+    return docs.join(verdict, same).select(*docs.columns, mark).mapInArrow(_strip_batches(mark), docs.schema)

@@ -51,6 +51,17 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has (whatever the letter case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def drop_scratch(*tables: DataFrame) -> None:
     """Delete the folders of scratch tables that no later plan reads."""
     for df in tables:
