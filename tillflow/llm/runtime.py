@@ -22,13 +22,21 @@ from tillflow.session import scratch_path
 _PACKAGE = os.path.dirname(os.path.abspath(__file__))
 
 
+# Bounds of one Arrow batch between the JVM and a Python worker, unless the Spark configuration names its own:
+# texts can be long, and both sides hold whole batches.
+BATCH_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per Spark context.
+    """Send this package's code to the executors, once per Spark context, and bound the session's Arrow batches.
 
     The same as ``--py-files``; it makes the Arrow functions importable there
     however the driver itself found the package.
     """
     sc = spark.sparkContext
+    for key, bound in BATCH_BOUNDS.items():
+        if not sc.getConf().contains(key):
+            spark.conf.set(key, bound)
     if getattr(sc, "_tillflow_llm_shipped", False):
         return
     path = os.path.join(tempfile.mkdtemp(prefix="tillflow-code-"), f"tillflow_llm_{uuid.uuid4().hex}.zip")
@@ -73,7 +81,7 @@ def drop_scratch(*tables: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of a batch holding about ``max_bytes`` of text each.
 
     A row is never divided: one longer text makes a slice of its own.
