@@ -50,7 +50,7 @@ def line_table() -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get("up")
     if have is None or len(have) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         up = np.full(size, _P, np.uint64)
         up[0] = 1
         down = np.full(size, np.uint64(pow(int(_P), -1, 1 << 64)), np.uint64)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.runtime import scratch_table, ship
+from tillflow.llm.runtime import scratch_table, ship, trim_memory
 from tillflow.llm.wordbpe import tokenizer
 
 
@@ -109,6 +109,7 @@ def _piece_batches(path: str, p: Packing):
     def run(batches):
         tok = tokenizer(path)
         for batch in batches:
+            trim_memory()
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
                 rows = []

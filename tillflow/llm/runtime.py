@@ -6,6 +6,7 @@ Scratch tables are Parquet folders under ``spark.checkpoint.dir`` (resolved by
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -81,6 +82,14 @@ def drop_scratch(*tables: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+def trim_memory() -> None:
+    """Give freed memory back to the system: a Python worker outlives its tasks and shares the executor's budget."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of a batch holding about ``max_bytes`` of text each.
 
@@ -96,6 +105,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 19
             start, size = i, 0
         size += length
     yield batch.slice(start, n - start)
+    trim_memory()
 
 
 def text_buffer(col: pa.Array):

@@ -16,7 +16,7 @@ import unicodedata
 
 import numpy as np
 
-MAX_WORDS, MAX_PARTS, MAX_CACHED = 400_000, 400_000, 40
+MAX_WORDS, MAX_PARTS, MAX_CACHED = 150_000, 300_000, 40
 
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[^\sA-Za-z0-9ª²³µ¹º¼-¾À-ÖØ-öø-ɏ]+")
 # one code point that str.lower and the library treat alike, composed or not: up to U+024F, without the
