@@ -57,7 +57,7 @@ def test_ids_equal_the_library():
     rng = random.Random(5)
     odd = ["", " ", "a", "It's DON'T we've", "x²y 3½ ª º µm", "naïve Ünï ÇA İstanbul ẞ Σίσυφος ΟΔΟΣ", "中文 mixed 日本語", "a\x1cb\x1fc d",
            "tab\tnl\nvt\x0b ff\x0c nbsp x y\x85z", "<|endoftext|> x<|startoftext|>y", "é combining ä", "12345 1,234.5 ٣",
-           "snake_case __x__ a_1", "emoji 😀😀 👩‍👩‍👧", "-- ... !!! $$$", "'s 's'll 'S", "ŀ Ǆ ǅ ǳ ȿ ɐ", "x" * 3000, "soft­hyphen zero​width"]
+           "snake_case __x__ a_1", "emoji 😀😀 👩‍👩‍👧", "-- ... !!! $$$", "'s 's'll 'S", "ŀ Ǆ ǅ ǳ ȿ ɐ", "$Ɠǒ #Ⱥ -Ⱦ1 .Ʌ", "x" * 3000, "soft­hyphen zero​width"]
     texts = odd + [prose(rng, 60) for _ in range(20)] + [
         "".join(rng.choice("aB1'_ .\néß²İ中́😀 ") for _ in range(60)) for _ in range(300)]
     tok = tokenizer(PATH)

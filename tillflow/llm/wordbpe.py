@@ -18,7 +18,7 @@ import numpy as np
 
 MAX_WORDS, MAX_PARTS, MAX_CACHED = 150_000, 300_000, 40
 
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[^\sA-Za-z0-9ª²³µ¹º¼-¾À-ÖØ-öø-ɏ]+")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[^\sA-Za-z0-9ª²³µ¹º¼-¾À-ÖØ-öø-ʯⱥⱦ]+")  # small letters of capitals up to U+024F, too
 # one code point that str.lower and the library treat alike, composed or not: up to U+024F, without the
 # superscripts, fractions and ordinals whose class differs between the two pattern languages
 _PLAIN = re.compile(r"[\x21-\x7e¡-©«-±´¶-¸»¿-įı-ɏ]+")
