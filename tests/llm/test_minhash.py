@@ -58,7 +58,8 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("p", [NearDup(), NearDup(unit_rows=4, unit_shingles=600), NearDup(words=5)])
+@pytest.mark.parametrize("p", [NearDup(), NearDup(unit_rows=4, unit_shingles=600), NearDup(words=5),
+                               NearDup(unit_rows=4, pivots=0), NearDup(unit_rows=3, unit_shingles=400, pivots=1)])
 def test_components_equal_brute_force(spark, p):
     rows = corpus()
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(documents(spark, rows, clash=True), p).collect()}

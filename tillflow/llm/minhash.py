@@ -17,7 +17,9 @@ Stages (each a Spark job; tables in between are written to the scratch space):
    are ruled out (``slack`` standard deviations below it), and the rest join
    their documents into families;
 3. each family's whole sets are compared exactly, in work units of bounded
-   size; a unit emits a spanning forest of the true links, not all pairs;
+   size; a unit emits a spanning forest of the true links, not all pairs. A
+   family (and a bucket) too large for one unit is first compared with a few of
+   its members, and only what that leaves apart with all (``group_links``);
 4. components of the exact links.
 
 With 32 bands of 4 rows, a pair at similarity 0.8 is missed with a chance of
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
-from tillflow.llm.graph import Forest, components, work_units
+from tillflow.llm.graph import Forest, components, group_links
 from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -58,6 +60,7 @@ class NearDup:
     slack: float = 5.0
     unit_rows: int = 512
     unit_shingles: int = 4_000_000
+    pivots: int = 16
 
     @property
     def t(self) -> int:
@@ -134,8 +137,7 @@ def _alike(p: NearDup):
     def run(batches):
         for batch in batches:
             a, b = [], []
-            for ids, blks, raw in zip(batch.column("ids").to_pylist(), batch.column("blks").to_pylist(),
-                                      batch.column("sketches").to_pylist()):
+            for ids, raw in zip(batch.column("ids").to_pylist(), batch.column("sketches").to_pylist()):
                 sk = np.frombuffer(b"".join(raw), np.uint8).reshape(len(ids), p.t)
                 f = Forest(len(ids))
                 for i in range(len(ids) - 1):
@@ -229,19 +231,23 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     rows = reps.select("doc_id", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     rows = rows.join(shared, "bucket").join(reps.select("doc_id", "sketch"), "doc_id")
-    units = work_units(rows, "bucket", F.xxhash64("doc_id"), F.lit(1), p.unit_rows, p.unit_rows)
-    lists = (units.groupBy("bucket", "bi", "bj")
-             .agg(F.collect_list(F.struct("doc_id", "blk", "sketch")).alias("m"))
-             .select(F.col("m.doc_id").alias("ids"), F.col("m.blk").alias("blks"), F.col("m.sketch").alias("sketches")))
-    alike = lists.mapInArrow(_alike(p), "a long, b long")
-    family = scratch_table(components(alike), "family")
+
+    def alike(units: DataFrame) -> DataFrame:
+        lists = (units.groupBy("bucket", "bi", "bj").agg(F.collect_list(F.struct("doc_id", "sketch")).alias("m"))
+                 .select(F.col("m.doc_id").alias("ids"), F.col("m.sketch").alias("sketches")))
+        return lists.mapInArrow(_alike(p), "a long, b long")
+
+    def verify(units: DataFrame) -> DataFrame:
+        return units.select("family", "bi", "bj", "doc_id", "text").groupBy("family", "bi", "bj") \
+                    .applyInArrow(_verify(p), "a long, b long")
+
+    candidates = group_links(rows, "bucket", F.lit(1), p.unit_rows, p.unit_rows, alike, p.pivots)
+    family = scratch_table(components(candidates), "family")
 
     members = (texts.filter("doc_id is not null").join(family.toDF("doc_id", "family"), "doc_id")
                .join(reps.select("doc_id", "n_shingles"), "doc_id"))
     members = members.dropDuplicates(["doc_id"])
-    units = work_units(members, "family", F.xxhash64("doc_id"), F.col("n_shingles"), p.unit_rows, p.unit_shingles)
-    links = units.select("family", "bi", "bj", "doc_id", "text").groupBy("family", "bi", "bj") \
-                 .applyInArrow(_verify(p), "a long, b long")
+    links = group_links(members, "family", F.col("n_shingles"), p.unit_rows, p.unit_shingles, verify, p.pivots)
     found = components(links.unionByName(same))
 
     out = (sketches.select("doc_id", "n_shingles")
