@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,49 +71,6 @@ def work_units(members: DataFrame, key: str, spread: Column, weight: Column, max
             .withColumn("nb", F.col("_b")).drop("_o", "_b", *([] if keep_blocks else ["nb"])))
 
 
-def group_links(members: DataFrame, key: str, weight: Column, max_rows: int, max_weight: int,
-                compare: Callable[[DataFrame], DataFrame], pivots: int = 16) -> DataFrame:
-    """Edges ``(a, b)`` whose components are those of all true links inside the groups ``key`` of ``doc_id``.
-
-    ``compare`` takes rows with ``bi`` and ``bj`` and returns a spanning forest of
-    the links inside each unit ``(key, bi, bj)``. A group within the bounds is one
-    unit. A larger one is cut into blocks by hash, and every block is one unit
-    together with about ``pivots`` members of the whole group, so the work is
-    linear. Members that this already connects need no comparison with each
-    other; only those outside the group's largest part are compared with all
-    blocks, so no link that would join two parts is lost.
-    """
-    sizes = members.groupBy(F.col(key)).agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_w")).filter("_n > 1")
-    blocks = F.greatest(F.ceil(F.col("_n") / max_rows), F.ceil(F.col("_w") / max_weight)).cast("int")
-    sizes = scratch_table(sizes.select(key, "_n", blocks.alias("_b")), "groups")
-    zero = F.lit(0)
-    small = members.join(sizes.filter("_b <= 1").select(key), key).withColumn("bi", zero).withColumn("bj", zero)
-    links = scratch_table(compare(small).select("a", "b"), "links")
-    large = sizes.filter("_b > 1")
-    if large.isEmpty():
-        return links
-    rows = members.join(large, key).withColumn("blk", F.pmod(F.xxhash64("doc_id"), F.col("_b")).cast("int"))
-    blks = F.sequence(zero, F.col("_b") - 1)
-    pivot = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("_n")) < pivots
-    units = rows.withColumn("bi", F.explode(F.when(pivot, blks).otherwise(F.array("blk")))).withColumn("bj", F.col("bi"))
-    links = links.unionByName(scratch_table(compare(units).select("a", "b"), "links"))
-
-    part = components(links).toDF("doc_id", "_part")
-    parts = scratch_table(rows.select(key, "doc_id", weight.alias("_weight")).join(part, "doc_id", "left")
-                          .select(key, "doc_id", "_weight", F.coalesce("_part", "doc_id").alias("_part")), "parts")
-    main = (parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_m"))
-            .groupBy(key).agg(F.max_by("_part", F.struct("_m", "_part")).alias("_main")))
-    rest = scratch_table(parts.join(main, key).filter("_part <> _main").select(key, "doc_id", "_weight"), "rest")
-    if rest.isEmpty():
-        return links
-    cut = rest.groupBy(key).agg(F.greatest(F.ceil(F.count(F.lit(1)) / max_rows), F.ceil(F.sum("_weight") / max_weight)).cast("int").alias("_r"))
-    rows = rows.join(scratch_table(cut, "cuts"), key)
-    every = rows.withColumn("bi", F.col("blk")).withColumn("bj", F.explode(F.sequence(zero, F.col("_r") - 1)))
-    apart = (rows.join(rest.select(key, "doc_id"), [key, "doc_id"], "left_semi")
-             .withColumn("bi", F.explode(blks)).withColumn("bj", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("_r")).cast("int")))
-    return links.unionByName(scratch_table(compare(every.unionByName(apart)).select("a", "b"), "links"))
-
-
 class Forest:
     """Union-find over positions 0..n-1 of one work unit."""
 
