@@ -101,5 +101,23 @@ def test_apply_keeps_columns_and_strips_lines(spark):
     assert all(boiler not in r.text.lower() for r in got if r.source == "a")
 
 
+def edited(rng, text, n):
+    """``text`` with n words replaced."""
+    parts = re.split(r"(\s+)", text)
+    for k in rng.sample(range(0, len(parts), 2), n):
+        parts[k] = "zz" + str(rng.randrange(10**6))
+    return "".join(parts)
+
+
+def test_edited_copies_in_short_lines_stay(spark):
+    rng = random.Random(4)
+    rows = []
+    for host, words in (("six", 6), ("ten", 10), ("fifteen", 15)):
+        one = "\n".join(line_of(rng, words) for _ in range(200 // words))
+        rows += [(len(rows) + k, one if k == 0 else edited(rng, one, 1 + k % 4), host) for k in range(300 if words == 6 else 30)]
+    for r in judge(documents(spark, rows)).collect():
+        assert r.kept and r.removed is None
+
+
 def test_empty_table(spark):
     assert judge(documents(spark, [])).collect() == [] and apply_rules(documents(spark, [])).collect() == []

@@ -250,6 +250,18 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def row_key(text_key="text_key"):
+    """A row's id and text as one hash: copies of a text under other ids are rows of their own."""
+    return F.xxhash64("doc_id", text_key)
+
+
+def copy_classes(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
+    """``(row, class)`` of the rows of ``docs`` (``row_key`` of doc_id and ``text_key``): exact and edited copies share a class."""
+    rows = docs.select(row_key().alias("doc_id"), "text")
+    found = near_duplicates(rows, p).select(F.col("doc_id").alias("row"), F.col("component_id").alias("class"))
+    return scratch_table(found, "copies")
+
+
 def drop_near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """One row of every near-duplicate class, that of its smallest doc_id; same columns.
 

@@ -8,17 +8,19 @@ The method: lines are normalised (words joined by one space, A-Z lower-cased,
 digits as 0) and hashed; for every host the documents that hold a line are
 counted, equal texts once. A line in more than
 ``max(line_docs, line_share * documents of the host)`` documents is frequent. A
-frequent line is boilerplate if its documents are different ones: each is known
-by its sketch, the least hashed 4-word shingle of its other, infrequent lines
-(of all its lines if it has none), and more than that limit, and at least
-``spread_percent`` percent of them, must differ. The edited copies of one
-document share their sketches, so they do not make each other's lines
-boilerplate. Boilerplate lines are removed, and a document that loses more than
-``depleted_percent`` percent of its words is rejected.
+frequent line is boilerplate if its documents are different ones: whole
+documents that near-dedup would merge (``minhash``, exact check included) count
+once, and more than that limit, and at least ``spread_percent`` percent of them,
+must be left. The edited copies of one document, wherever the edits fall, do not
+make each other's lines boilerplate. Boilerplate lines are removed, and a
+document that loses more than ``depleted_percent`` percent of its words is
+rejected.
 
 Counts are aggregations with map-side combination on (host, line, text), so a
-host or a line that holds a third of all rows is no special case; texts are not
-shuffled.
+host or a line that holds a third of all rows is no special case. Only documents
+that hold a frequent line are compared (found by a bitmap of fixed size, whose
+false hits merely compare more), and of these only candidate copies have their
+texts shuffled.
 
 Edge cases: null or empty text has no words and fails the base rules. A null
 host is a host of its own. Rows that repeat a doc_id are judged one by one;
@@ -37,6 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
+from tillflow.llm.minhash import copy_classes, row_key
+from tillflow.llm.pii import bitmap_of
 from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
 
 SYMBOLS = b"#*$%&|<>"
@@ -94,7 +98,7 @@ def base_measures(buf: np.ndarray, offs: np.ndarray, w: arrays.Words) -> dict[st
 
 
 def line_keys(buf: np.ndarray, offs: np.ndarray):
-    """(row, line number, words, hash, least 4-word shingle) of every line with a word."""
+    """(row, line number, words, hash) of every line with a word."""
     w = arrays.words(buf, offs, arrays.line_table())
     starts, ends, row = arrays.lines(buf, offs)
     number = np.arange(len(row)) - np.searchsorted(row, row)
@@ -102,19 +106,11 @@ def line_keys(buf: np.ndarray, offs: np.ndarray):
     has = hi > lo
     with np.errstate(over="ignore"):
         h = arrays.span_hash(arrays.prefix(w.hashes), lo[has], hi[has])
-    # shingles inside each line: the lines take the part of rows
-    inner = arrays.Words(w.buf, w.starts, w.ends, np.append(lo[has], hi[has][-1:]), w.hashes)
-    least = np.minimum.reduceat(*_line_shingles(inner)) if has.any() else np.zeros(0, np.uint64)
-    return row[has], number[has], (hi - lo)[has], h, least
-
-
-def _line_shingles(lines: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
-    s, at = arrays.shingles(lines, 4)
-    return s, at[:-1]
+    return row[has], number[has], (hi - lo)[has], h
 
 
 _PROFILE = ("doc_id long, host long, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-            "n_repeat_words long, lines array<struct<h:long,words:int,least:long,numbers:array<int>>>")
+            "n_repeat_words long, lines array<struct<h:long,words:int,numbers:array<int>>>")
 
 
 def _profile_batches(batches):
@@ -122,26 +118,45 @@ def _profile_batches(batches):
         for batch in slices(whole):
             buf, offs = text_buffer(batch.column("text"))
             m = base_measures(buf, offs, arrays.words(buf, offs))
-            row, number, size, h, least = line_keys(buf, offs)
+            row, number, size, h = line_keys(buf, offs)
             lines: list[dict] = [{} for _ in range(len(offs) - 1)]
-            for r, no, k, x, s in zip(row.tolist(), number.tolist(), size.tolist(), h.view(np.int64).tolist(),
-                                      least.view(np.int64).tolist()):
+            for r, no, k, x in zip(row.tolist(), number.tolist(), size.tolist(), h.view(np.int64).tolist()):
                 have = lines[r].get(x)
                 if have is None:
-                    lines[r][x] = [k, s, [no]]
+                    lines[r][x] = [k, [no]]
                 else:
                     have[0] += k
-                    have[2].append(no)
-            cells = [[{"h": x, "words": v[0], "least": v[1], "numbers": v[2]} for x, v in d.items()] for d in lines]
+                    have[1].append(no)
+            cells = [[{"h": x, "words": v[0], "numbers": v[1]} for x, v in d.items()] for d in lines]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("host"), batch.column("text_key"),
                  *[pa.array(m[c], pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-                 pa.array(cells, pa.list_(pa.struct([("h", pa.int64()), ("words", pa.int32()), ("least", pa.int64()),
+                 pa.array(cells, pa.list_(pa.struct([("h", pa.int64()), ("words", pa.int32()),
                                                      ("numbers", pa.list_(pa.int32()))])))],
                 ["doc_id", "host", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                  "lines"])
 
 
+def _holders(bitmap: bytes):
+    """The rows whose key hits the bitmap."""
+    def run(batches):
+        bits = np.frombuffer(bitmap, np.uint8)
+        for batch in batches:
+            slot = batch.column("row").to_numpy() & (len(bits) * 8 - 1)
+            yield batch.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0)).drop_columns("row")
+    return run
+
+
+def _different(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """``(host, h, different)``: the documents that hold a line by ``held`` (host, h, row), exact and edited copies counted once."""
+    keyed = docs.select("doc_id", "text", "text_key", row_key().alias("row"))
+    some = keyed.mapInArrow(_holders(bitmap_of(held.select(F.col("row").alias("term")))), "doc_id long, text string, text_key long")
+    copies = scratch_table(copy_classes(some).filter("row <> class").distinct(), "moved")
+    return (held.join(copies, "row", "left").select("host", "h", F.coalesce("class", "row").alias("class"))
+            .groupBy("host", "h", "class").agg(F.lit(1).alias("x"))
+            .groupBy("host", "h").agg(F.count(F.lit(1)).alias("different")))
+
+
 def judge(docs: DataFrame, p: LineRules = LineRules()) -> DataFrame:
     """Per row: measures, ``removed_words``, ``removed`` (numbers of boilerplate lines), ``base_failed``, ``kept``."""
     ship(docs.sparkSession)
@@ -154,15 +169,8 @@ def judge(docs: DataFrame, p: LineRules = LineRules()) -> DataFrame:
     frequent = (each.groupBy("host", "h", "text_key").agg(F.lit(1).alias("x")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
                 .join(hosts, "host").withColumn("limit", limit).filter("docs > limit").select("host", "h", "docs", "limit"))
     frequent = scratch_table(frequent, "frequent")
-    # the frequent lines of each row that has any: at most the row's own lines
-    held = each.join(frequent.select("host", "h"), ["host", "h"]).groupBy("text_key", "host").agg(F.collect_set("h").alias("held"))
-    texts = prof.select("text_key", "host", "lines").dropDuplicates(["text_key", "host"])
-    others = F.filter("lines", lambda x: ~F.array_contains("held", x["h"]))
-    least = lambda lines: F.array_min(F.transform(lines, lambda x: x["least"]))
-    sketched = held.join(texts, ["text_key", "host"]).select("host", F.coalesce(least(others), least(F.col("lines"))).alias("sketch"),
-                                                             F.explode("held").alias("h"))
-    different = (sketched.groupBy("host", "h", "sketch").agg(F.lit(1).alias("x"))
-                 .groupBy("host", "h").agg(F.count(F.lit(1)).alias("different")))
+    different = _different(narrow, scratch_table(each.join(frequent.select("host", "h"), ["host", "h"])
+                                                 .select("host", "h", row_key().alias("row")), "held"))
     over = frequent.join(different, ["host", "h"]).filter(
         (F.col("different") > F.col("limit")) & (100 * F.col("different") >= p.spread_percent * F.col("docs"))).select("host", "h")
     lost = (each.join(over, ["host", "h"]).dropDuplicates([*row, "h"])  # a repeated row has its lines once
