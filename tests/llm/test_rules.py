@@ -119,5 +119,15 @@ def test_edited_copies_in_short_lines_stay(spark):
         assert r.kept and r.removed is None
 
 
+def test_boilerplate_goes_beside_many_copies(spark):
+    rng = random.Random(5)
+    banner = line_of(rng, 14)
+    one = "\n".join(line_of(rng, 20) for _ in range(10))
+    rows = [(k, f"{banner}\n" + "\n".join(line_of(rng, 30) for _ in range(4)), "a") for k in range(40)]
+    rows += [(100 + k, f"{banner}\n{edited(rng, one, 1 + k % 3)}", "a") for k in range(300)]
+    for r in judge(documents(spark, rows)).collect():
+        assert r.kept and r.removed == [0]
+
+
 def test_empty_table(spark):
     assert judge(documents(spark, [])).collect() == [] and apply_rules(documents(spark, [])).collect() == []

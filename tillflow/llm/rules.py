@@ -10,8 +10,7 @@ counted, equal texts once. A line in more than
 ``max(line_docs, line_share * documents of the host)`` documents is frequent. A
 frequent line is boilerplate if its documents are different ones: whole
 documents that near-dedup would merge (``minhash``, exact check included) count
-once, and more than that limit, and at least ``spread_percent`` percent of them,
-must be left. The edited copies of one document, wherever the edits fall, do not
+once, and more than that limit must be left. The edited copies of one document, wherever the edits fall, do not
 make each other's lines boilerplate. Boilerplate lines are removed, and a
 document that loses more than ``depleted_percent`` percent of its words is
 rejected.
@@ -52,7 +51,6 @@ class LineRules:
     repeat_percent: int = 50
     line_docs: int = 10
     line_share: float = 0.001
-    spread_percent: int = 50
     depleted_percent: int = 60
 
 
@@ -167,12 +165,11 @@ def judge(docs: DataFrame, p: LineRules = LineRules()) -> DataFrame:
     each = prof.select(*row, F.explode("lines").alias("l")).select(*row, "l.h", "l.words", "l.numbers")
     limit = F.greatest(F.lit(p.line_docs), F.ceil(F.col("host_docs") * p.line_share))
     frequent = (each.groupBy("host", "h", "text_key").agg(F.lit(1).alias("x")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
-                .join(hosts, "host").withColumn("limit", limit).filter("docs > limit").select("host", "h", "docs", "limit"))
+                .join(hosts, "host").withColumn("limit", limit).filter("docs > limit").select("host", "h", "limit"))
     frequent = scratch_table(frequent, "frequent")
     different = _different(narrow, scratch_table(each.join(frequent.select("host", "h"), ["host", "h"])
                                                  .select("host", "h", row_key().alias("row")), "held"))
-    over = frequent.join(different, ["host", "h"]).filter(
-        (F.col("different") > F.col("limit")) & (100 * F.col("different") >= p.spread_percent * F.col("docs"))).select("host", "h")
+    over = frequent.join(different, ["host", "h"]).filter("different > limit").select("host", "h")
     lost = (each.join(over, ["host", "h"]).dropDuplicates([*row, "h"])  # a repeated row has its lines once
             .groupBy(*row).agg(F.sum("words").cast("long").alias("lost"),
                                F.sort_array(F.flatten(F.collect_list("numbers"))).alias("numbers")))
