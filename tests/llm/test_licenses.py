@@ -52,6 +52,31 @@ def test_near_texts_and_clean_texts():
         assert scan(t) == [], t
 
 
+def test_repeated_notices_between_stray_words():
+    scan = Scanner(LicenseScan()).scan
+    text = "The library is released under the MIT License. The docs are released under the MIT License. See the LICENSE file."
+    (name, share, lo, hi), = scan(text)
+    assert (name, share, text[lo:hi]) == ("MIT", 1.0, "released under the MIT License")
+    for name, notice in TEMPLATES.items():
+        stray = notice.split()
+        for body in (f"{stray[-1]} x {notice} y {notice} {stray[0]}", f"{stray[1]} {' or '.join([notice] * 5)} {stray[0]} {stray[1]}"):
+            got = {x[0]: x for x in scan(body)}
+            assert got[name][1] == 1.0 and body[got[name][2]:got[name][3]] == notice.strip("()")
+
+
+def test_repeated_notices_with_missing_words():
+    rng = random.Random(5)
+    template = prose(rng, 200).replace(".", "").split()
+    p = LicenseScan(templates=(("long", " ".join(template)),))
+    for trial in range(20):
+        gone = set(rng.sample(range(200), 15))
+        near = " ".join(w for k, w in enumerate(template) if k not in gone)
+        far = " ".join(w for k, w in enumerate(template) if k % 4)
+        body = f"{template[9]} {far} x {near} and {far} {template[3]}"
+        (_, share, lo, hi), = Scanner(p).scan(body)
+        assert share >= 0.92 and abs(lo - body.index(near)) < 60
+
+
 def test_documents(spark):
     both = f"{TEMPLATES['MIT']}.\n{TEMPLATES['MIT']}.\n{TEMPLATES['reserved']}."
     rows = [(1, both), (2, None), (3, ""), (4, "clean"), (None, TEMPLATES["reserved"]), (1, both), (5, prose(random.Random(1), 30_000) + " " + TEMPLATES["GPL-3.0"])]

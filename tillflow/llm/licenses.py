@@ -1,8 +1,12 @@
 """License scans: patience alignment of texts against license templates.
 
 A text is scanned for regions where a template may lie: words of the template,
-at most ``gap`` words apart. Only regions that hold enough of the template's
-words to reach ``coverage`` are aligned. Patience alignment anchors on the words
+at most ``gap`` words apart. A match is no longer than the template's words over
+``coverage``, so a region is cut into windows of that length, one from each of
+its hits: a notice that the region holds several times is whole and alone in
+some window. Only windows that share enough words with the template (repeats
+counted) to reach ``coverage``, and more than the best match so far, are
+aligned. Patience alignment anchors on the words
 that occur once in the region and once in the template, takes the longest
 increasing subsequence of anchor pairs, and recurses into the gaps between
 consecutive anchors; in a gap without unique common words, equal words at its
@@ -129,16 +133,16 @@ class Scanner:
             name, template = self.templates[k]
             need = -(-len(template) * self.p.coverage // 1)
             hits = sorted(i for w in self.words[k] for i in places.get(w, ()))
-            best = None
-            for region in self._regions(hits):
-                if len(region) < need:
+            best = None  # (matched words, first, last)
+            windows = [w for region in self._regions(hits) if len(region) >= need for w in self._windows(words, region, template, need)]
+            for most, lo, hi in sorted(windows, key=lambda w: (-w[0], w[1])):
+                if best and (most < best[0] or most == best[0] and lo > best[1]):
                     continue
-                lo, hi = region[0], region[-1] + 1
                 got = self._dense(align(words[lo:hi], template), need)
-                if got and (best is None or len(got) > best[0]):
-                    best = (len(got), found[lo + got[0][0]][0], found[lo + got[-1][0]][1])
+                if got and (best is None or (-len(got), lo + got[0][0]) < (-best[0], best[1])):
+                    best = (len(got), lo + got[0][0], lo + got[-1][0])
             if best:
-                out.append((name, best[0] / len(template), best[1], best[2]))
+                out.append((name, best[0] / len(template), found[best[1]][0], found[best[2]][1]))
         return out
 
     def _dense(self, got: list[tuple[int, int]], need: float) -> list[tuple[int, int]]:
@@ -149,6 +153,21 @@ class Scanner:
             got = got[1:] if got[1][0] - got[0][0] > got[-1][0] - got[-2][0] else got[:-1]
         return []
 
+    def _windows(self, words: list[str], region: list[int], template: list[str], need: float):
+        """(words shared with the template, start, end) of the windows of a region that may reach the coverage."""
+        longest = int(len(template) / self.p.coverage + 1e-9)
+        spare = Counter(template)
+        shared = stop = 0
+        for lo in region:
+            while stop < len(region) and region[stop] < lo + longest:
+                shared += spare[words[region[stop]]] > 0
+                spare[words[region[stop]]] -= 1
+                stop += 1
+            if shared >= need:
+                yield shared, lo, region[stop - 1] + 1
+            spare[words[lo]] += 1
+            shared -= spare[words[lo]] > 0
+
     def _regions(self, hits: list[int]):
         region: list[int] = []
         for i in hits:
