@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from tests.llm.helpers import documents, prose
+from tests.llm.helpers import documents, edit, prose
 from tillflow.llm import pii
 from tillflow.llm.pii import Disclosure, base_spans, find, max_disclosure, replace_spans, sanitise
 
@@ -87,6 +87,27 @@ def test_terms_that_reveal_an_entity(spark):
     assert [t.disclosure for t in got[0].terms if texts[0][t.start:t.end] == "Orchid"] == [pytest.approx(want)]
 
 
+def test_fixed_signatures_and_copies(spark):
+    rng = random.Random(7)
+    left, right = "regards from the desk of quillon marbeck senior", "clerk of accounts room nine third floor east"
+    rows = [(k, f"{prose(rng, 60)} {left} q.m@mail.example {right} {prose(rng, 60)}") for k in range(30)]
+    passage = f"{prose(rng, 80)} ask Zorbane at z@post.example now {prose(rng, 80)}"
+    rows += [(100 + k, passage if k == 0 else edit(rng, passage, 0.01)) for k in range(60)]
+    rows += [(200 + k, f"{prose(rng, 60)} then Zorbane got z@post.example back {prose(rng, 60)}") for k in range(5)]
+    other = f"{prose(rng, 80)} orchard Zorbane {prose(rng, 80)}"
+    rows += [(300 + k, other if k % 2 else f"{other} {k}") for k in range(8)]    # the name without the address, copied
+    rows += [(400 + k, prose(rng, 60)) for k in range(40)]
+    texts = dict(rows)
+    got = {r.doc_id: {texts[r.doc_id][t.start:t.end]: t.disclosure for t in r.terms} for r in find(documents(spark, rows)).collect()}
+    for k in range(30):
+        assert {"quillon", "marbeck", "clerk"} <= set(got[k])
+    # documents: 30, the passage and 5, the other, 40; the address is in 6 of them, the name in 7
+    want = max_disclosure(30 + 1 + 5 + 1 + 40, 6, 7, 6)
+    for k in (100, 200, 204):
+        assert got[k]["Zorbane"] == pytest.approx(want)
+    assert not any(got[k] for k in got if k >= 300)
+
+
 def test_sanitise_replaces_and_keeps_the_rest(spark):
     rows = linked_rows() + [(900, None), (901, "no data"), (901, "no data")]
     df = documents(spark, rows, clash=True)

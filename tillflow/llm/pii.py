@@ -10,16 +10,17 @@ and t, and n(e, t) of which hold t within ``window`` words of e,
 
 and the disclosure PMI / IC is 1 when t occurs with e only. Terms at or above
 ``generalise`` become a placeholder, at or above ``remove`` they are taken out.
-Only pairs seen in at least ``support`` different contexts count, and at least
-``spread_percent`` percent of the pair's documents must differ in context. A
-context is known by the least hash of the other words around the entity, so
-exact and edited copies of one passage are few observations.
+Exact and edited copies of one document are one document in all of these counts
+(the classes of ``minhash``, on whole documents), and only pairs seen in at least
+``support`` documents count.
 
 Jobs: one scan finds entities and the words near them; pair counts are
 aggregations with map-side combination; n(t) is counted over all documents in a
 second scan that keeps only words hitting a bitmap of the candidate terms (a
-fixed 1 MB whatever their number), then joined exactly. Texts are not shuffled
-by ``find``; ``sanitise`` joins the spans of affected rows back to the texts.
+fixed 1 MB whatever their number), then joined exactly. Classes of copies are
+found only if some pair is in enough rows; the texts of copies are then shuffled
+to count a term once per class. ``sanitise`` joins the spans of affected rows back
+to the texts.
 
 Edge cases: null or empty text has no spans. Repeated rows get equal spans.
 Rows with a null doc_id are handled like others. Entities that are in every
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
+from tillflow.llm.minhash import copy_classes, row_key
 from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
@@ -50,7 +52,6 @@ TERM = 4  # the kind number of a revealing term, listed behind the base kinds
 class Disclosure:
     window: int = 8
     support: int = 3
-    spread_percent: int = 50
     generalise: float = 0.75
     remove: float = 0.95
 
@@ -124,8 +125,8 @@ def term_hash(words: list[str]) -> list[int]:
     return arrays.words(buf, np.array([0, len(buf)])).hashes.view(np.int64).tolist()
 
 
-def nearby(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int, int, int]]:
-    """(entity, term, start, end, context) of the words within ``window`` words of each span."""
+def nearby(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
+    """(entity, term, start, end) of the words within ``window`` words of each span."""
     out = []
     for kind, a, b in spans:
         right = []
@@ -150,21 +151,18 @@ def nearby(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tu
             continue
         terms = term_hash([text[s:e] for s, e in around])
         entity = entity_of(kind, text[a:b])
-        least = sorted(set(terms))[:2]
-        for t, (s, e) in zip(terms, around):
-            others = [x for x in least if x != t]
-            out.append((entity, t, s, e, others[0] if others else 0))
+        out += [(entity, t, s, e) for t, (s, e) in zip(terms, around)]
     return out
 
 
 _BLANK = frozenset(" \t\n\v\f\r") | {""}
 _FOUND = ("doc_id long, text_key long, kinds array<int>, starts array<int>, ends array<int>, entities array<long>, "
-          "near array<struct<entity:long,term:long,start:int,end:int,context:long>>")
+          "near array<struct<entity:long,term:long,start:int,end:int>>")
 
 
 def _find_batches(p: Disclosure):
     near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()),
-                                    ("end", pa.int32()), ("context", pa.int64())]))
+                                    ("end", pa.int32())]))
 
     def run(batches):
         for batch in batches:
@@ -174,7 +172,7 @@ def _find_batches(p: Disclosure):
             for i, s in enumerate(spans):
                 text = texts[i].as_py() if s else ""
                 ents.append([entity_of(k, text[a:b]) for k, a, b in s])
-                near.append([dict(zip(("entity", "term", "start", "end", "context"), x)) for x in nearby(text, s, p.window)])
+                near.append([dict(zip(("entity", "term", "start", "end"), x)) for x in nearby(text, s, p.window)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"),
                  *[pa.array([[x[k] for x in s] for s in spans], pa.list_(pa.int32())) for k in range(3)],
@@ -183,8 +181,8 @@ def _find_batches(p: Disclosure):
     return run
 
 
-def _count_words(bitmap: bytes):
-    """Per slice: (term, documents of the slice that hold it), for terms that hit the bitmap."""
+def _count_words(bitmap: bytes, by_class: bool = False):
+    """Per slice: (term, rows of the slice that hold it), for terms that hit the bitmap; (class, term, rows) with ``by_class``."""
     def run(batches):
         bits = np.frombuffer(bitmap, np.uint8)
         for whole in batches:
@@ -194,6 +192,12 @@ def _count_words(bitmap: bytes):
                 slot = (w.hashes & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
                 hit = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
                 pair = np.unique(np.stack([w.hashes[hit], w.row_of_word()[hit].astype(np.uint64)]), axis=1)
+                if by_class:
+                    pair[1] = batch.column("class").to_numpy().view(np.uint64)[pair[1].astype(np.int64)]
+                    pair, n = np.unique(pair, axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(pair[1].view(np.int64)), pa.array(pair[0].view(np.int64)), pa.array(n, pa.int64())],
+                                                     ["class", "term", "n"])
+                    continue
                 term, n = np.unique(pair[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n, pa.int64())], ["term", "n"])
     return run
@@ -213,24 +217,48 @@ def bitmap_of(terms: DataFrame) -> bytes:
     return cells.tobytes()
 
 
+def on_bitmap(bitmap: bytes):
+    """The rows whose ``row`` hits the bitmap, so that a join need not move the others."""
+    def run(batches):
+        bits = np.frombuffer(bitmap, np.uint8)
+        for batch in batches:
+            slot = batch.column("row").to_numpy() & (len(bits) * 8 - 1)
+            yield batch.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
+    return run
+
+
 def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure()) -> DataFrame:
     """``(entity, term, disclosure)`` of the pairs at or above the lower threshold."""
-    total = docs.count()
-    near = found.filter(F.size("near") > 0).select(F.monotonically_increasing_id().alias("row"), F.explode("near").alias("x")) \
-                .select("row", "x.entity", "x.term", "x.context")
-    per_context = near.groupBy("entity", "term", "context").agg(F.count_distinct("row").alias("n"))
-    pairs = per_context.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_et")) \
-                       .filter((F.col("contexts") >= p.support) & (100 * F.col("contexts") >= p.spread_percent * F.col("n_et")))
-    pairs = scratch_table(pairs, "pairs")
-    terms = scratch_table(docs.select("text").mapInArrow(_count_words(bitmap_of(pairs.select("term"))), "term long, n long")
+    near = found.filter(F.size("near") > 0).select(row_key().alias("row"), F.explode("near").alias("x")).select("row", "x.entity", "x.term")
+    by_row = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= p.support)
+    if by_row.isEmpty():
+        return near.select("entity", "term", F.lit(0.0).alias("disclosure")).filter("false")
+    classes = copy_classes(docs)
+    total = classes.select("class").distinct().count()
+    # written first, so that a join can split a class that holds a third of the rows
+    copied = scratch_table(classes.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("class"), "copied")
+    copies = scratch_table(classes.join(copied, "class").select("row", "class").distinct(), "copies")
+
+    def count(rows: DataFrame, *keys: str) -> DataFrame:
+        """Documents per key, copies counted once."""
+        return (rows.join(copies, "row", "left").select(*keys, F.coalesce("class", "row").alias("class")).distinct()
+                .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+
+    pairs = scratch_table(count(near, "entity", "term").filter(F.col("n") >= p.support).withColumnRenamed("n", "n_et"), "pairs")
+    bits = bitmap_of(pairs.select("term"))
+    # rows that hold a term, then for copies their rows taken off and their classes added
+    keyed = docs.select(row_key().alias("row"), "text")
+    some = keyed.mapInArrow(on_bitmap(bitmap_of(copies.select(F.col("row").alias("term")))), keyed.schema)
+    once = (some.join(copies, "row").select("class", "text")
+            .mapInArrow(_count_words(bits, True), "class long, term long, n long").groupBy("term", "class").agg(F.sum("n").alias("n"))
+            .select("term", (1 - F.col("n")).alias("n")))
+    terms = scratch_table(docs.select("text").mapInArrow(_count_words(bits), "term long, n long").unionByName(once)
                           .groupBy("term").agg(F.sum("n").alias("n_t")), "terms")
-    ents = found.filter(F.size("entities") > 0).select(F.explode(F.array_distinct("entities")).alias("entity")) \
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    held = found.filter(F.size("entities") > 0).select(row_key().alias("row"), F.explode("entities").alias("entity"))
+    ents = count(held, "entity").withColumnRenamed("n", "n_e")
     all_ = pairs.join(terms, "term").join(ents, "entity")
-    # a document that holds the pair in two contexts counts once in n_e: the pair count cannot exceed either
-    n_et = F.least("n_et", "n_e", "n_t")
     ic = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    pmi = F.log2(n_et * float(max(total, 1)) / (F.col("n_e") * F.col("n_t")))
+    pmi = F.log2(F.col("n_et") * float(max(total, 1)) / (F.col("n_e") * F.col("n_t")))
     strength = F.when(ic > 0, pmi / F.when(ic > 0, ic))
     return all_.select("entity", "term", strength.alias("disclosure")).filter(F.col("disclosure") >= p.generalise)
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.minhash import copy_classes, row_key
-from tillflow.llm.pii import bitmap_of
+from tillflow.llm.pii import bitmap_of, on_bitmap
 from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
 
 SYMBOLS = b"#*$%&|<>"
@@ -135,20 +135,10 @@ def _profile_batches(batches):
                  "lines"])
 
 
-def _holders(bitmap: bytes):
-    """The rows whose key hits the bitmap."""
-    def run(batches):
-        bits = np.frombuffer(bitmap, np.uint8)
-        for batch in batches:
-            slot = batch.column("row").to_numpy() & (len(bits) * 8 - 1)
-            yield batch.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0)).drop_columns("row")
-    return run
-
-
 def _different(docs: DataFrame, held: DataFrame) -> DataFrame:
     """``(host, h, different)``: the documents that hold a line by ``held`` (host, h, row), exact and edited copies counted once."""
     keyed = docs.select("doc_id", "text", "text_key", row_key().alias("row"))
-    some = keyed.mapInArrow(_holders(bitmap_of(held.select(F.col("row").alias("term")))), "doc_id long, text string, text_key long")
+    some = keyed.mapInArrow(on_bitmap(bitmap_of(held.select(F.col("row").alias("term")))), keyed.schema)
     copies = scratch_table(copy_classes(some).filter("row <> class").distinct(), "moved")
     return (held.join(copies, "row", "left").select("host", "h", F.coalesce("class", "row").alias("class"))
             .groupBy("host", "h", "class").agg(F.lit(1).alias("x"))
