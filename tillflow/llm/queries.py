@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillflow.llm import langid, licenses, minhash, packing, pieces, pii, quality, rules, vectors, warc
+from tillflow.llm import langid, licenses, merkle, minhash, packing, pieces, pii, quality, rules, vectors, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -150,6 +150,50 @@ def op10_minhash(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+# unsigned CRC-32 of a number's decimal text
+CRC32_SQL = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda s: ord(s)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+_LEAF_SQL = "sha256(" + " || ".join(
+    f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUN_SQL = "list_transform(range(0, len(hs), 8), lambda i: sha256(array_to_string(hs[i + 1:i + 8], '')))"
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (SELECT *, {_LEAF_SQL.format("text")} AS leaf,
+    CASE WHEN {CRC32_SQL.format("doc_id")} % 3 = 0 THEN {_LEAF_SQL.format(_LOWER_SQL)} END AS changed FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM d),
+t AS (SELECT tree, 0 AS level, list(leaf ORDER BY pos) AS hs FROM l GROUP BY tree
+      UNION ALL SELECT tree, level + 1, {_RUN_SQL} FROM t WHERE len(hs) > 1),
+s AS (SELECT tree, hs[1] AS subroot FROM t WHERE len(hs) = 1),
+u AS (SELECT 0 AS level, list(subroot ORDER BY tree) AS hs FROM s
+      UNION ALL SELECT level + 1, {_RUN_SQL} FROM u WHERE len(hs) > 1),
+up AS (SELECT tree, pos, 0 AS level, pos AS at, coalesce(changed, leaf) AS digest, '' AS sib FROM l
+       UNION ALL
+       SELECT up.tree, up.pos, up.level + 1, at // 8,
+              sha256(array_to_string(hs[at // 8 * 8 + 1:at], '') || digest || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')),
+              sib || array_to_string(hs[at // 8 * 8 + 1:at], '') || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')
+       FROM up JOIN t ON t.tree = up.tree AND t.level = up.level WHERE len(hs) > 1),
+sub AS (SELECT tree, pos, digest, sib FROM up JOIN t USING (tree, level) WHERE len(hs) = 1),
+over AS (SELECT tree, pos, 0 AS level, tree AS at, digest, sib FROM sub
+         UNION ALL
+         SELECT tree, pos, over.level + 1, at // 8,
+                sha256(array_to_string(hs[at // 8 * 8 + 1:at], '') || digest || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')),
+                sib || array_to_string(hs[at // 8 * 8 + 1:at], '') || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')
+         FROM over JOIN u ON u.level = over.level WHERE len(hs) > 1),
+folded AS (SELECT tree, pos, digest, sib, hs[1] AS root FROM over JOIN u USING (level) WHERE len(hs) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(sib) AS proof_sha256, digest AS folded_root, digest = root AS verified
+FROM l JOIN s USING (tree) JOIN folded USING (tree, pos)
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark, sf_dir):
+    """Merkle manifest of all documents; every proof folded, those of tampered documents from the changed leaf."""
+    return merkle.fold(merkle.manifest(_table(spark, sf_dir, "documents"), merkle.tampered()))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     """The whole corpus pipeline: quality, rules, near duplicates, personal data, packing."""
