@@ -39,6 +39,7 @@ FANOUT_BITS = 3
 FANOUT = 1 << FANOUT_BITS
 STEP = 4                       # levels that one tile grows
 LANES = 4096                   # of one compression call, so that its arrays stay in the cache
+MAX_LEVELS = 21                # 8 ** 21 places are all that a long can number
 TOP = -1                       # the tree of the subroots
 LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -177,8 +178,9 @@ def grow(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes, roots, base = [], [], 0
     while True:
         roots.append(current.filter("size = 1").select("tree", "digest", F.lit(base).alias("depth")))
-        tile = F.shiftright("pos", FANOUT_BITS * STEP).alias("tile")
-        made = scratch_table(current.filter("size > 1").select("*", tile).groupBy("tree", "tile")
+        # one text as key: an exchange by tree alone must not serve these groups
+        cell = F.concat_ws(":", "tree", F.shiftright("pos", FANOUT_BITS * STEP)).alias("cell")
+        made = scratch_table(current.filter("size > 1").select("*", cell).groupBy("cell")
                              .applyInArrow(_grow(base), _NODES), "nodes")
         nodes.append(made)
         top = made.filter((F.col("level") == base + STEP) | ((F.col("size") == 1) & (F.col("level") < base + STEP)))
@@ -229,21 +231,20 @@ def manifest(docs: DataFrame, replacement: Column | None = None) -> dict[str, Da
 def _paths(made: dict[str, DataFrame]) -> DataFrame:
     """Per tile of leaves ``(tree, tile)``: the nodes inside it and those on its path to the root, in order of ``step``."""
     nodes, top = made["nodes"], made["top_nodes"]
-    columns = ["tree", "tile", "step", "level", "pos", "children", "states"]
+    columns = ["tree", "tile", "step", "level", "pos", "digest", "children", "states"]
     inside = nodes.filter(F.col("level") <= STEP).withColumn("tile", F.expr(f"shiftright(pos, {FANOUT_BITS} * ({STEP} - level))")) \
                   .withColumn("step", F.col("level")).select(*columns)
     tiles = made["subroots"].select("tree", "depth", F.explode(F.expr(
         f"sequence(0L, shiftright(size - 1, {FANOUT_BITS * STEP}))")).alias("tile"))
     above = tiles.filter(F.col("depth") > STEP).select("tree", "tile", F.explode(F.expr(f"sequence({STEP} + 1, depth)")).alias("level")) \
                  .withColumn("pos", F.expr(f"shiftright(tile, {FANOUT_BITS} * (level - {STEP}))"))
-    above = above.join(nodes.select("tree", "level", "pos", "children", "states"), ["tree", "level", "pos"]) \
+    above = above.join(nodes.select("tree", "level", "pos", "digest", "children", "states"), ["tree", "level", "pos"]) \
                  .withColumn("step", F.col("level")).select(*columns)
-    path = top.select("level", F.col("pos").alias("at"), "children", "states")
-    height = made["roots"].select(F.col("tree").alias("top"), F.col("depth").alias("height"))  # one row
-    over = tiles.withColumn("top", F.lit(TOP).cast("long")).join(F.broadcast(height), "top").filter("height > 0") \
-                .select("tree", "tile", F.explode(F.expr("sequence(1, height)")).alias("level")) \
-                .withColumn("at", F.expr(f"shiftright(tree, {FANOUT_BITS} * level)"))
-    over = over.join(path, ["level", "at"]).withColumn("step", 1000 + F.col("level")).withColumn("pos", F.col("at")).select(*columns)
+    # the root's tree: as high as its nodes, of which each level has one for every language's place
+    over = top.select("level", F.col("pos").alias("at"), "digest", "children", "states")
+    places = tiles.select("tree", "tile", F.explode(F.expr(f"sequence(1, {MAX_LEVELS})")).alias("level")) \
+                  .withColumn("at", F.expr(f"shiftright(tree, {FANOUT_BITS} * level)"))
+    over = places.join(over, ["level", "at"]).withColumn("step", 1000 + F.col("level")).withColumn("pos", F.col("at")).select(*columns)
     return inside.unionByName(above).unionByName(over)
 
 
@@ -272,10 +273,12 @@ def _fold(leaves: pa.Table, path: pa.Table) -> pa.Table:
     pos, tree = leaves.column("pos").to_numpy(), leaves.column("tree")[0].as_py() if n else 0
     digest = blocks_of(leaves.column("fold_leaf"))
     proof, blocks = start(n), np.zeros(n, np.int64)
+    sub = root = leaves.column("leaf")[0].as_py() if n else ""
     steps = path.column("step").to_numpy()
     for step in np.unique(steps):
         rows = path.filter(pa.array(steps == step))
-        level, first = rows.column("level")[0].as_py(), rows.column("pos")[0].as_py()
+        level, first, root = (rows.column(c)[0].as_py() for c in ("level", "pos", "digest"))
+        sub = root if step < 1000 else sub
         kids = np.zeros((rows.num_rows, FANOUT, 16), np.uint32)
         states = np.zeros((FANOUT, 8, rows.num_rows), np.uint32)
         count = np.zeros(rows.num_rows, np.int64)
@@ -287,8 +290,9 @@ def _fold(leaves: pa.Table, path: pa.Table) -> pa.Table:
         owner = (at >> (FANOUT_BITS * level)) - first
         slot = (at >> (FANOUT_BITS * (level - 1))) & (FANOUT - 1)
         digest, proof, blocks = _climb(digest, proof, blocks, slot, owner, np.ascontiguousarray(kids.transpose(2, 0, 1)), states, count)
-    return pa.table([leaves.column("doc_id"), leaves.column("tree"), leaves.column("leaf"), pa.array(texts_of(finish(proof, blocks)), pa.string()),
-                     pa.array(texts_of(digest), pa.string())], names=["doc_id", "tree", "leaf", "proof_sha256", "folded_root"])
+    columns = {"subroot": [sub] * n, "root": [root] * n, "proof_sha256": texts_of(finish(proof, blocks)), "folded_root": texts_of(digest)}
+    return pa.table([leaves.column("doc_id"), leaves.column("leaf"), *[pa.array(c, pa.string()) for c in columns.values()]],
+                    names=["doc_id", "leaf", *columns])
 
 
 def fold(made: dict[str, DataFrame]) -> DataFrame:
@@ -296,11 +300,8 @@ def fold(made: dict[str, DataFrame]) -> DataFrame:
     tile = F.shiftright("pos", FANOUT_BITS * STEP).alias("tile")
     paths = scratch_table(_paths(made), "paths")
     got = (made["leaves"].select("*", tile).groupBy("tree", "tile").cogroup(paths.groupBy("tree", "tile"))
-           .applyInArrow(_fold, "doc_id long, tree long, leaf string, proof_sha256 string, folded_root string"))
-    roots = F.broadcast(made["roots"].select(F.col("tree").alias("top"), F.col("digest").alias("root")))  # one row
-    subroots = made["subroots"].select("tree", F.lit(TOP).cast("long").alias("top"), F.col("digest").alias("subroot")).join(roots, "top")
-    return (got.join(subroots, "tree")
-            .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+           .applyInArrow(_fold, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string"))
+    return got.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -169,18 +169,18 @@ t AS (SELECT tree, 0 AS level, list(leaf ORDER BY pos) AS hs FROM l GROUP BY tre
 s AS (SELECT tree, hs[1] AS subroot FROM t WHERE len(hs) = 1),
 u AS (SELECT 0 AS level, list(subroot ORDER BY tree) AS hs FROM s
       UNION ALL SELECT level + 1, {_RUN_SQL} FROM u WHERE len(hs) > 1),
-up AS (SELECT tree, pos, 0 AS level, pos AS at, coalesce(changed, leaf) AS digest, '' AS sib FROM l
+up AS (SELECT tree, pos, 0 AS level, pos AS k, coalesce(changed, leaf) AS digest, '' AS sib FROM l
        UNION ALL
-       SELECT up.tree, up.pos, up.level + 1, at // 8,
-              sha256(array_to_string(hs[at // 8 * 8 + 1:at], '') || digest || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')),
-              sib || array_to_string(hs[at // 8 * 8 + 1:at], '') || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')
+       SELECT up.tree, up.pos, up.level + 1, k // 8,
+              sha256(array_to_string(hs[k // 8 * 8 + 1:k], '') || digest || array_to_string(hs[k + 2:k // 8 * 8 + 8], '')),
+              sib || array_to_string(hs[k // 8 * 8 + 1:k], '') || array_to_string(hs[k + 2:k // 8 * 8 + 8], '')
        FROM up JOIN t ON t.tree = up.tree AND t.level = up.level WHERE len(hs) > 1),
 sub AS (SELECT tree, pos, digest, sib FROM up JOIN t USING (tree, level) WHERE len(hs) = 1),
-over AS (SELECT tree, pos, 0 AS level, tree AS at, digest, sib FROM sub
+over AS (SELECT tree, pos, 0 AS level, tree AS k, digest, sib FROM sub
          UNION ALL
-         SELECT tree, pos, over.level + 1, at // 8,
-                sha256(array_to_string(hs[at // 8 * 8 + 1:at], '') || digest || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')),
-                sib || array_to_string(hs[at // 8 * 8 + 1:at], '') || array_to_string(hs[at + 2:at // 8 * 8 + 8], '')
+         SELECT tree, pos, over.level + 1, k // 8,
+                sha256(array_to_string(hs[k // 8 * 8 + 1:k], '') || digest || array_to_string(hs[k + 2:k // 8 * 8 + 8], '')),
+                sib || array_to_string(hs[k // 8 * 8 + 1:k], '') || array_to_string(hs[k + 2:k // 8 * 8 + 8], '')
          FROM over JOIN u ON u.level = over.level WHERE len(hs) > 1),
 folded AS (SELECT tree, pos, digest, sib, hs[1] AS root FROM over JOIN u USING (level) WHERE len(hs) = 1)
 SELECT doc_id, leaf, subroot, root, sha256(sib) AS proof_sha256, digest AS folded_root, digest = root AS verified
