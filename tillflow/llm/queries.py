@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillflow.llm import langid, licenses, merkle, minhash, packing, pieces, pii, quality, rules, vectors, warc
+from tillflow.llm import langid, licenses, merkle, minhash, packing, periods, pieces, pii, quality, rules, vectors, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -194,6 +194,35 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.fold(merkle.manifest(_table(spark, sf_dir, "documents"), merkle.tampered()))
 
 
+OP13_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {CRC32_SQL.format("doc_id")} AS h,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS v FROM documents),
+g AS (SELECT *, len(v) AS n, CASE WHEN h % 10 = 0 AND len(v) > 0 THEN (h // 10) % len(v) END AS a FROM d),
+q AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM g),
+w AS (SELECT k, doc_id, n, CASE WHEN a IS NULL THEN v ELSE list_transform(range(n), lambda i: v[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS v FROM q),
+x AS (SELECT k, n, unnest(v) AS word, unnest(range(n)) AS i FROM w),
+m AS (SELECT b.k, b.i, c.i - b.i AS p FROM x b JOIN x c ON b.k = c.k AND b.word = c.word AND c.i > b.i AND 4 * (c.i - b.i) <= b.n),
+s AS (SELECT k, p, min(i) AS start, count(*) + p AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY k, p ORDER BY i) AS part FROM m) GROUP BY k, p, part HAVING count(*) + p >= greatest(6, 4 * p)),
+r AS (SELECT * FROM s WHERE NOT EXISTS (FROM s o WHERE o.k = s.k AND o.p < s.p AND o.start <= s.start AND o.start + o.length >= s.start + s.length)),
+lead AS (SELECT k, count(*) AS n_runs, arg_min(struct_pack(start := start, length := length, p := p), (-length, start, p)) AS best,
+                string_agg(start || ',' || length || ',' || p || chr(10), '' ORDER BY start, p) AS lines FROM r GROUP BY k),
+cut AS (SELECT DISTINCT k, unnest(range(start + p, start + length)) AS i FROM r),
+kept AS (SELECT k, string_agg(word, ' ' ORDER BY i) AS words FROM x ANTI JOIN cut USING (k, i) GROUP BY k)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length, best.p::BIGINT AS period,
+       (1000 * best.length // best.p)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(words, '')) AS collapsed_sha256
+FROM w LEFT JOIN lead USING (k) LEFT JOIN kept USING (k)
+"""
+
+
+@query("op13_periodic_runs", OP13_SQL)
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in all documents, after every tenth document's words were made periodic."""
+    docs = _table(spark, sf_dir, "documents")
+    return periods.digest_runs(docs.withColumn("text", periods.planted(F.col("text"), F.col("doc_id"))))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     """The whole corpus pipeline: quality, rules, near duplicates, personal data, packing."""
