@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillflow.llm import langid, licenses, merkle, minhash, packing, periods, pieces, pii, quality, rules, vectors, warc
+from tillflow.llm import langid, licenses, merkle, minhash, packing, periods, pieces, pii, quality, rules, suffixes, vectors, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -194,6 +194,30 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.fold(merkle.manifest(_table(spark, sf_dir, "documents"), merkle.tampered()))
 
 
+OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+u AS (SELECT k, hx, unnest(range(n - 399)) AS s FROM d WHERE n >= 400),
+w AS (SELECT k, s, md5(substr(hx, (2 * s + 1)::BIGINT, 800)) AS h FROM u),
+r AS (SELECT k, s FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+i AS (SELECT k, s, CASE WHEN s <= lag(s) OVER (PARTITION BY k ORDER BY s) + 400 THEN 0 ELSE 1 END AS new FROM r),
+j AS (SELECT k, s, sum(new) OVER (PARTITION BY k ORDER BY s) AS part FROM i),
+x AS (SELECT k, part, min(s) AS a, max(s) + 400 AS b FROM j GROUP BY k, part),
+y AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY k ORDER BY a), 0) AS before FROM x),
+z AS (SELECT k, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+             string_agg(substr(hx, (2 * before + 1)::BIGINT, (2 * (a - before))::BIGINT), '' ORDER BY a) AS front FROM y JOIN d USING (k) GROUP BY k)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(front || substr(hx, (2 * last + 1)::BIGINT), hx))) AS kept_sha256
+FROM d LEFT JOIN z USING (k)
+"""
+
+
+@query("op12_suffix_dedup", OP12_SQL)
+def op12_suffix_dedup(spark, sf_dir):
+    """All documents without the bytes of 400-byte strings that occur anywhere else."""
+    return suffixes.repeated_passages(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 OP13_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, {CRC32_SQL.format("doc_id")} AS h,
              list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS v FROM documents),

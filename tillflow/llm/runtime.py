@@ -119,3 +119,33 @@ def text_buffer(col: pa.Array):
     data = col.buffers()[2]
     buf = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return buf[offs[0]:offs[-1]], offs - offs[0]
+
+
+FILTER_BITS = 1 << 24
+
+
+def key_filter(keys: DataFrame, column: str):
+    """A ``mapInArrow`` function that keeps the rows whose long ``column`` may be among those of ``keys``.
+
+    A bitmap of sixteen bits a key, of FILTER_BITS (2 MB; at most FILTER_BITS / 64
+    rows reach the driver) at most. It only spares an exact join the rows that
+    cannot match; with very many keys it spares fewer.
+    """
+    from pyspark.sql import functions as F
+
+    n = keys.count()
+    bits = min(FILTER_BITS, max(1 << 12, 1 << (16 * n).bit_length()))
+    slot = f"({column} & {bits - 1}L)"
+    got = keys.select(F.expr(f"{slot} div 64").alias("cell"), F.expr(f"shiftleft(1L, cast({slot} % 64 as int))").alias("bit")) \
+              .groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect()
+    cells = np.zeros(bits // 64, "<i8")
+    for r in got:
+        cells[r["cell"]] = r["bits"]
+    bitmap = cells.tobytes()
+
+    def run(batches):
+        table = np.frombuffer(bitmap, np.uint8)
+        for batch in batches:
+            slot = batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64) & (bits - 1)
+            yield batch.filter(pa.array((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
+    return run
