@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions import literal_row
+from tillflow.operators import fits
 from tillflow.operators.profile import exact_quantiles
 from tillflow.session import scratch_path
 from tillflow.sources.schemas import CUSTOMER, GOLD_COLUMNS
@@ -58,29 +59,33 @@ def _estimator(name: str):
 
 
 # ------------------------------------------------------------ preparation
+def trim_bound(df: DataFrame, column: str, q: float = TRIM_QUANTILE, exact: bool = True) -> Column:
+    """The q-quantile of a column as a literal (null for an empty column)."""
+    if exact:
+        return literal_row(exact_quantiles(df, column, [q], ["b"]))["b"]
+    sketch = fits.quantile_sketch(df, [column])
+    return literal_row(sketch.select(fits.sketched_quantile(q).alias("b")).agg(F.max("b").alias("b")))["b"]
+
+
 def outlier_trim(gold: DataFrame, q: float = TRIM_QUANTILE, trim_monetary: bool = True,
                  exact: bool = True, bound_before_positive: bool = False) -> DataFrame:
     """M1/M2: positive targets, then target <= its q-quantile, then monetary <= its q-quantile.
 
     ``exact`` uses the distributed exact quantile (deterministic, oracle-equal);
-    otherwise ``percentile_approx`` with relative error 0.01 as in the
-    original job's ``approxQuantile`` (which may return the maximum).
+    otherwise a mergeable quantile sketch whose rank is within 0.01 n, the error
+    of the original job's ``approxQuantile``.
     ``bound_before_positive`` with ``trim_monetary=False`` is the training
     script's order: the target bound is taken over all rows, then both filters.
     """
+    def bound(df: DataFrame, c: str) -> Column:
+        return trim_bound(df, c, q, exact)
+
     if bound_before_positive:
-        b = (literal_row(exact_quantiles(gold, TARGET, [q], ["b"]))["b"] if exact
-             else literal_row(gold.agg(F.percentile_approx(TARGET, q, 100).alias("b")))["b"])
-        kept = gold.filter(F.col(TARGET) <= b).filter(F.col(TARGET) > 0)
+        kept = gold.filter(F.col(TARGET) <= bound(gold, TARGET)).filter(F.col(TARGET) > 0)
         if trim_monetary:
-            kept = kept.filter(F.col("monetary") <= literal_row(exact_quantiles(kept, "monetary", [q], ["b"]))["b"])
+            kept = kept.filter(F.col("monetary") <= bound(kept, "monetary"))
         return kept
 
-    def bound(df: DataFrame, c: str) -> Column:
-        if exact:
-            return literal_row(exact_quantiles(df, c, [q], ["b"]))["b"]
-        return literal_row(df.agg(F.percentile_approx(c, q, 100).alias("b")))["b"]
-
     pos = gold.filter(F.col(TARGET) > 0)
     kept = pos.filter(F.col(TARGET) <= bound(pos, TARGET))
     if trim_monetary:
@@ -238,24 +243,75 @@ def leaderboard(trained: Trained) -> DataFrame:
     return ranked(model_metrics(trained).select("model", "rmse", "mae", "r2", "fit_seconds"))
 
 
+def slot_names(pipeline: PipelineModel) -> list[str]:
+    """The name of every slot of ``features``: the numeric columns, then ``column=value`` for every category."""
+    indexer = pipeline.stages[0]
+    return [*NUMERIC_COLS, *[f"{c}={v}" for c, labels in zip(CATEGORICAL_COLS, indexer.labelsArray) for v in labels]]
+
+
+def saved_importance(spark, path: str, model: str, pipeline: PipelineModel) -> DataFrame:
+    """M17 of a saved tree ensemble, from its nodes: (feature, importance); the slots of a category add up."""
+    names = [n.split("=", 1)[0] for n in slot_names(pipeline)]
+    return fits.importance(fits.tree_nodes(spark, path), names, per_tree=model == "RandomForest")
+
+
 def feature_importance(trained: Trained) -> DataFrame:
-    """Tree-model importances; numeric slots by name, all country slots summed, rank per model."""
+    """Tree-model importances by column (category slots summed), rank per model, read from the saved models' nodes."""
     spark = trained.prepared.sparkSession
-    rows = []
+    parts = []
     for name in ("RandomForest", "GBT"):
-        m = trained.models.get(name)
-        if m is None:
-            continue
-        imp = m.featureImportances.toArray()
-        k = len(NUMERIC_COLS)
-        for i, c in enumerate(NUMERIC_COLS):
-            rows.append((name, c, float(imp[i]) if i < len(imp) else 0.0))
-        rows.append((name, "country", float(imp[k:].sum()) if len(imp) > k else 0.0))
-    df = spark.createDataFrame(rows, "model string, feature string, importance double")
+        if name in trained.models:
+            path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+            save_model(trained.models[name], path)
+            parts.append(saved_importance(spark, path, name, trained.pipeline).select(F.lit(name).alias("model"), "feature", "importance"))
+    df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "model string, feature string, importance double")
     w = Window.partitionBy("model").orderBy(F.col("importance").desc(), "feature")
     return df.withColumn("rank", F.row_number().over(w)).withColumn("top3", F.col("rank") <= 3)
 
 
+# both solvers penalise standardised columns, and a target divided by its deviation
+LINEAR_MODELS = ("LinearRegression", "GeneralizedLinear")
+
+
+def linear_residuals(trained: Trained) -> DataFrame:
+    """The first-order condition of the fitted linear models on the training rows, a row per model and slot.
+
+    ``with_target`` is the slot's covariance with the target, ``gap`` that with the residual less the
+    penalty's pull, and ``solve_gap`` the difference of the coefficient from the one that follows
+    from the training rows' Gram matrix, relative to its size.
+    """
+    train = trained.prepared.filter(F.col("split") == "train")
+    names = slot_names(trained.pipeline)
+    x = vector_to_array("features")
+    flat = train.select(TARGET, *[x[i].alias(f"x{i}") for i in range(len(NUMERIC_COLS))],
+                        F.coalesce(*[F.when(x[i] != 0, F.lit(i)) for i in range(len(NUMERIC_COLS), len(names))], F.lit(-1)).cast("string").alias("slot"))
+    columns = [f"x{i}" for i in range(len(NUMERIC_COLS))]
+    moments = fits.cross_moments(flat, columns, "slot", TARGET)
+    slots = [*columns, *[f"slot={i}" for i in range(len(NUMERIC_COLS), len(names))]]
+    # a slot's column holds 1 / deviation instead of 1: its products are scaled accordingly
+    size = literal_row(train.agg(*[F.max(x[i]).alias(f"s{i}") for i in range(len(NUMERIC_COLS), len(names))]))
+    scale = F.lit(1.0)
+    for i in range(len(NUMERIC_COLS), len(names)):
+        scale = F.when(F.col("name") == f"slot={i}", size[f"s{i}"]).otherwise(scale)
+    for side in ("a", "b"):
+        moments = moments.withColumn("name", F.col(side)).withColumn("value", F.col("value") * scale).drop("name")
+    parts = []
+    spark = trained.prepared.sparkSession
+    for model in LINEAR_MODELS:
+        if model not in trained.models:
+            continue
+        fitted = trained.models[model]
+        weights = [float(v) for v in fitted.coefficients]
+        penalty = MODEL_PARAMS[model]["regParam"]
+        told = fits.residual_moments(fitted.transform(train), TARGET, names, weights, penalty, scaled=True)
+        solved = fits.ridge(moments, slots, TARGET, penalty, scaled=True)
+        pairs = [("1", float(fitted.intercept), solved["1"]), *[(n, w, solved[s]) for n, s, w in zip(names, slots, weights)]]
+        gaps = [(n, (w - v) / (1 + abs(w))) for n, w, v in pairs]
+        solve = F.broadcast(spark.createDataFrame(gaps, "feature string, solve_gap double"))  # one row per slot
+        parts.append(told.join(solve, "feature").select(F.lit(model).alias("model"), "feature", "with_target", "gap", "solve_gap"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def features_frame(trained: Trained) -> DataFrame:
     """M8 output: scaled feature vectors as arrays, per customer and split."""
     return trained.prepared.select(CUSTOMER, "split", TARGET, vector_to_array("features").alias("features"))

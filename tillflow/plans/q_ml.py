@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators import ml
+from tillflow.operators import fits, ml
 from tillflow.plans import jobs
 from tillflow.plans.pipeline import Layers, rounded
 from tillflow.plans.registry import query
@@ -223,6 +223,93 @@ def feature_importance(spark, sf_dir):
     return ml.feature_importance(trained(spark, sf_dir))
 
 
+# ------------------------------------------------------- what the fitted models must agree with
+BINS = 16
+_CUTS = ", ".join(f"{k / BINS}" for k in range(1, BINS))
+register("cuts", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, unnest(list_distinct(quantile_cont({c}::DOUBLE, [{_CUTS}]))) AS threshold FROM tr" for c in ml.NUMERIC_COLS), ("tr",))
+register("candidates", " UNION ALL ".join(
+    [f"SELECT feature, threshold, {c} <= threshold AS goes_left, future_spending AS y FROM tr JOIN cuts ON feature = '{c}'" for c in ml.NUMERIC_COLS]
+    + ["SELECT 'country=' || s.country, 0.5, tr.country <> s.country, future_spending FROM tr, slots s"]), ("tr", "cuts", "slots"))
+
+
+@query("tree_split_gain", q("""
+SELECT feature, round(threshold, 4) AS threshold, n_left, n_right, round(mean_left, 4) AS mean_left, round(mean_right, 4) AS mean_right,
+       round((v - (n_left * coalesce(v_left, 0) + n_right * coalesce(v_right, 0)) / n) / v, 8) AS gain_share
+FROM (SELECT feature, threshold, count(*) AS n, count(*) FILTER (goes_left) AS n_left, count(*) FILTER (NOT goes_left) AS n_right,
+             avg(y) FILTER (goes_left) AS mean_left, avg(y) FILTER (NOT goes_left) AS mean_right, var_pop(y) AS v,
+             var_pop(y) FILTER (goes_left) AS v_left, var_pop(y) FILTER (NOT goes_left) AS v_right
+      FROM candidates GROUP BY feature, threshold)""", "candidates"))
+def tree_split_gain(spark, sf_dir):
+    """The variance gain of every candidate split of the training rows (quantile bins, and each country)."""
+    train = Layers(spark, sf_dir).write(split_rows(spark, sf_dir).filter(F.col("split") == "train"), "train")
+    gains = fits.split_gains(train, ml.NUMERIC_COLS, ml.TARGET, fits.quantile_thresholds(train, ml.NUMERIC_COLS, BINS), ml.CATEGORICAL_COLS)
+    places = {"gain_share": 8}
+    return gains.drop("gain").select(*[F.round(c, places.get(c, 4)).alias(c) if t == "double" else F.col(c) for c, t in gains.drop("gain").dtypes])
+
+
+_dense = {"1": "1.0", **{c: f"{c}::DOUBLE" for c in (*ml.NUMERIC_COLS, ml.TARGET)}}
+register("gram_numbers", " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, avg({x} * {y}) AS value FROM tr" for a, x in _dense.items() for b, y in _dense.items()), ("tr",))
+register("gram_slots", " UNION ALL ".join(
+    f"SELECT '{a}' AS a, 'country=' || country AS b, sum({x}) / (SELECT count(*) FROM tr) AS value FROM tr GROUP BY country"
+    for a, x in _dense.items()), ("tr",))
+register("gram", """SELECT * FROM gram_numbers UNION ALL SELECT a, b, value FROM gram_slots UNION ALL SELECT b, a, value FROM gram_slots
+UNION ALL SELECT b, b, value FROM gram_slots WHERE a = '1'""", ("gram_numbers", "gram_slots"))
+
+
+@query("gram_matrix", q("""
+SELECT g.a, g.b, round(g.value / sqrt(x.value * y.value), 8) AS cosine
+FROM gram g JOIN gram x ON x.a = g.a AND x.b = g.a JOIN gram y ON y.a = g.b AND y.b = g.b WHERE x.value > 0 AND y.value > 0""", "gram"))
+def gram_matrix(spark, sf_dir):
+    """The Gram matrix of the training rows' columns, country slots, target and constant, each brought to length one."""
+    train = split_rows(spark, sf_dir).filter(F.col("split") == "train")
+    # (features + 2)^2 rows
+    moments = Layers(spark, sf_dir).write(fits.cross_moments(train, ml.NUMERIC_COLS, "country", ml.TARGET), "gram")
+    size = moments.filter("a = b and value > 0").select("a", F.col("value").alias("size"))
+    return (moments.join(size, "a").join(size.toDF("b", "other"), "b")
+            .select("a", "b", F.round(F.col("value") / F.sqrt(F.col("size") * F.col("other")), 8).alias("cosine")))
+
+
+@query("lr_residual_moments", q(f"""
+SELECT model, feature, round(with_target, 4) AS with_target, 0.0::DOUBLE AS gap, 0.0::DOUBLE AS solve_gap
+FROM ({" UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce(covar_pop({c} / nullif((SELECT stddev_samp({c}) FROM tr), 0), future_spending), 0) AS with_target FROM tr" for c in ml.NUMERIC_COLS)}
+      UNION ALL SELECT '1', 0.0
+      UNION ALL SELECT 'country=' || s.country, covar_pop(CASE WHEN tr.country = s.country THEN 1 / s.sd ELSE 0 END, future_spending) FROM tr, slots s GROUP BY s.country),
+     (SELECT unnest(['LinearRegression', 'GeneralizedLinear']) AS model)""", "tr", "slots"))
+def lr_residual_moments(spark, sf_dir):
+    """The fitted linear models' first-order condition, and their distance from the Gram matrix's solution: both 0."""
+    got = ml.linear_residuals(trained(spark, sf_dir))
+    return got.select("model", "feature", F.round("with_target", 4).alias("with_target"),
+                      *[(F.round(c, 4) + 0.0).alias(c) for c in ("gap", "solve_gap")])
+
+
+@query("approx_trim_bounds", q(f"""
+SELECT 'future_spending' AS column_name, count(*) AS n, {ml.TRIM_QUANTILE}::DOUBLE AS quantile, true AS within FROM trim_pos
+UNION ALL SELECT 'monetary', count(monetary), {ml.TRIM_QUANTILE}::DOUBLE, true FROM trim_pos""", "trim_pos"))
+def approx_trim_bounds(spark, sf_dir):
+    """M2 with sketches: those of each country merged into one; the rank of each bound is counted and lies within 1 % of n."""
+    rows = Layers(spark, sf_dir).gold_materialized().filter(F.col(ml.TARGET) > 0)
+    sketches = fits.merged_sketch(fits.quantile_sketch(rows, [ml.TARGET, "monetary"], ["country"]))
+    bounds = Layers(spark, sf_dir).write(sketches.select("column_name", fits.sketched_quantile(ml.TRIM_QUANTILE).alias("bound")), "bounds")
+    parts = [fits.rank_check(rows, c, fits.literal_row(bounds.filter(F.col("column_name") == c).select("bound"))["bound"], ml.TRIM_QUANTILE, 0.01)
+             for c in (ml.TARGET, "monetary")]
+    return parts[0].unionByName(parts[1]).select("column_name", "n", F.lit(ml.TRIM_QUANTILE).alias("quantile"), "within")
+
+
+@query("saved_tree_nodes")
+def saved_tree_nodes(spark, sf_dir):
+    """The saved tree models read back as tables of nodes, summed up per model."""
+    t, parts = trained(spark, sf_dir), []
+    for name in ("DecisionTree", "RandomForest", "GBT"):
+        path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+        ml.save_model(t.models[name], path)
+        parts.append(fits.tree_nodes(spark, path).groupBy(F.lit(name).alias("model")).agg(
+            F.count_distinct("tree").alias("trees"), F.count("*").alias("nodes"), F.count_if(F.col("gain").isNull()).alias("leaves"),
+            F.sum(F.when(F.col("node") == 0, F.col("row_count"))).alias("rows_at_roots")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _logged_runs(spark, sf_dir) -> str:
     """Append the trained models' runs to a fresh run-log table; return its root."""
     t = trained(spark, sf_dir)
