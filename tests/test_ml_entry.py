@@ -159,7 +159,7 @@ def test_driver_tables_are_scanned_once_over_all_jobs(spark):
     import subprocess
     import sys
     names = ["gold_features", "gold_features_joined", "rfm", "temporal_split", "dashboard_kpis", "cancellation_summary",
-             "cleaning_funnel", "layer_counts", "spend_boxplot", "publish_history"]
+             "cleaning_funnel", "layer_counts", "spend_boxplot", "publish_history", "describe_quartiles", "encode_messages", "publish_offsets"]
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "scripts/scan_count.py", SF, *names], cwd=root, capture_output=True, text=True, timeout=600)
     counts = json.loads(out.stdout.strip().splitlines()[-1])

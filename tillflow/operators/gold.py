@@ -2,9 +2,10 @@
 
 Two plan shapes give the same table:
 
-* ``gold_features`` (default) is one ``groupBy(customer)`` over the tagged
+* ``gold_features`` is one ``groupBy(customer)`` over the tagged
   feature / target / cancellation rows with conditional aggregates.
-* ``gold_features_joined`` aggregates the feature rows once per customer, left
+* ``gold_features_joined`` (what jobs and later queries use: fewer rows are
+  expanded for its distinct counts) aggregates the feature rows once per customer, left
   joins the cancellation counts and inner joins the target: two joins of
   customer-level sides.
 

@@ -71,7 +71,7 @@ def gold_job(spark: SparkSession, lake: str, fmt: str = "parquet", require_targe
     p = read_silver(spark, lake, "silver_purchases", fmt)
     c = read_silver(spark, lake, "silver_cancellations", fmt)
     split = gold.split_column(p)
-    return store.publish(gold.gold_features(p, c, split, require_target), lake, "gold", fmt)
+    return store.publish(gold.gold_features_joined(p, c, split, require_target), lake, "gold", fmt)
 
 
 def train_job(spark: SparkSession, lake: str, fmt: str = "parquet", model_dir: str | None = None,

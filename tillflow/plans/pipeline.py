@@ -83,7 +83,7 @@ class Layers:
         return f, t, c, split
 
     def gold(self) -> DataFrame:
-        return gold.gold_features(self.written_purchases(), self.written_cancellations(), self.split())
+        return gold.gold_features_joined(self.written_purchases(), self.written_cancellations(), self.split())
 
     def gold_materialized(self) -> DataFrame:
         """Gold written as a table, for queries that read it several times (quantile bounds, ranges, then the rows)."""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillflow.operators import gold, silver
+from tillflow.operators import gold, profile, silver
 from tillflow.plans.pipeline import Layers, rounded
 from tillflow.plans.registry import query
 from tillflow.plans.sqlbase import q
+from tillflow.sources import store
 
 SILVER_COLS = """kafka_topic, kafka_partition, kafka_offset, kafka_timestamp, "timestamp", kullanici_ID,
        olay_tipi, ilgili_ID, stock_code, description, quantity, unit_price, country, invoice_date,
@@ -136,14 +137,30 @@ FROM gold""", "gold")
 @query("gold_features", GOLD_SQL)
 def gold_features(spark, sf_dir):
     """C3 flagship: one-pass Gold from the Silver tables, which are evaluated once."""
-    return rounded(Layers(spark, sf_dir).gold())
+    L = Layers(spark, sf_dir)
+    return rounded(gold.gold_features(L.written_purchases(), L.written_cancellations(), L.split()))
 
 
 @query("gold_features_joined", GOLD_SQL)
 def gold_features_joined(spark, sf_dir):
-    """C3 by joins; must equal ``gold_features``."""
-    L = Layers(spark, sf_dir)
-    return rounded(gold.gold_features_joined(L.written_purchases(), L.written_cancellations(), L.split()))
+    """C3 by joins, the form that the jobs and later queries use; must equal ``gold_features``."""
+    return rounded(Layers(spark, sf_dir).gold())
+
+
+_SCHEMA = {"kullanici_ID": "bigint", "ilgili_ID": "string", "stock_code": "string", "invoice_date": "timestamp_ntz",
+           "total_price": "double", "country": "string", "silver_table": "string"}
+
+
+@query("schema_report", q(" UNION ALL ".join(f"""
+SELECT 'silver' AS "table", '{c}' AS column_name, '{t}' AS data_type, true AS nullable, count({c}) AS filled
+FROM (SELECT *, CASE WHEN is_cancellation THEN 'cancellations' WHEN quantity > 0 AND unit_price > 0 THEN 'purchases' END AS silver_table FROM clean)"""
+                                            for c, t in _SCHEMA.items()), "clean"))
+def schema_report(spark, sf_dir):
+    """Columns, types and filled rows of the written Silver rows (Gold's inputs and the table tag)."""
+    written = Layers(spark, sf_dir).written_silver()
+    filled = profile.fill_profile(written).select("column_name", "filled")
+    # a row per column on both sides
+    return store.schema_report(written, "silver").join(filled, "column_name").select("table", "column_name", "data_type", "nullable", "filled")
 
 
 _REPLAYED = q("""
