@@ -75,6 +75,15 @@ def test_nulls_repeats_and_empty_table(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
 
 
+def test_an_id_with_several_texts_has_the_links_of_all(spark):
+    rng = random.Random(12)
+    a, b = prose(rng, 90), prose(rng, 90)
+    rows = [(1, a), (1, b), (2, edit(rng, a, 0.02)), (3, edit(rng, b, 0.02)), (4, prose(rng, 90)), (4, None), (5, b)]
+    for p in (NearDup(), NearDup(unit_rows=2, unit_shingles=100)):
+        got = {r.doc_id: r.component_id for r in near_duplicates(documents(spark, rows), p).collect()}
+        assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1}
+
+
 def test_drop_keeps_one_row_of_each_class(spark):
     rng = random.Random(8)
     text = prose(rng, 80)

@@ -26,7 +26,7 @@ about 5e-8, and less above.
 Edge cases: null or empty texts, or texts of white space only, have the empty
 set (n_shingles 0) and link with nothing. A text of fewer words than a shingle
 has one shingle, its whole word sequence. Rows that repeat a doc_id are one
-node: their rows all return its component. A row whose doc_id is null is linked
+node with the links of all its texts: their rows all return its component. A row whose doc_id is null is linked
 with nothing and has component_id null and kept true. Extra columns of the
 input are ignored, whatever their names. An empty table gives an empty result.
 """
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.graph import Forest, components, work_units
-from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import drop_scratch, fresh, key_filter, scratch_table, ship, slices, text_buffer
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -57,7 +57,7 @@ class NearDup:
     rows: int = 4
     slack: float = 5.0
     unit_rows: int = 512
-    unit_shingles: int = 4_000_000
+    unit_shingles: int = 1_000_000
 
     @property
     def t(self) -> int:
@@ -236,13 +236,16 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     alike = lists.mapInArrow(_alike(p), "a long, b long")
     family = scratch_table(components(alike), "family")
 
-    members = (texts.filter("doc_id is not null").join(family.toDF("doc_id", "family"), "doc_id")
-               .join(reps.select("doc_id", "n_shingles"), "doc_id"))
-    members = members.dropDuplicates(["doc_id"])
+    # work units are dealt from ids alone; texts, of candidates only, meet them by doc_id. A doc_id may have several texts.
+    weights = reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
+    members = scratch_table(family.toDF("doc_id", "family").join(weights, "doc_id"), "candidates")
     units = work_units(members, "family", F.xxhash64("doc_id"), F.col("n_shingles"), p.unit_rows, p.unit_shingles)
-    links = units.select("family", "bi", "bj", "doc_id", "text").groupBy("family", "bi", "bj") \
-                 .applyInArrow(_verify(p), "a long, b long")
+    units = scratch_table(units.select("family", "bi", "bj", "doc_id"), "units")
+    some = texts.filter("doc_id is not null")
+    some = some.mapInArrow(key_filter(members.select("doc_id"), "doc_id"), some.schema)
+    links = units.join(some.distinct(), "doc_id").groupBy("family", "bi", "bj").applyInArrow(_verify(p), "a long, b long")
     found = components(links.unionByName(same))
+    drop_scratch(least, classes, reps, family, members, units)
 
     out = (sketches.select("doc_id", "n_shingles")
            .join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")

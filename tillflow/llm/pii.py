@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.minhash import copy_classes, row_key
-from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import drop_scratch, fresh, key_filter, scratch_table, ship, slices, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = 4  # the kind number of a revealing term, listed behind the base kinds
@@ -54,6 +54,7 @@ class Disclosure:
     support: int = 3
     generalise: float = 0.75
     remove: float = 0.95
+    merge_copies: bool = True  # False where near copies have been taken out before
 
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -233,11 +234,16 @@ def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure())
     by_row = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= p.support)
     if by_row.isEmpty():
         return near.select("entity", "term", F.lit(0.0).alias("disclosure")).filter("false")
-    classes = copy_classes(docs)
-    total = classes.select("class").distinct().count()
-    # written first, so that a join can split a class that holds a third of the rows
-    copied = scratch_table(classes.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("class"), "copied")
-    copies = scratch_table(classes.join(copied, "class").select("row", "class").distinct(), "copies")
+    if p.merge_copies:
+        classes = copy_classes(docs)
+        total = classes.select("class").distinct().count()
+        # written first, so that a join can split a class that holds a third of the rows
+        copied = scratch_table(classes.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("class"), "copied")
+        copies = scratch_table(classes.join(copied, "class").select("row", "class").distinct(), "copies")
+        drop_scratch(classes, copied)
+    else:
+        total = docs.count()
+        copies = near.select("row", F.lit(0).cast("long").alias("class")).filter("false")
 
     def count(rows: DataFrame, *keys: str) -> DataFrame:
         """Documents per key, copies counted once."""
@@ -247,13 +253,14 @@ def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure())
     pairs = scratch_table(count(near, "entity", "term").filter(F.col("n") >= p.support).withColumnRenamed("n", "n_et"), "pairs")
     bits = bitmap_of(pairs.select("term"))
     # rows that hold a term, then for copies their rows taken off and their classes added
-    keyed = docs.select(row_key().alias("row"), "text")
-    some = keyed.mapInArrow(on_bitmap(bitmap_of(copies.select(F.col("row").alias("term")))), keyed.schema)
-    once = (some.join(copies, "row").select("class", "text")
-            .mapInArrow(_count_words(bits, True), "class long, term long, n long").groupBy("term", "class").agg(F.sum("n").alias("n"))
-            .select("term", (1 - F.col("n")).alias("n")))
-    terms = scratch_table(docs.select("text").mapInArrow(_count_words(bits), "term long, n long").unionByName(once)
-                          .groupBy("term").agg(F.sum("n").alias("n_t")), "terms")
+    seen = docs.select("text").mapInArrow(_count_words(bits), "term long, n long")
+    if p.merge_copies:
+        keyed = docs.select(row_key().alias("row"), "text")
+        some = keyed.mapInArrow(key_filter(copies.select("row"), "row"), keyed.schema)
+        seen = seen.unionByName(some.join(copies, "row").select("class", "text")
+                                .mapInArrow(_count_words(bits, True), "class long, term long, n long").groupBy("term", "class").agg(F.sum("n").alias("n"))
+                                .select("term", (1 - F.col("n")).alias("n")))
+    terms = scratch_table(seen.groupBy("term").agg(F.sum("n").alias("n_t")), "terms")
     held = found.filter(F.size("entities") > 0).select(row_key().alias("row"), F.explode("entities").alias("entity"))
     ents = count(held, "entity").withColumnRenamed("n", "n_e")
     all_ = pairs.join(terms, "term").join(ents, "entity")
