@@ -18,8 +18,9 @@ Jobs: one scan finds entities and the words near them; pair counts are
 aggregations with map-side combination; n(t) is counted over all documents in a
 second scan that keeps only words hitting a bitmap of the candidate terms (a
 fixed 1 MB whatever their number), then joined exactly. Classes of copies are
-found only if some pair is in enough rows; the texts of copies are then shuffled
-to count a term once per class. ``sanitise`` joins the spans of affected rows back
+found only if some pair is in enough rows. The same scan counts the rows that are
+surely no copies, a lower bound of n(t): only for terms that the bound does not rule out are
+the texts of copies shuffled, to count a term once per class. ``sanitise`` joins the spans of affected rows back
 to the texts.
 
 Edge cases: null or empty text has no spans. Repeated rows get equal spans.
@@ -37,12 +38,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.minhash import copy_classes, row_key
-from tillflow.llm.runtime import drop_scratch, fresh, key_filter, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import drop_scratch, fresh, hits, key_bitmap, key_filter, scratch_table, ship, slices, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = 4  # the kind number of a revealing term, listed behind the base kinds
@@ -182,25 +183,41 @@ def _find_batches(p: Disclosure):
     return run
 
 
-def _count_words(bitmap: bytes, by_class: bool = False):
-    """Per slice: (term, rows of the slice that hold it), for terms that hit the bitmap; (class, term, rows) with ``by_class``."""
+def _term_rows(batch: pa.RecordBatch, bits: np.ndarray) -> np.ndarray:
+    """Distinct (term, row of the slice) pairs, as two rows, of the terms that hit the bitmap."""
+    buf, offs = text_buffer(batch.column("text"))
+    w = arrays.words(buf, offs, arrays.lower_table())
+    slot = (w.hashes & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
+    hit = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+    return np.unique(np.stack([w.hashes[hit], w.row_of_word()[hit].astype(np.uint64)]), axis=1)
+
+
+def _count_words(bitmap: bytes, copied: tuple[bytes, int] | None = None):
+    """Per slice: (term, rows of the slice that hold it, those of them that are surely no copies)."""
+    def run(batches):
+        bits = np.frombuffer(bitmap, np.uint8)
+        for whole in batches:
+            for batch in slices(whole):
+                pair = _term_rows(batch, bits)
+                own = ~hits(*copied, batch.column("row")) if copied else np.ones(batch.num_rows, bool)
+                term, back, n = np.unique(pair[0], return_inverse=True, return_counts=True)
+                sure = np.bincount(back, weights=own[pair[1].astype(np.int64)], minlength=len(term)) if len(term) else n
+                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n, pa.int64()), pa.array(sure.astype(np.int64))],
+                                                 ["term", "n", "sure"])
+    return run
+
+
+def _count_copies(bitmap: bytes):
+    """Per slice: (class, term, rows of the class in the slice that hold it)."""
     def run(batches):
         bits = np.frombuffer(bitmap, np.uint8)
         for whole in batches:
             for batch in slices(whole):
-                buf, offs = text_buffer(batch.column("text"))
-                w = arrays.words(buf, offs, arrays.lower_table())
-                slot = (w.hashes & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
-                hit = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
-                pair = np.unique(np.stack([w.hashes[hit], w.row_of_word()[hit].astype(np.uint64)]), axis=1)
-                if by_class:
-                    pair[1] = batch.column("class").to_numpy().view(np.uint64)[pair[1].astype(np.int64)]
-                    pair, n = np.unique(pair, axis=1, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(pair[1].view(np.int64)), pa.array(pair[0].view(np.int64)), pa.array(n, pa.int64())],
-                                                     ["class", "term", "n"])
-                    continue
-                term, n = np.unique(pair[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n, pa.int64())], ["term", "n"])
+                pair = _term_rows(batch, bits)
+                pair[1] = batch.column("class").to_numpy().view(np.uint64)[pair[1].astype(np.int64)]
+                pair, n = np.unique(pair, axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[1].view(np.int64)), pa.array(pair[0].view(np.int64)), pa.array(n, pa.int64())],
+                                                 ["class", "term", "n"])
     return run
 
 
@@ -218,16 +235,6 @@ def bitmap_of(terms: DataFrame) -> bytes:
     return cells.tobytes()
 
 
-def on_bitmap(bitmap: bytes):
-    """The rows whose ``row`` hits the bitmap, so that a join need not move the others."""
-    def run(batches):
-        bits = np.frombuffer(bitmap, np.uint8)
-        for batch in batches:
-            slot = batch.column("row").to_numpy() & (len(bits) * 8 - 1)
-            yield batch.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
-    return run
-
-
 def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure()) -> DataFrame:
     """``(entity, term, disclosure)`` of the pairs at or above the lower threshold."""
     near = found.filter(F.size("near") > 0).select(row_key().alias("row"), F.explode("near").alias("x")).select("row", "x.entity", "x.term")
@@ -251,23 +258,33 @@ def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure())
                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
 
     pairs = scratch_table(count(near, "entity", "term").filter(F.col("n") >= p.support).withColumnRenamed("n", "n_et"), "pairs")
-    bits = bitmap_of(pairs.select("term"))
-    # rows that hold a term, then for copies their rows taken off and their classes added
-    seen = docs.select("text").mapInArrow(_count_words(bits), "term long, n long")
-    if p.merge_copies:
-        keyed = docs.select(row_key().alias("row"), "text")
-        some = keyed.mapInArrow(key_filter(copies.select("row"), "row"), keyed.schema)
-        seen = seen.unionByName(some.join(copies, "row").select("class", "text")
-                                .mapInArrow(_count_words(bits, True), "class long, term long, n long").groupBy("term", "class").agg(F.sum("n").alias("n"))
-                                .select("term", (1 - F.col("n")).alias("n")))
-    terms = scratch_table(seen.groupBy("term").agg(F.sum("n").alias("n_t")), "terms")
     held = found.filter(F.size("entities") > 0).select(row_key().alias("row"), F.explode("entities").alias("entity"))
     ents = count(held, "entity").withColumnRenamed("n", "n_e")
-    all_ = pairs.join(terms, "term").join(ents, "entity")
-    ic = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    pmi = F.log2(F.col("n_et") * float(max(total, 1)) / (F.col("n_e") * F.col("n_t")))
-    strength = F.when(ic > 0, pmi / F.when(ic > 0, ic))
-    return all_.select("entity", "term", strength.alias("disclosure")).filter(F.col("disclosure") >= p.generalise)
+    keyed = docs.select(row_key().alias("row"), "text")
+    copied = key_bitmap(copies.select("row"), "row")
+    seen = scratch_table(keyed.mapInArrow(_count_words(bitmap_of(pairs.select("term")), copied), "term long, n long, sure long")
+                         .groupBy("term").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure")), "seen")
+
+    def strength(n_t) -> Column:
+        ic = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
+        pmi = F.log2(F.col("n_et") * float(max(total, 1)) / (F.col("n_e") * n_t))
+        return F.when(ic > 0, pmi / F.when(ic > 0, ic))
+
+    # a term is in at least as many documents as surely no copies hold it, and at least in those of the pair: most pairs
+    # cannot reach the threshold, and copies are looked at for the terms of the others only
+    able = scratch_table(pairs.join(seen, "term").join(ents, "entity")
+                         .filter(strength(F.greatest("sure", "n_et")) >= p.generalise), "able")
+    if not p.merge_copies or able.isEmpty():
+        terms = able.select("term", F.col("n").alias("n_t")).distinct()
+    else:
+        # all rows that hold a term; for copies their rows taken off and their classes added
+        some = keyed.mapInArrow(key_filter(copies.select("row"), "row"), keyed.schema)
+        once = (some.join(copies, "row").select("class", "text")
+                .mapInArrow(_count_copies(bitmap_of(able.select("term"))), "class long, term long, n long")
+                .groupBy("term", "class").agg(F.sum("n").alias("n")).groupBy("term").agg(F.sum(F.col("n") - 1).alias("more")))
+        terms = able.select("term", "n").distinct().join(once, "term", "left").select("term", (F.col("n") - F.coalesce("more", F.lit(0))).alias("n_t"))
+    told = able.drop("n", "sure").join(terms, "term").select("entity", "term", strength(F.col("n_t")).alias("disclosure"))
+    return told.filter(F.col("disclosure") >= p.generalise)
 
 
 def find(docs: DataFrame, p: Disclosure = Disclosure()) -> DataFrame:

@@ -39,8 +39,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.minhash import copy_classes, row_key
-from tillflow.llm.pii import bitmap_of, on_bitmap
-from tillflow.llm.runtime import fresh, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import fresh, key_filter, scratch_table, ship, slices, text_buffer
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -138,7 +137,8 @@ def _profile_batches(batches):
 def _different(docs: DataFrame, held: DataFrame) -> DataFrame:
     """``(host, h, different)``: the documents that hold a line by ``held`` (host, h, row), exact and edited copies counted once."""
     keyed = docs.select("doc_id", "text", "text_key", row_key().alias("row"))
-    some = keyed.mapInArrow(on_bitmap(bitmap_of(held.select(F.col("row").alias("term")))), keyed.schema)
+    # written: two passes read it, and a stage of two Python functions would hold two workers for each task
+    some = scratch_table(keyed.mapInArrow(key_filter(held.select("row"), "row"), keyed.schema), "holders")
     copies = scratch_table(copy_classes(some).filter("row <> class").distinct(), "moved")
     return (held.join(copies, "row", "left").select("host", "h", F.coalesce("class", "row").alias("class"))
             .groupBy("host", "h", "class").agg(F.lit(1).alias("x"))

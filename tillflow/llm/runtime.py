@@ -124,12 +124,11 @@ def text_buffer(col: pa.Array):
 FILTER_BITS = 1 << 24
 
 
-def key_filter(keys: DataFrame, column: str):
-    """A ``mapInArrow`` function that keeps the rows whose long ``column`` may be among those of ``keys``.
+def key_bitmap(keys: DataFrame, column: str) -> tuple[bytes, int]:
+    """A bitmap of the long ``column`` and its number of bits: sixteen a key, FILTER_BITS (2 MB) at most.
 
-    A bitmap of sixteen bits a key, of FILTER_BITS (2 MB; at most FILTER_BITS / 64
-    rows reach the driver) at most. It only spares an exact join the rows that
-    cannot match; with very many keys it spares fewer.
+    At most FILTER_BITS / 64 rows reach the driver, whatever the number of keys; with
+    very many keys the bitmap tells less. A key of ``keys`` always hits it.
     """
     from pyspark.sql import functions as F
 
@@ -141,11 +140,24 @@ def key_filter(keys: DataFrame, column: str):
     cells = np.zeros(bits // 64, "<i8")
     for r in got:
         cells[r["cell"]] = r["bits"]
-    bitmap = cells.tobytes()
+    return cells.tobytes(), bits
+
+
+def hits(bitmap: bytes, bits: int, keys: pa.Array) -> np.ndarray:
+    """Whether each key may be among those of the bitmap."""
+    table = np.frombuffer(bitmap, np.uint8)
+    slot = keys.to_numpy(zero_copy_only=False).astype(np.int64) & (bits - 1)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+
+
+def key_filter(keys: DataFrame, column: str):
+    """A ``mapInArrow`` function that keeps the rows whose long ``column`` may be among those of ``keys``.
+
+    It only spares an exact join the rows that cannot match.
+    """
+    bitmap, bits = key_bitmap(keys, column)
 
     def run(batches):
-        table = np.frombuffer(bitmap, np.uint8)
         for batch in batches:
-            slot = batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64) & (bits - 1)
-            yield batch.filter(pa.array((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0))
+            yield batch.filter(pa.array(hits(bitmap, bits, batch.column(column))))
     return run
