@@ -19,8 +19,8 @@ aggregations with map-side combination; n(t) is counted over all documents in a
 second scan that keeps only words hitting a bitmap of the candidate terms (a
 fixed 1 MB whatever their number), then joined exactly. Classes of copies are
 found only if some pair is in enough rows. The same scan counts the rows that are
-surely no copies, a lower bound of n(t): only for terms that the bound does not rule out are
-the texts of copies shuffled, to count a term once per class. ``sanitise`` joins the spans of affected rows back
+surely no copies, a lower bound of n(t): only for terms that the bound does not rule out a
+third scan lists the copies that hold them, to count a term once per class. No text is shuffled for it. ``sanitise`` joins the spans of affected rows back
 to the texts.
 
 Edge cases: null or empty text has no spans. Repeated rows get equal spans.
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.minhash import copy_classes, row_key
-from tillflow.llm.runtime import drop_scratch, fresh, hits, key_bitmap, key_filter, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import drop_scratch, fresh, hits, key_bitmap, scratch_table, ship, slices, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = 4  # the kind number of a revealing term, listed behind the base kinds
@@ -207,17 +207,15 @@ def _count_words(bitmap: bytes, copied: tuple[bytes, int] | None = None):
     return run
 
 
-def _count_copies(bitmap: bytes):
-    """Per slice: (class, term, rows of the class in the slice that hold it)."""
+def _terms_of_copies(bitmap: bytes, copied: tuple[bytes, int]):
+    """(row, term) of the terms that hit the bitmap, in rows that may be copies: the texts need not move."""
     def run(batches):
         bits = np.frombuffer(bitmap, np.uint8)
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole.filter(pa.array(hits(*copied, whole.column("row"))))):
                 pair = _term_rows(batch, bits)
-                pair[1] = batch.column("class").to_numpy().view(np.uint64)[pair[1].astype(np.int64)]
-                pair, n = np.unique(pair, axis=1, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[1].view(np.int64)), pa.array(pair[0].view(np.int64)), pa.array(n, pa.int64())],
-                                                 ["class", "term", "n"])
+                row = batch.column("row").to_numpy()[pair[1].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(pair[0].view(np.int64))], ["row", "term"])
     return run
 
 
@@ -277,11 +275,10 @@ def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure())
     if not p.merge_copies or able.isEmpty():
         terms = able.select("term", F.col("n").alias("n_t")).distinct()
     else:
-        # all rows that hold a term; for copies their rows taken off and their classes added
-        some = keyed.mapInArrow(key_filter(copies.select("row"), "row"), keyed.schema)
-        once = (some.join(copies, "row").select("class", "text")
-                .mapInArrow(_count_copies(bitmap_of(able.select("term"))), "class long, term long, n long")
-                .groupBy("term", "class").agg(F.sum("n").alias("n")).groupBy("term").agg(F.sum(F.col("n") - 1).alias("more")))
+        # all rows that hold a term; for copies their rows taken off and their classes added (equal rows are one in copies)
+        once = (keyed.mapInArrow(_terms_of_copies(bitmap_of(able.select("term")), copied), "row long, term long")
+                .join(copies, "row").groupBy("term", "class").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("term").agg(F.sum(F.col("n") - 1).alias("more")))
         terms = able.select("term", "n").distinct().join(once, "term", "left").select("term", (F.col("n") - F.coalesce("more", F.lit(0))).alias("n_t"))
     told = able.drop("n", "sure").join(terms, "term").select("entity", "term", strength(F.col("n_t")).alias("disclosure"))
     return told.filter(F.col("disclosure") >= p.generalise)
