@@ -67,6 +67,83 @@ def test_character_map_equals_the_library_normaliser():
     assert norm == b"xfiy" and source.tolist() == [0, 1, 1, 4, 5]      # both letters come from the ligature's bytes
 
 
+def variant(tmp_path, change) -> str:
+    """A model file with other settings."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    proto = pb.ModelProto()
+    proto.ParseFromString(sentencepiece.SentencePieceProcessor(model_file=PATH).serialized_model_proto())
+    change(proto, pb)
+    path = tmp_path / "variant.model"
+    path.write_bytes(proto.SerializeToString())
+    return str(path)
+
+
+def trimming(proto, pb):
+    proto.normalizer_spec.remove_extra_whitespaces = True
+
+
+def mapped(proto, pb):
+    trimming(proto, pb)
+    rule = pb.ModelProto()
+    rule.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto())
+    proto.normalizer_spec.precompiled_charsmap = rule.normalizer_spec.precompiled_charsmap
+
+
+def mapped_untrimmed(proto, pb):
+    mapped(proto, pb)
+    proto.normalizer_spec.remove_extra_whitespaces = False
+
+
+def without_bytes(proto, pb):
+    mapped(proto, pb)
+    proto.trainer_spec.byte_fallback = False
+    for p in proto.pieces:
+        if p.type == pb.ModelProto.SentencePiece.BYTE:
+            p.type = pb.ModelProto.SentencePiece.UNUSED
+
+
+def unigram(proto, pb):
+    without_bytes(proto, pb)
+    proto.trainer_spec.model_type = 1
+
+
+def symbols(proto, pb):
+    mapped(proto, pb)
+    for name in ("abﬁ", "ﬁx", "xﬁ½"):
+        proto.pieces.add(piece=name, score=0.0, type=pb.ModelProto.SentencePiece.USER_DEFINED)
+
+
+def suffix(proto, pb):
+    mapped(proto, pb)
+    proto.trainer_spec.treat_whitespace_as_suffix = True
+
+
+def no_prefix(proto, pb):
+    trimming(proto, pb)
+    proto.normalizer_spec.add_dummy_prefix = False
+
+
+@pytest.mark.parametrize("change", [trimming, mapped, mapped_untrimmed, without_bytes, unigram, symbols, suffix, no_prefix])
+def test_ids_offsets_and_decoding_of_other_models(tmp_path, change):
+    path = variant(tmp_path, change)
+    lib, m = sentencepiece.SentencePieceProcessor(model_file=path), model(path)
+    assert not m.separable
+    rng = random.Random(11)
+    pool = ["a", "b", " ", "  ", "\n", "ﬁ", "ﬁx", "x", "½", "　", "é", "é", "Ａ", "中", "😀", "▁", "\t", "\u200b", "¨", "the ", "hello", "\u00ad", "㍿", "ଅ", "abﬁ"]
+    cases = ["hello   world", "  hello world  ", "   ", " ¨ a ", "\u200b  a", *ODD, *("".join(rng.choices(pool, k=rng.randrange(1, 25))) for _ in range(500))]
+    for t in cases:
+        e = m.encode(t)
+        want = lib.encode(t, return_type="proto")
+        assert e.ids.tolist() == [p.id for p in want.pieces], repr(t)
+        assert m.decode(e.ids.tolist()) == lib.decode(e.ids.tolist()), repr(t)
+        data, at = t.encode(), 0
+        for p, a, b in zip(want.pieces, e.begin.tolist(), e.end.tolist()):
+            if not lib.is_byte(p.id):
+                assert (a, b) == (p.begin, p.end), (t, p.piece)
+            assert at <= a <= b <= len(data)
+            at = a
+
+
 def test_documents_round_trip(spark, lib):
     rng = random.Random(8)
     rows = list(enumerate(texts()[:60])) + [(900, None), (None, "x y"), (5, "again"), (901, prose(rng, 20_000))]

@@ -4,9 +4,11 @@ Normalisation walks the text by the model's compiled character map: at every
 position the longest prefix found in the map (a double-array trie over UTF-8
 bytes) is replaced by its entry, and a character outside the map stays. Each
 normalised byte records the source byte it came from, so a piece, which covers
-a run of normalised bytes, projects back to a span of original bytes. White
-space is then escaped and a leading one is added, as the model's normaliser
-settings say. A model with an empty map takes the same route with nothing to
+a run of normalised bytes, projects back to a span of original bytes. A user-defined
+symbol of the model stays as it is. White space is then trimmed, collapsed and escaped,
+and one is added in front (or behind), as the model's settings say. The pieces are those of the
+normalised text: the library gets it with a normaliser that changes nothing. A model
+with an empty map takes the same route with nothing to
 replace, vectorised.
 
 No piece of a BPE model that respects white space holds an escaped space behind
@@ -17,8 +19,9 @@ cache) by the sentencepiece library, which also encodes whole texts where the
 model breaks these rules.
 
 Edge cases: null and empty texts have no ids and decode to the empty text.
-Unknown characters fall back to byte pieces; each byte piece's span is the
-byte's own. Repeated rows get equal results; extra columns are ignored; an empty
+Unknown characters fall back to byte pieces, where the model has them; each byte piece's span is the
+byte's own. Elsewhere a run of unknown characters is one piece, which spans them. A
+trimmed space belongs to no piece, a collapsed run to its first space. Repeated rows get equal results; extra columns are ignored; an empty
 table gives an empty result.
 """
 
@@ -71,26 +74,30 @@ class CharMap:
                 found = (i + 1 - start, self.out[at:self.out.index(b"\0", at)])
         return found
 
-    def normalise(self, data: bytes) -> tuple[bytes, np.ndarray]:
-        """(normalised bytes, source offset of each and of the end)."""
-        if self.empty:
+    def normalise(self, data: bytes, symbols: re.Pattern | None = None) -> tuple[bytes, np.ndarray]:
+        """(normalised bytes, source offset of each and of the end); what ``symbols`` match stays."""
+        if self.empty and symbols is None:
             return data, np.arange(len(data) + 1)
         out, source, i = [], [], 0
         while i < len(data):
-            hit = self.longest(data, i)
-            if hit is None:
-                first = data[i]
-                step = 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
-                out.append(data[i:i + step])
-                source += range(i, i + step)
-            else:
-                step, text = hit
-                out.append(text)
-                source += [i] * len(text)
+            step, text, whole = self.step(data, i, symbols)
+            out.append(text)
+            source += [i] * len(text) if whole else range(i, i + step)
             i += step
         source.append(len(data))
         return b"".join(out), np.array(source, np.int64)
 
+    def step(self, data: bytes, i: int, symbols: re.Pattern | None) -> tuple[int, bytes, bool]:
+        """(bytes read, what they become, whether that has one source) at an offset: a symbol, an entry or a character."""
+        if symbols is not None and (m := symbols.match(data, i)):
+            return m.end() - i, m[0], True
+        hit = None if self.empty else self.longest(data, i)
+        if hit is not None:
+            return *hit, True
+        first = data[i]
+        step = 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
+        return step, data[i:i + step], False
+
 
 @dataclass
 class Encoded:
@@ -110,7 +117,12 @@ class Pieces:
         spec = model.normalizer_spec
         self.map = CharMap(bytes(spec.precompiled_charsmap))
         self.mark = SPACE_MARK if spec.escape_whitespaces else " "
-        self.dummy = spec.add_dummy_prefix
+        self.suffix = spec.add_dummy_prefix and model.trainer_spec.treat_whitespace_as_suffix
+        self.dummy = spec.add_dummy_prefix and not self.suffix
+        self.trim = spec.remove_extra_whitespaces
+        own = sorted((p.piece.encode() for p in model.pieces if p.type == pb.ModelProto.SentencePiece.USER_DEFINED), key=lambda x: (-len(x), x))
+        self.symbols = re.compile(b"|".join(map(re.escape, own))) if own else None
+        self.unknown = self.lib.unk_id()
         surfaces = [p.piece for p in model.pieces]
         byte = [p.type == pb.ModelProto.SentencePiece.BYTE for p in model.pieces]
         control = [p.type == pb.ModelProto.SentencePiece.CONTROL for p in model.pieces]
@@ -120,11 +132,14 @@ class Pieces:
         self.text = [str(i) for i in range(len(surfaces))]
         self.separable = (
             model.trainer_spec.model_type == 2 and model.trainer_spec.byte_fallback and self.map.empty and self.dummy
-            and spec.escape_whitespaces and not spec.remove_extra_whitespaces and len(surfaces) < 1 << 16
-            and not model.trainer_spec.treat_whitespace_as_suffix
-            and not any(p.type == pb.ModelProto.SentencePiece.USER_DEFINED for p in model.pieces)
+            and spec.escape_whitespaces and not self.trim and len(surfaces) < 1 << 16
+            and not own
             and not any("\n" in s or re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", s) for s, b in zip(surfaces, byte) if not b))
         self.cache: dict[str, bytes] = {}
+        # the model on normalised text
+        spec.Clear()
+        spec.MergeFrom(pb.NormalizerSpec(name="identity", add_dummy_prefix=False, remove_extra_whitespaces=False, escape_whitespaces=False))
+        self.inner = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
 
     def _segment(self, seg: str) -> bytes:
         """Ids (unsigned 16-bit) of a segment: spaces and what follows, or a newline, or text behind one."""
@@ -138,28 +153,68 @@ class Pieces:
         if not text:
             return np.zeros(0, np.int64)
         if not self.separable or SPACE_MARK in text:
-            return np.array(self.lib.encode(text), np.int64)
+            return np.array(self.inner.encode(self.normalise(text)[0]), np.int64)
         segments = _SEGMENTS.findall(" " + text)
         found = list(map(self.cache.get, segments))
         if None in found:
             found = [x if x is not None else self.cache.get(s) or self._segment(s) for x, s in zip(found, segments)]
         return np.frombuffer(b"".join(found), "<u2").astype(np.int64)
 
+    def _spaced(self, norm: bytes, source: np.ndarray) -> np.ndarray:
+        """Which normalised bytes stay when spaces at the start, or behind a space, go; those inside one entry stay."""
+        space = np.frombuffer(norm, np.uint8) == 0x20
+        at = np.arange(len(norm))
+        starts = space & ~np.concatenate([[False], space[:-1]])
+        run = np.maximum.accumulate(np.where(starts, at, -1))
+        inside = run > np.searchsorted(source[:-1], source[:-1], side="left")
+        return ~(space & (run == 0) | space & ~starts & ~inside)
+
+    def sources(self, text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """Normalised bytes before escaping, without the added space; those of each escaped byte, added space included, and of the end."""
+        data = text.encode()
+        norm, source = self.map.normalise(data, self.symbols)
+        first = 0
+        if self.trim:
+            while first < len(data):
+                step, chunk, _ = self.map.step(data, first, self.symbols)
+                if chunk != b" ":
+                    break
+                first += step
+            stay = self._spaced(norm, source)
+            norm, source = np.frombuffer(norm, np.uint8)[stay].tobytes(), np.append(source[:-1][stay], len(data))
+        width = len(self.mark.encode())
+        steps = np.where(np.frombuffer(norm, np.uint8) == 0x20, width, 1)
+        lead = np.full(width if self.dummy else 0, first, np.int64)
+        return norm, np.concatenate([lead, np.repeat(source[:-1], steps)]), source[-1:]
+
+    def normalise(self, text: str) -> tuple[str, np.ndarray]:
+        """The text that the model cuts into pieces, and the source offset of each of its bytes and of the end."""
+        norm, source, end = self.sources(text)
+        mark = self.mark.encode()
+        out = (mark if self.dummy else b"") + norm.replace(b" ", mark)
+        if self.trim:
+            if text and not out.replace(mark, b""):
+                return "", np.zeros(1, np.int64)
+            while out.endswith(mark):
+                out, source, end = out[:-len(mark)], source[:-len(mark)], source[-len(mark):][:1]
+        if self.suffix and out:
+            out, source = out + mark, np.concatenate([source, np.repeat(end, len(mark))])
+        return out.decode(), np.concatenate([source, end])
+
     def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Original byte spans of the pieces ``ids`` of ``text``."""
-        data = text.encode()
-        norm, source = self.map.normalise(data)
-        # escaping: a normalised space is as many bytes as the mark; a leading mark belongs to offset 0
-        step = np.ones(len(norm), np.int64)
-        mark = len(self.mark.encode())
-        step[np.frombuffer(norm, np.uint8) == 0x20] = mark
-        at = np.zeros(len(norm) + 1, np.int64)
-        np.cumsum(step, out=at[1:])
-        lead = mark if self.dummy and len(norm) else 0
-        stop = np.cumsum(self.width[ids])
-        begin = np.searchsorted(at, np.maximum(stop - self.width[ids] - lead, 0), side="right") - 1
-        end = np.searchsorted(at, np.maximum(stop - lead, 0), side="left")
-        return source[begin], source[end]
+        width = self.width[ids]
+        if self.trim or self.suffix:
+            norm, source = self.normalise(text)
+        else:
+            norm, *source = self.sources(text)
+            source = np.concatenate(source)
+        unknown = np.flatnonzero(ids == self.unknown)
+        if len(unknown):
+            found = self.inner.encode(self.normalise(text)[0], out_type=str)
+            width[unknown] = [len(found[i].encode()) for i in unknown]
+        stop = np.cumsum(width)
+        return source[stop - width], source[stop]
 
     def encode(self, text: str) -> Encoded:
         ids = self.ids(text)
@@ -169,6 +224,8 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The library's decode: pieces joined, marks as spaces, the leading one dropped, byte pieces as UTF-8."""
+        if not self.separable:
+            return self.lib.decode(ids)
         out = b"".join(map(self.plain.__getitem__, ids))
         if self.dummy and out[:1] == b" ":
             out = out[1:]
