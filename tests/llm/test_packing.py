@@ -98,3 +98,17 @@ def test_every_token_is_packed_once(spark, p):
 
 def test_empty_table(spark):
     assert pack(documents(spark, []), PATH).collect() == []
+
+
+def test_equal_rows_without_ids_spread_over_the_groups(spark, tmp_path):
+    p = Packing(group_pieces=100)
+    rows = spark.range(0, 4000, 1, 4).selectExpr("cast(null as long) as doc_id", "'the same few words' as text")
+    got = pack(rows, PATH, p).collect()
+    assert len(got) == 4000
+    length, per = got[0].length, collections.Counter(r.sequence_id for r in got)
+    groups = collections.Counter()
+    for s, n in per.items():
+        groups[s >> 24] += n
+    assert max(groups.values()) < 200 or len(per) <= -(-4000 * length // p.capacity) + 1
+    assert all(n * length <= p.capacity for n in per.values())
+    assert {(r.sequence_id, r.offset) for r in got} == {(s, k * length) for s, n in per.items() for k in range(n)}

@@ -100,7 +100,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return sequence, offset
 
 
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, pick long"
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _piece_batches(path: str, p: Packing):
@@ -118,12 +118,11 @@ def _piece_batches(path: str, p: Packing):
                     total, step = len(ids) // 4, p.capacity
                     for k, start in enumerate(range(0, total, step)):
                         cut = ids[4 * start:4 * (start + step)]
-                        crc = zlib.crc32(cut)
-                        rows.append((doc, k, start, len(cut) // 4, crc, (crc * 2654435761 ^ (doc or 0) * 40503 ^ k) & 0x7FFFFFFF))
-                cols = list(zip(*rows)) or [[]] * 6
+                        rows.append((doc, k, start, len(cut) // 4, zlib.crc32(cut)))
+                cols = list(zip(*rows)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *[pa.array(c, pa.int64()) for c in cols[2:]]],
-                    ["doc_id", "piece", "start", "length", "ids_crc32", "pick"])
+                    ["doc_id", "piece", "start", "length", "ids_crc32"])
     return run
 
 
@@ -142,15 +141,16 @@ def _pack_group(p: Packing):
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, p: Packing = Packing()) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32`` (and ``pick``, a hash that deals them)."""
+    """One row per piece: ``doc_id, piece, start, length, ids_crc32``."""
     ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_piece_batches(tokenizer_path, p), _PIECES)
 
 
 def _packed(rest: DataFrame, p: Packing, turn: int) -> DataFrame:
+    """Packs rows of a written table, dealt by their numbers in it: equal rows spread over the groups like others."""
     n = rest.count()
     groups = max(1, -(-n // p.group_pieces))
-    dealt = rest.withColumn("grp", F.pmod(F.xxhash64("pick", "doc_id", "piece", F.lit(turn)), F.lit(groups)) * 2 + turn)
+    dealt = rest.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(turn)), F.lit(groups)) * 2 + turn)
     return dealt.groupBy("grp").applyInArrow(_pack_group(p), f"{_PIECES}, grp long, sequence_id long, offset long, fill long")
 
 
@@ -158,11 +158,11 @@ def pack(docs: DataFrame, tokenizer_path: str, p: Packing = Packing()) -> DataFr
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of all pieces of all rows."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     cut = scratch_table(pieces(docs, tokenizer_path, p), "pieces")
-    # a full piece's sequence id is negative: no two rows share (pick, place within the partition)
+    # a full piece's sequence id is negative: no two rows share a number
     full = cut.filter(F.col("length") == p.capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id()) \
               .withColumn("offset", F.lit(0).cast("long")).select(*names)
     first = scratch_table(_packed(cut.filter(F.col("length") < p.capacity), p, 0), "packed")
     done = F.col("fill") * 100 >= p.refill_percent * p.capacity
-    again = first.filter(~done).select("doc_id", "piece", "start", "length", "ids_crc32", "pick")
+    again = first.filter(~done).select("doc_id", "piece", "start", "length", "ids_crc32")
     second = _packed(again, p, 1)
     return full.unionByName(first.filter(done).select(*names)).unionByName(second.select(*names))
