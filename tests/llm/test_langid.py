@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, prose
-from tillflow.llm.langid import LangParams, Parser, fold, identify, normal_codes, suffix_automaton
+from tillflow.llm.langid import LangParams, Parser, fold, identify, normal_codes, sample_labelled, suffix_automaton
 
 TONGUES = {"xa": ["an", "ter", "the", "on", "sh"], "xb": ["ée", "ou", "que", "la", "ça"], "xc": ["ung", "ß", "der", "ich", "ö"]}
 
@@ -90,3 +90,11 @@ def test_no_labels_one_language_empty_table(spark, corpus):
     one = identify(df, df.withColumn("lang", F.lit("xq")))
     assert {(r.lang_pred, r.score) for r in one.collect()} == {("xq", 1.0)}
     assert identify(documents(spark, []), df).collect() == []
+
+
+def test_an_id_on_a_third_of_the_rows_stays_within_the_sample(spark, corpus):
+    rng = random.Random(5)
+    hot = [(7, "gleich", "s", "xc")] * 200 + [(8, prose(rng, 12, TONGUES["xa"]), "s", "xa") for _ in range(200)]
+    got = sample_labelled(documents(spark, corpus + hot), LangParams(sample_rows=10))
+    assert set(got) == set(TONGUES) and sum(map(len, got.values())) <= 4 * 10 * 3
+    assert all(len(set(v)) == len(v) for v in got.values())

@@ -17,11 +17,11 @@ blocks of ``block`` characters; a phrase does not cross a block border, for any
 language alike, so a text of any length is parsed whole in bounded memory.
 
 Training takes a bounded sample: about ``sample_rows`` labelled rows per
-language (by hash of the id), a window of at most ``sample_window`` characters
+language (by hash of id and text, equal rows once, never more than four times as many in all), a window of at most ``sample_window`` characters
 of each, and at most ``train_chars`` normalised characters per language.
 
 Edge cases: null, empty or letterless text is ``und`` with score 0. Rows whose
-label is null teach nothing. Without any labelled row every text is ``und``.
+label is null teach nothing. ``fold`` is null for a null doc_id. Without any labelled row every text is ``und``.
 With one learned language the score of a text with letters is 1. Repeated rows
 get equal results; extra columns are ignored; an empty table gives an empty
 result.
@@ -197,10 +197,13 @@ def sample_labelled(labelled: DataFrame, p: LangParams) -> dict[str, list[str]]:
     grid = 1 << 30
     limit = F.create_map(*[x for lang, n in counts.items()
                            for x in (F.lit(lang), F.lit(int(grid * min(1.0, p.sample_rows / n))))])[F.col("lang")]
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(grid))
+    key = F.xxhash64("doc_id", F.xxhash64("text"))
+    draw = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(grid))
     room = F.greatest(F.length("text") - p.sample_window, F.lit(0)) + 1
-    window = F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(6)), room) + 1).cast("int"), F.lit(p.sample_window))
-    got = rows.filter(draw < limit).select("lang", window.alias("w"), draw.alias("d")).collect()
+    window = F.substring("text", (F.pmod(F.xxhash64(key, F.lit(6)), room) + 1).cast("int"), F.lit(p.sample_window))
+    # equal rows count once; about sample_rows per language are drawn, and four times as many are the bound of what is collected
+    got = (rows.filter(draw < limit).select("lang", window.alias("w"), draw.alias("d")).distinct()
+           .orderBy("d", "lang", "w").limit(4 * p.sample_rows * len(counts)).collect())
     out: dict[str, list[str]] = {}
     for r in sorted(got, key=lambda r: (r["d"], r["w"])):
         out.setdefault(r["lang"], []).append(r["w"])
