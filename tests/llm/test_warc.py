@@ -82,3 +82,21 @@ def test_seek_table_layout():
 def test_payload_digest_and_empty_table(spark):
     assert payload_digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert read_bundles(write_bundles(pages(spark, []))).collect() == []
+
+
+def test_a_payload_of_a_third_of_the_pages_is_split(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.randbytes(100).hex(), "hot payload") if k % 3 == 0 else (k, "u", f"{k}") for k in range(3000)]
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        bundles = write_bundles(pages(spark, rows).repartition(16), Archive(least_bytes=1))
+        got = read_bundles(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted([tuple(r) for r in got], key=str) == brute(rows, 1)
+    assert bundles.count() > 8       # one per task: the hot payload is not in one of at most 8 shuffle partitions

@@ -173,7 +173,8 @@ def write_bundles(pages: DataFrame, p: Archive = Archive()) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce("html", F.lit("")).alias("html")) \
         .withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
-    newest = rows.filter(F.col("size") >= p.least_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("newest"))
+    # written first, so that the join can split a payload that a third of the pages share
+    newest = scratch_table(rows.filter(F.col("size") >= p.least_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("newest")), "newest")
     told = rows.join(newest, ["digest", "size"], "left").select(
         "page_id", "url", "html", F.when(F.col("page_id") < F.col("newest"), F.col("newest")).alias("refers_to"))
 
