@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.graph import Forest, components, work_units
-from tillflow.llm.runtime import drop_scratch, fresh, key_filter, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import drop_scratch, fresh, hits, key_bitmap, key_filter, scratch_table, ship, slices, text_buffer
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -265,6 +265,36 @@ def copy_classes(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     return scratch_table(found, "copies")
 
 
+def _band_rows(p: NearDup, wanted: tuple[bytes, int] | None = None):
+    """(row, bucket) per band of each text that has a word; only the buckets that hit ``wanted``."""
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole):
+                u, at = _sets(batch, p)
+                full = np.diff(at) > 0
+                bucket = _band_hashes(sketch(u, at, p.t), p).view(np.int64)[full].reshape(-1)
+                row = np.repeat(batch.column("row").to_numpy()[full], p.bands)
+                if wanted:
+                    met = hits(*wanted, pa.array(bucket))
+                    bucket, row = bucket[met], row[met]
+                yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(bucket, pa.int64())], ["row", "bucket"])
+    return run
+
+
+def lonely(docs: DataFrame, rows: DataFrame, p: NearDup = NearDup()) -> DataFrame:
+    """Those of ``rows`` (long ``row``, a ``row_key``) that share no band with another row of ``docs``: classes of their own.
+
+    ``near_duplicates`` links only what shares a band, so ``copy_classes`` leaves them alone too. Every
+    text is sketched, but only the bands that the asked rows have are shuffled.
+    """
+    keyed = docs.select(row_key().alias("row"), "text")
+    asked = keyed.mapInArrow(key_filter(rows, "row"), keyed.schema).join(rows, "row", "left_semi")
+    mine = scratch_table(asked.mapInArrow(_band_rows(p), "row long, bucket long").distinct(), "asked-bands")
+    met = keyed.mapInArrow(_band_rows(p, key_bitmap(mine, "bucket")), "row long, bucket long")
+    shared = met.groupBy("bucket").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("bucket")
+    return mine.select("row").distinct().join(mine.join(shared, "bucket").select("row"), "row", "left_anti")
+
+
 def drop_near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """One row of every near-duplicate class, that of its smallest doc_id; same columns.
 

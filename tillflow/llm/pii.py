@@ -17,10 +17,12 @@ Exact and edited copies of one document are one document in all of these counts
 Jobs: one scan finds entities and the words near them; pair counts are
 aggregations with map-side combination; n(t) is counted over all documents in a
 second scan that keeps only words hitting a bitmap of the candidate terms (a
-fixed 1 MB whatever their number), then joined exactly. Classes of copies are
-found only if some pair is in enough rows. The same scan counts the rows that are
-surely no copies, a lower bound of n(t): only for terms that the bound does not rule out a
-third scan lists the copies that hold them, to count a term once per class. No text is shuffled for it. ``sanitise`` joins the spans of affected rows back
+fixed 1 MB whatever their number), then joined exactly. Classes of copies over the whole
+corpus are found only if some pair may reach the threshold (``open_pairs``): copies among the rows that
+hold a pair bound n(e, t) from above, and rows of t that share no band with any other row bound n(t)
+from below. The scan for n(t) also counts the rows that are
+surely no copies, a closer bound: only for terms that it does not rule out one more
+scan lists the copies that hold them, to count a term once per class. No text is shuffled for it. ``sanitise`` joins the spans of affected rows back
 to the texts.
 
 Edge cases: null or empty text has no spans. Repeated rows get equal spans.
@@ -42,8 +44,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
-from tillflow.llm.minhash import copy_classes, row_key
-from tillflow.llm.runtime import drop_scratch, fresh, hits, key_bitmap, scratch_table, ship, slices, text_buffer
+from tillflow.llm.minhash import copy_classes, lonely, row_key
+from tillflow.llm.runtime import drop_scratch, fresh, hits, key_bitmap, key_filter, scratch_table, ship, slices, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = 4  # the kind number of a revealing term, listed behind the base kinds
@@ -233,13 +235,82 @@ def bitmap_of(terms: DataFrame) -> bytes:
     return cells.tobytes()
 
 
+LEVELS = 1 << 16
+
+
+def levels_of(terms: DataFrame) -> np.ndarray:
+    """Per slot of the terms' hashes the least ``level`` of its terms: at most LEVELS rows reach the driver."""
+    got = terms.groupBy(F.expr(f"term & {LEVELS - 1}").alias("slot")).agg(F.min("level").alias("level")).collect()
+    out = np.zeros(LEVELS, np.uint64)
+    for r in got:
+        out[r["slot"]] = r["level"]
+    return out
+
+
+def _some_rows(bitmap: bytes, levels: np.ndarray):
+    """(term, row) of the terms that hit the bitmap, in the rows whose hash begins with as many zero bits as the slot's level."""
+    def run(batches):
+        bits = np.frombuffer(bitmap, np.uint8)
+        for whole in batches:
+            for batch in slices(whole):
+                pair = _term_rows(batch, bits)
+                row = batch.column("row").to_numpy()[pair[1].astype(np.int64)]
+                level = levels[(pair[0] & np.uint64(LEVELS - 1)).astype(np.int64)]
+                take = (row.view(np.uint64) >> (np.uint64(63) - level)) >> np.uint64(1) == 0
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0][take].view(np.int64)), pa.array(row[take], pa.int64())], ["term", "row"])
+    return run
+
+
+def open_pairs(docs: DataFrame, near: DataFrame, by_row: DataFrame, p: Disclosure) -> DataFrame:
+    """``(entity, term)`` of the pairs of ``by_row`` that may reach the lower threshold; all others surely do not.
+
+    With a = log2 n(e, t), c = log2 n(t) and x = log2 N the disclosure is 1 - (c - a) / (x - log2 n(e)), at most
+    1 - (c - a) / x. Rows are no fewer than documents (x); classes of copies found among the pairs' own rows are
+    no fewer than those of the whole corpus (a); and rows of t that share no band with any row of the corpus
+    are documents of their own (c). Of each term's rows about four times as many are tried as would rule its pairs out:
+    this decides only which counts are made in full.
+    """
+    total = docs.count()
+    x = math.log2(max(total, 2))
+    asked = scratch_table(near.join(by_row.select("entity", "term"), ["entity", "term"]).select("row", "entity", "term").distinct(), "asked")
+    rows = asked.select("row").distinct()
+    keyed = docs.select("doc_id", "text", "text_key", row_key().alias("row"))
+    holders = scratch_table(keyed.mapInArrow(key_filter(rows, "row"), keyed.schema).join(rows, "row", "left_semi"), "holders")
+    classes = copy_classes(holders)
+    pairs = scratch_table(asked.join(classes.distinct(), "row").select("entity", "term", "class").distinct()
+                          .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("most")).filter(F.col("most") >= p.support), "some-pairs")
+    drop_scratch(asked, holders, classes)
+    if pairs.isEmpty():
+        return pairs.select("entity", "term")
+    terms = pairs.groupBy("term").agg(F.max("most").alias("most"))
+    bitmap = bitmap_of(terms)
+    keyed = docs.select(row_key().alias("row"), "text")
+    counts = keyed.mapInArrow(_count_words(bitmap), "term long, n long, sure long").groupBy("term").agg(F.sum("n").alias("n"))
+    need = F.col("most") * 2 ** (x * (1 - p.generalise))  # so many documents of t rule the pair out
+    level = F.least(F.greatest(F.floor(F.log2(F.col("n") / (4 * need))), F.lit(0)), F.lit(63)).cast("int")
+    # a term in fewer rows than that cannot be ruled out
+    tried = scratch_table(terms.join(counts, "term").filter(F.col("n") > need).select("term", level.alias("level")), "tried")
+    drawn = scratch_table(keyed.mapInArrow(_some_rows(bitmap_of(tried), levels_of(tried)), "term long, row long")
+                          .join(tried.select("term"), "term", "left_semi").distinct(), "drawn")
+    alone = lonely(docs, drawn.select("row").distinct())
+    sure = drawn.join(alone, "row").groupBy("term").agg(F.count(F.lit(1)).alias("sure"))
+    bound = 1 - (F.log2(F.col("sure")) - F.log2(F.col("most"))) / x
+    left = scratch_table(pairs.join(sure, "term", "left").filter(F.col("sure").isNull() | (bound >= p.generalise - 1e-9))
+                         .select("entity", "term"), "open-pairs")
+    drop_scratch(pairs, tried, drawn)
+    return left
+
+
 def disclosures(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure()) -> DataFrame:
     """``(entity, term, disclosure)`` of the pairs at or above the lower threshold."""
     near = found.filter(F.size("near") > 0).select(row_key().alias("row"), F.explode("near").alias("x")).select("row", "x.entity", "x.term")
     by_row = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= p.support)
-    if by_row.isEmpty():
+    by_row = scratch_table(by_row, "by-row")
+    wanted = by_row if by_row.isEmpty() or not p.merge_copies else open_pairs(docs, near, by_row, p)
+    if wanted.isEmpty():
         return near.select("entity", "term", F.lit(0.0).alias("disclosure")).filter("false")
     if p.merge_copies:
+        near = near.join(wanted.select("entity", "term"), ["entity", "term"], "left_semi")
         classes = copy_classes(docs)
         total = classes.select("class").distinct().count()
         # written first, so that a join can split a class that holds a third of the rows
