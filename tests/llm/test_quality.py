@@ -81,3 +81,43 @@ def test_an_id_on_a_third_of_the_rows_stays_within_the_sample(spark, corpus, mon
     monkeypatch.setattr("tillflow.llm.quality._newton", lambda d, *a: seen.append(len(d)) or np.zeros(d.shape[1]))
     model = fit(more, twice, F.lit(True), Ranking(sample_docs=20, pairs_per_doc=1))
     assert 0 < seen[0] <= 4 * 20 and np.isfinite(model.cut)
+
+
+def test_every_labelled_row_feeds_the_model(spark, corpus):
+    docs, labels, _ = corpus
+    few = Ranking(sample_docs=5, pairs_per_doc=2)
+    whole = fit(docs, labels, F.lit(True), few)
+    other = fit(docs, labels, F.lit(True), Ranking(sample_docs=400, pairs_per_doc=2))
+    # the rows of the first guess do not matter
+    assert np.allclose(whole.weight, other.weight, atol=1e-6) and abs(whole.cut - other.cut) < 1e-5 and np.array_equal(whole.mean, other.mean)
+
+    import pyarrow as pa
+    from tillflow.llm.quality import features
+
+    held = docs.join(labels.filter("quality in (0, 1)").dropna(), "doc_id").select("text", "quality").collect()
+    x = features(pa.RecordBatch.from_pydict({"text": [r.text for r in held]}))
+    y = np.array([r.quality for r in held])
+    assert np.allclose(whole.mean, x.mean(axis=0), atol=1e-9) and np.allclose(whole.scale[x.std(axis=0) > 1e-5], x.std(axis=0)[x.std(axis=0) > 1e-5], rtol=1e-5)
+    s = np.sort(whole.strength(x))
+    k = int((y == 0).sum())  # the share of label 0 lies below the cut
+    assert s[k - 1] <= whole.cut <= s[k] and abs(whole.cut - (s[k - 1] + s[k]) / 2) < 1e-9
+
+
+def test_cut_is_an_exact_weighted_quantile(spark):
+    from fractions import Fraction
+
+    from tillflow.llm.quality import _cut
+
+    rng = random.Random(2)
+    for trial in range(4):
+        rows = [(rng.randrange(2), rng.choice([rng.gauss(0, 1e-9), 5.0, rng.gauss(0, 100)]) if trial else 1.0) for _ in range(60)]
+        w = {0: Fraction(3, 2), 1: Fraction(1, 3)}
+        level = sum(w[q] for q, _ in rows) * Fraction(trial + 1, 5)
+        order = sorted(rows, key=lambda r: (r[1], r[0]))
+        run, k = Fraction(0), 0
+        for k, (q, _) in enumerate(order):
+            run += w[q]
+            if run >= level:
+                break
+        k = min(k, len(order) - 2)
+        assert _cut(spark.createDataFrame(rows, "quality long, s double"), w, level) == (order[k][1] + order[k + 1][1]) / 2

@@ -2,19 +2,23 @@
 
 A document's strength is linear in text features; a pair (better, worse) is
 won with the logistic of the difference of strengths, so fitting is logistic
-regression on feature differences without an intercept. Pairs are drawn
-between rows labelled 1 and rows labelled 0 of a bounded sample. The cut is a
-quantile of the training strengths: the share of label 0 among the eligible
-labelled rows. A strength maps to a score by the logistic, placed so that the
-cut has the score ``cut_score``.
-
-Only the text feeds a score. One pass over the sampled rows fits the model, one
-pass over all rows scores them; nothing is shuffled but the labels.
+regression on feature differences without an intercept. Every eligible labelled
+row takes part: each row of the larger label is paired with ``pairs_per_doc`` of
+the other one, round robin in hash order, so that the rows of the smaller label
+come up equally often. The loss is minimised over all pairs by Newton steps, a
+pass over the written pairs each; a few pairs only give the point it starts at.
+The cut is an exact quantile of all training strengths: the share of label 0
+among the eligible labelled rows. A strength maps to a score by the logistic,
+placed so that the cut has the score ``cut_score``.
+
+Only the text feeds a score. Sums are of integers (fixed point) or decimals, so
+the model does not depend on the order or the partitions of the rows. The
+features of labelled rows are shuffled, no text is.
 
 Edge cases: null or empty text has features of its own and is scored like any
 text. Labels that are null or not 0/1, or whose doc_id is null or missing from
 the documents, are unused; repeated labels count once, contradicting ones of one doc_id both; a labelled
-doc_id's equal rows count once, its different texts each, within the bound of the sample. ``not_held_out`` is null for a null doc_id. With
+doc_id's equal rows count once, its different texts each. ``not_held_out`` is null for a null doc_id. With
 labels of one kind only, or none, no pair exists: all strengths are 0 and every
 row gets ``cut_score``. Repeated rows get equal scores. Extra columns are
 ignored. An empty table gives an empty result.
@@ -23,20 +27,22 @@ ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.rules import base_measures, row_sums
-from tillflow.llm.runtime import ship, slices, text_buffer
+from tillflow.llm.runtime import drop_scratch, key_filter, scratch_table, ship, slices, text_buffer
 
 
 @dataclass(frozen=True)
 class Ranking:
-    """``sample_docs``: labelled rows used per label (expected number; four times it is the bound of the sample); ``pairs_per_doc``: pairs drawn for each."""
+    """``pairs_per_doc``: pairs of each row of the larger label; ``sample_docs``: rows of it whose pairs give the first guess of the weights."""
 
     sample_docs: int = 4000
     pairs_per_doc: int = 6
@@ -45,6 +51,14 @@ class Ranking:
     steps: int = 30
 
 
+def _linear(x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """``x @ weight``, by columns: a row's result does not depend on the rows beside it."""
+    out = np.zeros(len(x))
+    for column, w in zip(x.T, weight):
+        out += column * w
+    return out
+
+
 @dataclass(frozen=True)
 class RankModel:
     mean: np.ndarray
@@ -54,7 +68,8 @@ class RankModel:
     cut_score: float
 
     def strength(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weight
+        z = np.clip((x - self.mean) / self.scale, -8, 8)
+        return _linear(z, self.weight)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         z = self.strength(x) - self.cut + np.log(self.cut_score / (1 - self.cut_score))
@@ -101,12 +116,19 @@ def features(batch: pa.RecordBatch) -> np.ndarray:
 N_FEATURES = 16
 
 
+FEATURES = [f"f{i}" for i in range(N_FEATURES)]
+
+
+def _matrix(batch: pa.RecordBatch, names: list[str] = FEATURES) -> np.ndarray:
+    return np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+
+
 def _feature_batches(batches):
     for whole in batches:
         for batch in slices(whole):
             x = features(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(list(x), pa.list_(pa.float64())), batch.column("pick")],
-                                             ["quality", "x", "pick"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pick"), *[pa.array(c, pa.float64()) for c in x.T]],
+                                             ["doc_id", "pick", *FEATURES])
 
 
 def _newton(d: np.ndarray, ridge: float, steps: int) -> np.ndarray:
@@ -123,45 +145,153 @@ def _newton(d: np.ndarray, ridge: float, steps: int) -> np.ndarray:
     return w
 
 
+def _labelled(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(quality, pick, *FEATURES)``: every labelled text once per label, written."""
+    some = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
+    if all(dict(d.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint") for d in (some, rows)):
+        # spares the other rows their features; the join below is exact
+        some = some.mapInArrow(key_filter(rows.select("doc_id").distinct(), "doc_id"), some.schema)
+    picked = some.withColumn("pick", F.xxhash64("doc_id", "text"))
+    kinds = ", ".join(f"{f} double" for f in FEATURES)
+    x = picked.mapInArrow(_feature_batches, f"doc_id {dict(some.dtypes)['doc_id']}, pick long, {kinds}").dropDuplicates(["doc_id", "pick"])
+    return scratch_table(x.join(rows, "doc_id").select("quality", "pick", *FEATURES), "quality-rows")
+
+
+def _moments(data: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of every feature (1 where it does not vary), by sums of decimals: exact in any order."""
+    exact = lambda c: F.sum(c.cast("decimal(38,12)"))
+    got = data.agg(F.count(F.lit(1)).alias("n"), *[exact(F.col(f)).alias(f) for f in FEATURES]).first()
+    mean = np.array([float(got[f] / got["n"]) for f in FEATURES])
+    off = data.agg(*[exact((F.col(f) - F.lit(float(m))) * (F.col(f) - F.lit(float(m)))).alias(f) for f, m in zip(FEATURES, mean)]).first()
+    scale = np.sqrt([float(off[f] / got["n"]) for f in FEATURES])
+    return mean, np.where(scale > 1e-6, scale, 1.0)
+
+
+def _ranked(data: DataFrame, n: int) -> DataFrame:
+    """``data`` with ``rank``, from 0 within each label, in the order of a hash.
+
+    Hash buckets of some thousand rows are numbered by prefix sums over the buckets and a window inside each.
+    """
+    h = data.withColumn("_h", F.xxhash64("pick", F.lit(18))).withColumn("_bucket", F.pmod("_h", F.lit(max(1, n // 4096))))
+    earlier = Window.partitionBy("quality").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    begins = h.groupBy("quality", "_bucket").agg(F.count(F.lit(1)).alias("_n")) \
+              .select("quality", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
+    local = F.row_number().over(Window.partitionBy("quality", "_bucket").orderBy("_h", "pick", *FEATURES)) - 1
+    return h.withColumn("_local", local).join(begins, ["quality", "_bucket"]) \
+            .select("quality", (F.col("_begin") + F.col("_local")).alias("rank"), *FEATURES)
+
+
+def _pairs(data: DataFrame, sizes: dict, mean: np.ndarray, scale: np.ndarray, per_doc: int) -> DataFrame:
+    """``(rank, turn, *FEATURES)``: the scaled differences, better less worse; ``rank`` is that of the larger label's row."""
+    ranked = scratch_table(_ranked(data.select("quality", "pick", *[
+        F.least(F.greatest((F.col(f) - F.lit(float(m))) / F.lit(float(s)), F.lit(-8.0)), F.lit(8.0)).alias(f)
+        for f, m, s in zip(FEATURES, mean, scale)]), sum(sizes.values())), "quality-ranks")
+    large = int(sizes[1] >= sizes[0])
+    more = ranked.filter(F.col("quality") == large).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(per_doc - 1)))) \
+                 .withColumn("_other", F.pmod(F.col("rank") * per_doc + F.col("turn"), F.lit(sizes[1 - large])))
+    less = ranked.filter(F.col("quality") == 1 - large).select(F.col("rank").alias("_other"), *[F.col(f).alias(f"_{f}") for f in FEATURES])
+    sign = 1.0 if large == 1 else -1.0
+    out = scratch_table(more.join(less, "_other").select("rank", "turn", *[((F.col(f) - F.col(f"_{f}")) * sign).alias(f) for f in FEATURES]), "quality-pairs")
+    drop_scratch(ranked)
+    return out
+
+
+UNIT = float(1 << 40)
+_UPPER = np.triu_indices(N_FEATURES)
+
+
+def _slope(pairs: DataFrame, w: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the mean logistic loss of all pairs plus the ridge; a task returns its sums, in units of 2^-40."""
+    def run(batches):
+        total = [0] * (1 + N_FEATURES + len(_UPPER[0]))
+        for batch in batches:
+            d = _matrix(batch)
+            p = 1 / (1 + np.exp(np.clip(_linear(d, w), -500, 500)))
+            parts = [d * -p[:, None], d[:, _UPPER[0]] * d[:, _UPPER[1]] * (p * (1 - p))[:, None]]
+            sums = [len(d), *(int(v) for x in parts for v in np.rint(x * UNIT).astype(np.int64).sum(axis=0))]
+            total = [a + b for a, b in zip(total, sums)]
+        yield pa.RecordBatch.from_arrays([pa.array([[Decimal(t) for t in total]], pa.list_(pa.decimal128(38, 0)))], ["sums"])
+
+    got = pairs.select(*FEATURES).mapInArrow(run, "sums array<decimal(38,0)>").collect()  # one row per task
+    n, *sums = (sum(int(v) for v in column) for column in zip(*(r["sums"] for r in got)))
+    means = np.array([float(Fraction(v, n)) for v in sums]) / UNIT
+    h = np.zeros((N_FEATURES, N_FEATURES))
+    h[_UPPER] = means[N_FEATURES:]
+    h = h + np.triu(h, 1).T
+    return means[:N_FEATURES] + ridge * w, h + ridge * np.eye(N_FEATURES)
+
+
+def _minimise(pairs: DataFrame, w: np.ndarray, ridge: float, steps: int) -> np.ndarray:
+    """The weights of least loss over all pairs, by Newton steps from ``w``."""
+    for _ in range(steps):
+        g, h = _slope(pairs, w, ridge)
+        step = np.linalg.solve(h, g)
+        w = w - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+CUT_BINS = 4096
+
+
+def _cut(strengths: DataFrame, weight: dict, level: Fraction) -> float:
+    """Between the row at which the weights' running sum in order of ``s`` (equal ones: label 0 first) reaches ``level``, and the next.
+
+    Exact: the bin of that row is divided again until it holds one value; at most CUT_BINS rows reach the driver at a time.
+    """
+    ends = strengths.agg(F.min("s").alias("lo"), F.max("s").alias("hi")).first()
+    lo, hi, below, above = ends["lo"], ends["hi"], Fraction(0), None
+    while True:
+        part = strengths.filter(F.col("s").between(lo, hi))
+        # half of each end: their difference may be infinite
+        place = F.lit(0) if lo == hi else F.least(F.floor((F.col("s") / 2 - lo / 2) / (hi / 2 - lo / 2) * CUT_BINS), F.lit(CUT_BINS - 1))
+        bins = part.groupBy(place.alias("bin")).agg(F.count_if(F.col("quality") == 0).alias("n0"), F.count_if(F.col("quality") == 1).alias("n1"),
+                                                    F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("bin").collect()
+        for i, b in enumerate(bins):
+            mass = weight[0] * b["n0"] + weight[1] * b["n1"]
+            if below + mass >= level or i == len(bins) - 1:
+                break
+            below += mass
+        above = bins[i + 1]["lo"] if i + 1 < len(bins) else above
+        lo, hi = b["lo"], b["hi"]
+        if lo == hi:
+            break
+    if below + mass - weight[1 if b["n1"] else 0] >= level:
+        return lo  # the next row has the same strength
+    if above is None:
+        above, lo = (r["s"] for r in strengths.orderBy(F.desc("s")).limit(2).collect())
+    return (lo + above) / 2
+
+
 def fit(docs: DataFrame, labels: DataFrame, eligible, p: Ranking = Ranking()) -> RankModel:
-    """Fit on the labelled rows of ``labels`` (doc_id, quality) that ``eligible`` (a column) admits."""
+    """Fit on all labelled rows of ``labels`` (doc_id, quality) that ``eligible`` (a column) admits."""
     ship(docs.sparkSession)
     rows = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & eligible).select("doc_id", F.col("quality").cast("long").alias("quality")).distinct()
     counts = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     flat = RankModel(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, p.cut_score)
     if len(counts) < 2:
         return flat
-    grid = 1 << 20
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(grid))
-    rate = {q: min(1.0, p.sample_docs / n) for q, n in counts.items()}
-    chosen = rows.filter(draw < F.when(F.col("quality") == 1, int(rate[1] * grid)).otherwise(int(rate[0] * grid)))
-    # about 2 * sample_docs ids are drawn; twice as many are the bound of the broadcast, and of the rows that are collected
-    chosen = chosen.orderBy(draw, "doc_id", "quality").limit(4 * p.sample_docs)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text", F.xxhash64("doc_id", "text").alias("pick"))
-    got = (sample.mapInArrow(_feature_batches, "quality long, x array<double>, pick long").groupBy("quality", "pick").agg(F.first("x").alias("x"))
-           .orderBy(F.xxhash64("pick", F.lit(18)), "quality").limit(4 * p.sample_docs).collect())
-    x = np.array([r["x"] for r in got], float).reshape(len(got), N_FEATURES)
-    y = np.array([r["quality"] for r in got], int)
-    order = np.lexsort([*x.T, y])  # results do not depend on the order of arrival
-    x, y = x[order], y[order]
-    good, bad = x[y == 1], x[y == 0]
-    if not len(good) or not len(bad):
+    data = _labelled(docs, rows)
+    sizes = {r["quality"]: r["n"] for r in data.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        drop_scratch(data)
         return flat
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale > 1e-9, scale, 1.0)
-    z = np.clip((x - mean) / scale, -8, 8)
-    good, bad = z[y == 1], z[y == 0]
-    rng = np.random.default_rng(11)
-    n = max(len(good), len(bad)) * p.pairs_per_doc
-    d = good[rng.permutation(n) % len(good)] - bad[rng.permutation(n) % len(bad)]
-    model = RankModel(mean, scale, _newton(d, p.ridge, p.steps), 0.0, p.cut_score)
-    s = model.strength(x)
-    weight = np.where(y == 1, counts[1] / len(good), counts[0] / len(bad))  # the sample stands for all eligible rows
-    order = np.argsort(s, kind="stable")
-    mass = np.cumsum(weight[order])
-    level = mass[-1] * counts[0] / (counts[0] + counts[1])
-    k = min(int(np.searchsorted(mass, level)), len(s) - 2)
-    cut = (s[order][k] + s[order][k + 1]) / 2
+    mean, scale = _moments(data)
+    pairs = _pairs(data, sizes, mean, scale, p.pairs_per_doc)
+    # a first guess from a few pairs saves passes over all of them; the minimum does not depend on it
+    few = pairs.filter(F.col("rank") < p.sample_docs).orderBy("rank", "turn").select(*FEATURES).collect()
+    guess = _newton(np.array([tuple(r) for r in few], float), p.ridge, p.steps)
+    model = RankModel(mean, scale, _minimise(pairs, guess, p.ridge, p.steps), 0.0, p.cut_score)
+
+    def strengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(model.strength(_matrix(batch)), pa.float64())], ["quality", "s"])
+
+    s = scratch_table(data.mapInArrow(strengths, "quality long, s double"), "quality-strengths")
+    # texts of a label stand for all its eligible rows, also those without a document; the weights sum up to counts[0] + counts[1]
+    cut = _cut(s, {q: Fraction(counts[q], sizes[q]) for q in (0, 1)}, Fraction(counts[0]))
+    drop_scratch(data, pairs, s)
     return RankModel(mean, scale, model.weight, float(cut), p.cut_score)
 
 
