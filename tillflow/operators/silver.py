@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.functions import parse_ts
+from tillflow.session import bound_tasks
 from tillflow.sources.schemas import CANCELLATION, DEDUP_KEYS
 
 SURVIVOR_ORDER = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
@@ -40,6 +41,7 @@ def drop_replays(df: DataFrame, keys: list[str] = DEDUP_KEYS,
 
 def survivor(df: DataFrame, keys: list[str] = DEDUP_KEYS, order: list[str] = SURVIVOR_ORDER) -> Column:
     """Aggregate: the non-key columns of a group's earliest delivery, as a struct."""
+    bound_tasks(df.sparkSession)  # the aggregate sorts whole rows
     order = [c for c in order if c in df.columns]
     return F.min(F.struct(*order, *[c for c in df.columns if c not in keys and c not in order]))
 
