@@ -78,3 +78,36 @@ def test_hot_customer_gold_matches_brute_force(spark):
     clean = silver.silver_clean(silver.silver_typed(b))
     assert clean.count() == len(pd.DataFrame(messages).dropna(subset=["kullanici_ID", "description"])
                                 .drop_duplicates(["ilgili_ID", "stock_code", "kullanici_ID", "invoice_date", "quantity"]))
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gold_aggregates_have_number_buffers(spark):
+    b = decode(records(spark, _messages()), ingestion_time=F.lit(None).cast("timestamp"))
+    p, c = (spark.createDataFrame(t.collect(), t.schema) for t in silver.silver_tables(b))
+    for form in (gold.gold_features, gold.gold_features_joined):
+        plan = _plan(form(p, c))
+        assert "ObjectHashAggregate" not in plan and "mode(" not in plan and "HashAggregate" in plan
+
+
+def test_task_bounds_are_set_once_and_leave_chosen_ones(spark):
+    from tillflow import session
+
+    other = spark.newSession()
+    silver.survivor(other.createDataFrame([(1, 2)], "kullanici_ID long, x long"), ["kullanici_ID"])
+    assert {k: other.conf.get(k) for k in session.TASK_BOUNDS} == session.TASK_BOUNDS
+    chosen = spark.newSession()
+    chosen.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m")
+    session.bound_tasks(chosen)
+    assert chosen.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+    assert chosen.conf.get("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold") in ("0b", "0")
+
+
+def test_training_rows_are_gathered(spark):
+    from tillflow.operators import ml
+
+    wide = spark.range(0, 3000, numPartitions=60)
+    assert ml.gathered(wide).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert ml.gathered(spark.range(0, 100, numPartitions=2)).rdd.getNumPartitions() == 2 and ml.gathered(wide).count() == 3000

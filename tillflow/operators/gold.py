@@ -131,17 +131,39 @@ def future_spending(targ: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- whole tables
-def _feature_aggregates(on: Column) -> list[Column]:
-    """The aggregates of the feature rows marked by ``on`` (combined map-side; distinct counts by Expand)."""
-    ts = F.col("invoice_date")
-    where = lambda x: F.when(on, x)
-    return [F.min(where(ts)).alias("_first"), F.max(where(ts)).alias("_last"),
-            F.sum(where(F.col("total_price"))).alias("monetary"),
-            F.count_distinct(where(F.col("ilgili_ID"))).alias("frequency"),
-            F.count_distinct(where(F.col("stock_code"))).alias("unique_products"),
-            F.count_distinct(where(year_month(ts))).alias("active_months"),
-            F.mode(where(F.hour(ts)), True).alias("most_active_hour"),
-            F.mode(where(F.col("country")), True).alias("country")]
+def _per_customer(tagged: DataFrame) -> DataFrame:
+    """One row per customer with the aggregates of its rows tagged f / t / c (column ``_p``).
+
+    Distinct values are counted, and the modes found, from the rows of each (customer, value), five
+    grouping sets of one hash aggregate whose buffers are numbers: no sort, no map of values as a
+    buffer, and a customer holding a large share of rows is spread over many reducers by its values.
+    Those rows are summed up per customer (and country, of which the customer has a few), then per customer.
+    """
+    ts, on = F.col("invoice_date"), F.col("_p") == "f"
+    cells = tagged.select(K, "_p", "total_price", ts.alias("_ts"), F.col("ilgili_ID").alias("_invoice"), *[F.when(on, x).alias(n) for n, x in {
+        "_product": F.col("stock_code"), "_month": F.year(ts) * 12 + F.month(ts), "_hour": F.hour(ts), "_country": F.col("country")}.items()])
+    sets = [[K, "_p", "_invoice"], [K, "_product"], [K, "_month"], [K, "_hour"], [K, "_country"]]
+    columns = [K, "_p", "_invoice", "_product", "_month", "_hour", "_country"]
+    # the bit of a column is 0 in the sets that hold it
+    here = lambda c: F.col("_set").bitwiseAND(1 << (len(columns) - 1 - columns.index(c))) == 0
+    values = cells.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("_set"), F.count("*").alias("_n"), F.sum("total_price").alias("_s"), F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi"))
+    kind = lambda p: here("_invoice") & (F.col("_p") == p)
+    distinct = lambda c, cond: F.count_if(cond & F.col(c).isNotNull())
+    # the larger count first, then the smaller hour
+    busiest = F.max(F.when(here("_hour") & F.col("_hour").isNotNull(), F.col("_n") * 32 + (31 - F.col("_hour"))))
+    parts = values.groupBy(K, "_country").agg(
+        F.min(F.when(kind("f"), F.col("_lo"))).alias("_first"), F.max(F.when(kind("f"), F.col("_hi"))).alias("_last"),
+        F.sum(F.when(kind("f"), F.col("_s"))).alias("monetary"), F.sum(F.when(kind("t"), F.col("_s"))).alias("future_spending"),
+        distinct("_invoice", kind("f")).alias("frequency"), distinct("_invoice", kind("c")).alias("cancellation_count"),
+        distinct("_product", here("_product")).alias("unique_products"), distinct("_month", here("_month")).alias("active_months"),
+        busiest.alias("_busiest"), F.count_if(kind("f")).alias("_f"), F.count_if(kind("t")).alias("_t"),
+        F.sum(F.when(here("_country"), F.col("_n"))).alias("_rows"))
+    main = F.min(F.when(F.col("_country").isNotNull(), F.struct((-F.col("_rows")).alias("n"), F.col("_country").alias("c"))))
+    sums = ["monetary", "future_spending", "frequency", "cancellation_count", "unique_products", "active_months", "_f", "_t"]
+    return parts.groupBy(K).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), *[F.sum(c).alias(c) for c in sums],
+                                F.max("_busiest").alias("_busiest"), main["c"].alias("country")) \
+                .withColumn("most_active_hour", (31 - F.col("_busiest") % 32).cast("int"))
 
 
 def _finish(g: DataFrame, split: Column) -> DataFrame:
@@ -157,7 +179,7 @@ def gold_features_joined(purchases: DataFrame, cancellations: DataFrame,
     """C3 by joins: one aggregate of the feature rows, J1 with the cancellations, J2 with the target."""
     split = split if split is not None else split_column(purchases)
     feat, targ, canc = temporal_split(purchases, cancellations, split)
-    per_customer = feat.groupBy(K).agg(*_feature_aggregates(F.lit(True)))
+    per_customer = _per_customer(feat.select(*INPUT_COLUMNS, F.lit("f").alias("_p"))).drop("cancellation_count", "future_spending")
     fill = {"cancellation_count": 0} if require_target else {"cancellation_count": 0, "future_spending": 0.0}
     whole = (per_customer.join(cancellation_count(canc), K, "left")
              .join(future_spending(targ), K, "inner" if require_target else "left").fillna(fill))
@@ -185,21 +207,11 @@ def gold_features(purchases: DataFrame, cancellations: DataFrame,
 def aggregate_tagged(tagged: DataFrame, split: Column, require_target: bool = True) -> DataFrame:
     """The one-pass Gold aggregate over rows tagged f / t / c.
 
-    Sums, min/max and the two modes are combined map-side; each distinct
-    count is planned by Spark as an Expand keyed by (customer, value), so a
-    customer holding a large share of rows is still spread over many reducers.
+    All of them are combined map-side (see ``_per_customer``).
     """
-    tagged = tagged.filter(F.col("_p").isNotNull())
-    f, t, c = (F.col("_p") == x for x in ("f", "t", "c"))
-    g = tagged.groupBy(K).agg(
-        *_feature_aggregates(f),
-        F.count_distinct(F.when(c, F.col("ilgili_ID"))).alias("cancellation_count"),
-        F.sum(F.when(t, F.col("total_price"))).alias("future_spending"),
-        F.max(f).alias("_has_f"),
-        F.max(t).alias("_has_t"),
-    ).filter(F.col("_has_f"))
+    g = _per_customer(tagged.filter(F.col("_p").isNotNull())).filter(F.col("_f") > 0)
     if require_target:
-        g = g.filter(F.col("_has_t"))
+        g = g.filter(F.col("_t") > 0)
     else:
         g = g.withColumn("future_spending", F.coalesce("future_spending", F.lit(0.0)))
     return _finish(g, split)
