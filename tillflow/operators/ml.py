@@ -194,6 +194,21 @@ class Trained:
     started_at: dict = field(default_factory=dict)
 
 
+# Partitions of the training vectors: as many as there are cores, more only beyond so many rows each.
+ROWS_PER_PARTITION = 500_000
+
+
+def gathered(train: DataFrame) -> DataFrame:
+    """``train`` in few partitions.
+
+    Every pass of a tree fit sends, per partition, a histogram of each open node and feature to be merged (a
+    forest has tens of thousands of nodes), and starts a task; both grow with the partitions, not with the rows.
+    """
+    spark = train.sparkSession
+    most = max(spark.sparkContext.defaultParallelism, -(-train.count() // ROWS_PER_PARTITION))
+    return train.coalesce(most)
+
+
 def train_all(gold: DataFrame, models: list[str] | None = None) -> Trained:
     """Trim, split, fit the feature pipeline on train only, fit every model.
 
@@ -212,7 +227,7 @@ def train_all(gold: DataFrame, models: list[str] | None = None) -> Trained:
     pipe = feature_pipeline().fit(base.filter(F.col("split") == "train"))
     prepared = written(pipe.transform(base).select(CUSTOMER, TARGET, "split", "features"), "ml-vectors")
     train, test = (prepared.filter(F.col("split") == x) for x in ("train", "test"))
-    train = train.persist()
+    train = gathered(train).persist()
     out = Trained(prepared=prepared, predictions=None, pipeline=pipe)
     scored = []
     for name in models or list(MODEL_PARAMS):
