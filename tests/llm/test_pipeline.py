@@ -5,6 +5,7 @@ import random
 import subprocess
 import sys
 import tempfile
+import zlib
 
 import pytest
 
@@ -13,7 +14,7 @@ from tests.llm.helpers import documents, edit, prose
 from tests.llm.test_minhash import brute
 from tests.llm.test_pii import plain
 from tests.llm.test_quality import junk
-from tillflow.llm import minhash
+from tillflow.llm import minhash, quality
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +66,19 @@ def test_stages(spark, sf):
         map(tuple, docs.select("doc_id", "piece", "ids_crc32").collect()))
 
 
+def test_quality_stage_learns_from_every_labelled_row(spark, sf, monkeypatch):
+    folder, _, truth = sf
+    seen, slope = [], quality._slope
+    monkeypatch.setattr(quality, "_slope", lambda pairs, *a: (seen.append(pairs.count()), slope(pairs, *a))[1])
+    labels = quality.Ranking(sample_docs=2)
+    model = quality.fit(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"), quality.not_held_out(), labels)
+    learnt = [good for k, good in truth.items() if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert set(seen) == {max(sum(learnt), len(learnt) - sum(learnt)) * labels.pairs_per_doc} and model.weight.any()
+    seen.clear()
+    corpus_pipeline.quality_stage(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert len(set(seen)) == 1
+
+
 def test_near_dup_parameters():
     assert minhash.NearDup(words=5).least_agreement < 0.8 * 128
 
