@@ -121,3 +121,36 @@ def test_cut_is_an_exact_weighted_quantile(spark):
                 break
         k = min(k, len(order) - 2)
         assert _cut(spark.createDataFrame(rows, "quality long, s double"), w, level) == (order[k][1] + order[k + 1][1]) / 2
+
+
+def test_a_misleading_first_guess_does_not_change_the_model(spark, corpus, monkeypatch):
+    from tillflow.llm import quality
+
+    docs, labels, _ = corpus
+    last, slope = [], quality._slope
+    monkeypatch.setattr(quality, "_slope", lambda pairs, w, ridge: (last.append(slope(pairs, w, ridge)), last[-1])[1])
+    models = []
+    for guess in (0.0, -8.0, 30.0):
+        monkeypatch.setattr(quality, "_newton", lambda d, *a, g=guess: np.full(d.shape[1], g))
+        models.append(fit(docs, labels, not_held_out()))
+        assert np.abs(last[-1][0]).max() < 1e-6  # over all pairs the loss falls no further
+    for m in models[1:]:
+        assert np.allclose(m.weight, models[0].weight, atol=1e-6) and abs(m.cut - models[0].cut) < 1e-5
+    with pytest.raises(ArithmeticError):
+        fit(docs, labels, not_held_out(), Ranking(steps=1))
+
+
+def test_descent_from_the_pairs_of_mislabelled_rows():
+    from tillflow.llm.quality import _descend
+
+    rng = np.random.default_rng(1)
+    d = np.clip(rng.normal(rng.normal(0, 1, 16), 3, (2000, 16)), -16, 16)
+
+    def slope(w):
+        p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
+        return -(d * p[:, None]).mean(axis=0) + 1e-2 * w, (d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-2 * np.eye(16)
+
+    want, there = _descend(slope, np.zeros(16), 30)
+    assert there and np.abs(slope(want)[0]).max() < 1e-9
+    got, there = _descend(slope, _newton(-d[:6], 1e-2, 30), 30)
+    assert there and np.allclose(got, want, atol=1e-6)

@@ -6,7 +6,8 @@ regression on feature differences without an intercept. Every eligible labelled
 row takes part: each row of the larger label is paired with ``pairs_per_doc`` of
 the other one, round robin in hash order, so that the rows of the smaller label
 come up equally often. The loss is minimised over all pairs by Newton steps, a
-pass over the written pairs each; a few pairs only give the point it starts at.
+pass over the written pairs each, until it can fall no further; a few pairs only give
+the point it starts at, from which steps that run off are halved.
 The cut is an exact quantile of all training strengths: the share of label 0
 among the eligible labelled rows. A strength maps to a score by the logistic,
 placed so that the cut has the score ``cut_score``.
@@ -131,18 +132,33 @@ def _feature_batches(batches):
                                              ["doc_id", "pick", *FEATURES])
 
 
-def _newton(d: np.ndarray, ridge: float, steps: int) -> np.ndarray:
-    """Minimise the mean logistic loss of differences ``d`` (each a win) plus a ridge."""
-    w = np.zeros(d.shape[1])
+def _descend(slope, w: np.ndarray, steps: int) -> tuple[np.ndarray, bool]:
+    """From ``w`` to where the gradient vanishes, and whether it got there; ``slope(w)`` is (gradient, Hessian) of a strictly convex function.
+
+    Newton steps, halved until the gradient shrinks: whole ones may run off from a start far from the minimum.
+    """
+    g, h = slope(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
-        g = -(d * p[:, None]).mean(axis=0) + ridge * w
-        h = (d * (p * (1 - p))[:, None]).T @ d / len(d) + ridge * np.eye(len(w))
         step = np.linalg.solve(h, g)
-        w = w - step
         if np.abs(step).max() < 1e-8:
-            break
-    return w
+            return w - step, True
+        share, steep = 1.0, np.linalg.norm(g)
+        while True:
+            g, h = slope(w - share * step)
+            if np.linalg.norm(g) <= (1 - share / 4) * steep or share < 1e-6:
+                break
+            share /= 2
+        w = w - share * step
+    return w, False
+
+
+def _newton(d: np.ndarray, ridge: float, steps: int) -> np.ndarray:
+    """Minimise the mean logistic loss of differences ``d`` (each a win) plus a ridge."""
+    def slope(w):
+        p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
+        return -(d * p[:, None]).mean(axis=0) + ridge * w, (d * (p * (1 - p))[:, None]).T @ d / len(d) + ridge * np.eye(len(w))
+
+    return _descend(slope, np.zeros(d.shape[1]), steps)[0]
 
 
 def _labelled(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -222,13 +238,10 @@ def _slope(pairs: DataFrame, w: np.ndarray, ridge: float) -> tuple[np.ndarray, n
 
 
 def _minimise(pairs: DataFrame, w: np.ndarray, ridge: float, steps: int) -> np.ndarray:
-    """The weights of least loss over all pairs, by Newton steps from ``w``."""
-    for _ in range(steps):
-        g, h = _slope(pairs, w, ridge)
-        step = np.linalg.solve(h, g)
-        w = w - step
-        if np.abs(step).max() < 1e-8:
-            break
+    """The weights of least loss over all pairs, by Newton steps from ``w``; the minimum is one point, whatever ``w``."""
+    w, there = _descend(lambda v: _slope(pairs, v, ridge), w, steps)
+    if not there:
+        raise ArithmeticError(f"{steps} steps do not reach the least loss over all pairs")
     return w
 
 
@@ -279,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, eligible, p: Ranking = Ranking()) ->
         return flat
     mean, scale = _moments(data)
     pairs = _pairs(data, sizes, mean, scale, p.pairs_per_doc)
-    # a first guess from a few pairs saves passes over all of them; the minimum does not depend on it
+    # a first guess from a few pairs saves passes over all of them; the minimum, which is reached from any, does not depend on it
     few = pairs.filter(F.col("rank") < p.sample_docs).orderBy("rank", "turn").select(*FEATURES).collect()
     guess = _newton(np.array([tuple(r) for r in few], float), p.ridge, p.steps)
     model = RankModel(mean, scale, _minimise(pairs, guess, p.ridge, p.steps), 0.0, p.cut_score)
