@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import subprocess
 import sys
 import tempfile
@@ -14,7 +15,7 @@ from tests.llm.helpers import documents, edit, prose
 from tests.llm.test_minhash import brute
 from tests.llm.test_pii import plain
 from tests.llm.test_quality import junk
-from tillflow.llm import minhash, quality
+from tillflow.llm import graph, minhash, packing, pii, quality, rules, runtime
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +95,37 @@ def test_entry_imports_without_the_package():
             "assert not any(q.startswith('op') or q == 'pipeline' for q in e.queries()) and len(e.queries()) > 50\n")
     root = os.path.dirname(corpus_pipeline.__file__)
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
+def python_functions_per_stage(df):
+    """The most Python functions that one stage of the plan runs one after the other: each holds a worker for each task."""
+    above, most = [], 0
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        found = re.match(r"[ :]*(?:[+:]- )?(?:\*\(\d+\) )?(\w+)", line)
+        if not found:
+            continue
+        depth, node = len(re.match(r"[ :]*(?:[+:]- )?", line)[0]), found[1]
+        above = [x for x in above if x[0] < depth]
+        held = 0 if node.endswith("Exchange") else (above[-1][1] if above else 0) + bool(re.search("Arrow|Pandas|Python", node))
+        above.append((depth, held))
+        most = max(most, held)
+    return most
+
+
+def test_no_stage_holds_two_python_workers_per_task(spark, sf, monkeypatch):
+    folder, _, _ = sf
+    written, write = [], runtime.scratch_table
+
+    def noted(df, name):
+        written.append((name, python_functions_per_stage(df)))
+        return write(df, name)
+
+    for module in (corpus_pipeline, graph, minhash, packing, pii, quality, rules):
+        monkeypatch.setattr(module, "scratch_table", noted)
+    last = corpus_pipeline.run(spark, folder)
+    written.append(("result", python_functions_per_stage(last)))
+    assert {"quality-rows", "quality-classifier", "quality-rules", "profile", "holders", "sketch", "entities", "PII", "pieces"} <= {n for n, _ in written}
+    assert max(n for _, n in written) == 1, written
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    same = lambda batches: batches
+    assert python_functions_per_stage(docs.mapInArrow(same, docs.schema).filter("n_chars > 1").mapInArrow(same, docs.schema)) == 2

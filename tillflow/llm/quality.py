@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import arrays
 from tillflow.llm.rules import base_measures, row_sums
-from tillflow.llm.runtime import drop_scratch, key_filter, scratch_table, ship, slices, text_buffer
+from tillflow.llm.runtime import drop_scratch, hits, key_bitmap, scratch_table, ship, slices, text_buffer
 
 
 @dataclass(frozen=True)
@@ -124,12 +124,20 @@ def _matrix(batch: pa.RecordBatch, names: list[str] = FEATURES) -> np.ndarray:
     return np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
 
 
-def _feature_batches(batches):
-    for whole in batches:
-        for batch in slices(whole):
-            x = features(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pick"), *[pa.array(c, pa.float64()) for c in x.T]],
-                                             ["doc_id", "pick", *FEATURES])
+def _feature_batches(labelled: tuple[bytes, int] | None):
+    """Features of the rows whose doc_id may be among the bitmap's, or of all.
+
+    One function: a stage of two would hold two Python workers for each task, which Spark keeps for all later stages.
+    """
+    def run(batches):
+        for whole in batches:
+            if labelled:
+                whole = whole.filter(pa.array(hits(*labelled, whole.column("doc_id"))))
+            for batch in slices(whole):
+                x = features(batch)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pick"), *[pa.array(c, pa.float64()) for c in x.T]],
+                                                 ["doc_id", "pick", *FEATURES])
+    return run
 
 
 def _descend(slope, w: np.ndarray, steps: int) -> tuple[np.ndarray, bool]:
@@ -164,12 +172,12 @@ def _newton(d: np.ndarray, ridge: float, steps: int) -> np.ndarray:
 def _labelled(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``(quality, pick, *FEATURES)``: every labelled text once per label, written."""
     some = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
-    if all(dict(d.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint") for d in (some, rows)):
-        # spares the other rows their features; the join below is exact
-        some = some.mapInArrow(key_filter(rows.select("doc_id").distinct(), "doc_id"), some.schema)
+    # spares the other rows their features; the join below is exact
+    whole_ids = all(dict(d.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint") for d in (some, rows))
+    labelled = key_bitmap(rows.select("doc_id").distinct(), "doc_id") if whole_ids else None
     picked = some.withColumn("pick", F.xxhash64("doc_id", "text"))
     kinds = ", ".join(f"{f} double" for f in FEATURES)
-    x = picked.mapInArrow(_feature_batches, f"doc_id {dict(some.dtypes)['doc_id']}, pick long, {kinds}").dropDuplicates(["doc_id", "pick"])
+    x = picked.mapInArrow(_feature_batches(labelled), f"doc_id {dict(some.dtypes)['doc_id']}, pick long, {kinds}").dropDuplicates(["doc_id", "pick"])
     return scratch_table(x.join(rows, "doc_id").select("quality", "pick", *FEATURES), "quality-rows")
 
 
