@@ -145,9 +145,13 @@ def _per_customer(tagged: DataFrame) -> DataFrame:
     sets = [[K, "_p", "_invoice"], [K, "_product"], [K, "_month"], [K, "_hour"], [K, "_country"]]
     columns = [K, "_p", "_invoice", "_product", "_month", "_hour", "_country"]
     # the bit of a column is 0 in the sets that hold it
-    here = lambda c: F.col("_set").bitwiseAND(1 << (len(columns) - 1 - columns.index(c))) == 0
+    bit = lambda c: 1 << (len(columns) - 1 - columns.index(c))
+    here = lambda c: F.col("_set").bitwiseAND(bit(c)) == 0
+    # sums and times are those of invoices: in the rows of the other sets they would only be moved
+    of_invoice = F.grouping_id().bitwiseAND(bit("_invoice")) == 0
     values = cells.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
-        F.grouping_id().alias("_set"), F.count("*").alias("_n"), F.sum("total_price").alias("_s"), F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi"))
+        F.grouping_id().alias("_set"), F.count("*").alias("_n"), *[f(F.when(of_invoice, F.col(c))).alias(n) for f, c, n in [
+            (F.sum, "total_price", "_s"), (F.min, "_ts", "_lo"), (F.max, "_ts", "_hi")]])
     kind = lambda p: here("_invoice") & (F.col("_p") == p)
     distinct = lambda c, cond: F.count_if(cond & F.col(c).isNotNull())
     # the larger count first, then the smaller hour

@@ -48,8 +48,39 @@ def survivor(df: DataFrame, keys: list[str] = DEDUP_KEYS, order: list[str] = SUR
 
 def silver_clean(typed: DataFrame) -> DataFrame:
     """P8 + U2: customer and description present, replays removed."""
-    kept = typed.filter(F.col("kullanici_ID").isNotNull()).filter(F.col("description").isNotNull())
-    return drop_replays(kept)
+    return drop_replays(_complete(typed))
+
+
+def silver_clean_written(typed: DataFrame) -> DataFrame:
+    """``silver_clean`` for a written Bronze table, which is read again instead of moved (see ``drop_replays_of_written``)."""
+    return drop_replays_of_written(_complete(typed))
+
+
+def _complete(typed: DataFrame) -> DataFrame:
+    return typed.filter(F.col("kullanici_ID").isNotNull()).filter(F.col("description").isNotNull())
+
+
+# The bitmap of hashes that come more than once: 2^26 slots, one bit each, in rows of 2^15 (4 KB), 8 MB in all.
+SLOT_BITS, SLOT_BITS_IN_ROW = 26, 15
+
+
+def drop_replays_of_written(df: DataFrame, keys: list[str] = DEDUP_KEYS, order: list[str] = SURVIVOR_ORDER) -> DataFrame:
+    """``drop_replays`` for rows that are cheap to read again (a written table): only rows that may have copies are moved.
+
+    One exchange of 64-bit hashes of the keys finds those that come more than once; they are marked in a
+    bitmap of fixed size. Rows that hit no mark have no copy and stay in the task that reads them; the others (all copies of
+    a key hit the same mark) go through ``drop_replays``. Where very many keys repeat the marks tell less and more rows are moved.
+    """
+    slot = F.col("_hash").bitwiseAND((1 << SLOT_BITS) - 1)
+    row, bit = F.shiftright(slot, SLOT_BITS_IN_ROW), slot.bitwiseAND((1 << SLOT_BITS_IN_ROW) - 1)
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    repeated = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    marks = repeated.groupBy(row.alias("_row")).agg(F.bitmap_construct_agg(bit).alias("_marks"))
+    byte = F.conv(F.hex(F.substring("_marks", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = byte.bitwiseAND(F.expr("shiftleft(1, cast(_hash & 7 as int))")) != 0
+    found = hashed.withColumn("_row", row).join(F.broadcast(marks), "_row", "left").withColumn("_may", F.coalesce(marked, F.lit(False)))
+    alone = found.filter(~F.col("_may")).select(*df.columns)
+    return alone.unionByName(drop_replays(found.filter("_may").select(*df.columns), keys, order))
 
 
 def is_purchase() -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import SparkSession
 from tillflow.operators import gold, ml, silver
 from tillflow.sources import store
 from tillflow.sources.schemas import DEFAULT_TOPIC
-from tillflow.sources.tables import bronze_batch
+from tillflow.sources.tables import bronze_batch, in_share, read_table
 from tillflow.streaming import bronze as stream
 
 SILVER_FOLDER = "silver"
@@ -34,9 +34,21 @@ SILVER_TABLES = {"purchases": "silver_purchases", "cancellations": "silver_cance
 # folder inside the lake -> table name
 LAYERS = {"bronze": "bronze", **{f"{SILVER_FOLDER}/{silver.SILVER_TABLE}={v}": t for v, t in SILVER_TABLES.items()}, "gold": "gold"}
 
+# A job that moves all its rows writes them share after share, each of so many rows at least, so that the exchanges
+# of one share at a time lie on disk. Every share reads the job's input again, so their number does not grow with it.
+MAX_SHARES, SHARE_ROWS = 4, 4_000_000
+
+
+def shares(rows: int, fmt: str = "parquet") -> list[tuple[int, int]]:
+    """The shares (i, n) that a job of so many rows is written in; one for Delta, where each write is a version of its own."""
+    n = 1 if fmt == "delta" else max(1, min(MAX_SHARES, rows // SHARE_ROWS))
+    return [(i, n) for i in range(n)]
+
+
 def bronze_job(spark: SparkSession, sf_dir: str, lake: str, fmt: str = "parquet") -> int:
-    """C1 in batch form: the fixture feed decoded into the Bronze table."""
-    return store.publish(bronze_batch(spark, sf_dir), lake, "bronze", fmt)
+    """C1 in batch form: the fixture feed decoded into the Bronze table, by shares of the orders."""
+    parts = shares(read_table(spark, sf_dir, "lineitem").count(), fmt)
+    return store.publish([bronze_batch(spark, sf_dir, share=s) for s in parts], lake, "bronze", fmt)
 
 
 def bronze_stream_job(spark: SparkSession, lake: str, source: str, feed: str | None = None, bootstrap: str | None = None,
@@ -52,11 +64,12 @@ def silver_job(spark: SparkSession, lake: str, fmt: str = "parquet") -> dict:
 
     The cleaned rows are tagged with their table and written once, partitioned
     by the tag: one evaluation of the de-duplication and one write for both
-    tables (the original job re-ran the de-duplication per action). Rows are
+    tables (the original job re-ran the de-duplication per action). Bronze is read
+    again rather than moved (``silver.drop_replays_of_written``). Rows are
     sorted by time inside each file (a local sort, no shuffle), so Parquet
     min/max statistics let Gold's literal time bound skip row groups.
     """
-    clean = silver.silver_clean(silver.silver_typed(store.read_layer(spark, lake, "bronze", fmt)))
+    clean = silver.silver_clean_written(silver.silver_typed(store.read_layer(spark, lake, "bronze", fmt)))
     tagged = silver.with_silver_table(clean).sortWithinPartitions(silver.SILVER_TABLE, "invoice_date")
     return store.publish_split(tagged, lake, SILVER_FOLDER, silver.SILVER_TABLE, SILVER_TABLES, fmt)
 
@@ -67,11 +80,13 @@ def read_silver(spark: SparkSession, lake: str, table: str, fmt: str = "parquet"
 
 
 def gold_job(spark: SparkSession, lake: str, fmt: str = "parquet", require_target: bool = True) -> int:
-    """Silver tables -> Gold, with the split computed once and used as a literal."""
+    """Silver tables -> Gold, with the split computed once and used as a literal, by shares of the customers."""
     p = read_silver(spark, lake, "silver_purchases", fmt)
     c = read_silver(spark, lake, "silver_cancellations", fmt)
     split = gold.split_column(p)
-    return store.publish(gold.gold_features_joined(p, c, split, require_target), lake, "gold", fmt)
+    parts = [gold.gold_features_joined(in_share(p, gold.K, s), in_share(c, gold.K, s), split, require_target)
+             for s in shares(p.count() + c.count(), fmt)]
+    return store.publish(parts, lake, "gold", fmt)
 
 
 def train_job(spark: SparkSession, lake: str, fmt: str = "parquet", model_dir: str | None = None,

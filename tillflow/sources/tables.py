@@ -25,9 +25,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet"
     return spark.read.format(fmt).load(path)
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, share: tuple[int, int] = (0, 1)) -> DataFrame:
     """Source transactions (8 columns) derived from the driver tables.
 
+    ``share`` (i, n) gives the i-th of n disjoint shares of the orders, by a hash of the order key; all of them together are the whole.
+
     lineitem is the large side. Orders are enriched with customer and nation
     first (an order-level join), then joined to the lines on the order key and
     to part on the part key. The planner picks the strategies: it broadcasts
@@ -37,6 +39,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li, od = in_share(li, "l_orderkey", share), in_share(od, "o_orderkey", share)
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -67,6 +70,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_share(df: DataFrame, key: str, share: tuple[int, int]) -> DataFrame:
+    """The i-th of n disjoint shares of a frame's rows by a hash of ``key`` (nulls are in one of them)."""
+    i, n = share
+    return df if n == 1 else df.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i)
+
+
 def load_union(*frames: DataFrame) -> DataFrame:
     """Concatenate source sheets, rename the header positionally, parse the date."""
     out = None
@@ -99,14 +108,14 @@ def to_messages(tx: DataFrame, sent_at: F.Column | None = None) -> DataFrame:
     )
 
 
-def bronze_batch(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC) -> DataFrame:
+def bronze_batch(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC, share: tuple[int, int] = (0, 1)) -> DataFrame:
     """Bronze rows as the streaming ingest would write them, built in batch.
 
     Broker metadata is deterministic: partition from the message key (the
     customer, as the producer keys messages), offset from the feed position,
     broker time = invoice time.
     """
-    msgs = to_messages(transactions(spark, sf_dir))
+    msgs = to_messages(transactions(spark, sf_dir, share))
     key = F.coalesce(F.col("kullanici_ID"), F.lit(0))
     ts = parse_ts("invoice_date")
     return msgs.select(
