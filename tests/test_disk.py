@@ -82,8 +82,9 @@ def test_shares_are_the_whole(spark, monkeypatch):
     assert len(jobs.shares(10**12)) == jobs.MAX_SHARES
     lakes = [tempfile.mkdtemp(prefix="tillflow-shares-") for _ in range(2)]
     counts = [jobs.run_all(spark, SF, lakes[0])]
-    monkeypatch.setattr(jobs, "SHARE_ROWS", 500)
-    assert len(jobs.shares(spark.read.parquet(f"{SF}/lineitem.parquet").count())) > 1
+    monkeypatch.setattr(jobs, "SHARE_BYTES", 10_000)
+    assert len(jobs.shares(store.stored_bytes(spark, f"{SF}/lineitem.parquet"))) > 1
+    assert len(jobs.shares(store.stored_bytes(spark, os.path.join(lakes[0], jobs.SILVER_FOLDER)))) > 1
     counts.append(jobs.run_all(spark, SF, lakes[1]))
     assert counts[0] == counts[1] and all(counts[0].values())
     for layer in ("bronze", "silver", "gold"):

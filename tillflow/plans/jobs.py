@@ -26,7 +26,7 @@ from pyspark.sql import SparkSession
 from tillflow.operators import gold, ml, silver
 from tillflow.sources import store
 from tillflow.sources.schemas import DEFAULT_TOPIC
-from tillflow.sources.tables import bronze_batch, in_share, read_table
+from tillflow.sources.tables import bronze_batch, in_share
 from tillflow.streaming import bronze as stream
 
 SILVER_FOLDER = "silver"
@@ -34,20 +34,20 @@ SILVER_TABLES = {"purchases": "silver_purchases", "cancellations": "silver_cance
 # folder inside the lake -> table name
 LAYERS = {"bronze": "bronze", **{f"{SILVER_FOLDER}/{silver.SILVER_TABLE}={v}": t for v, t in SILVER_TABLES.items()}, "gold": "gold"}
 
-# A job that moves all its rows writes them share after share, each of so many rows at least, so that the exchanges
-# of one share at a time lie on disk. Every share reads the job's input again, so their number does not grow with it.
-MAX_SHARES, SHARE_ROWS = 4, 4_000_000
+# A job that moves all its rows writes them share after share, each of so many bytes of its input at least, so that the
+# exchanges of one share at a time lie on disk. Every share reads the input again, so their number does not grow with it.
+MAX_SHARES, SHARE_BYTES = 4, 32 << 20
 
 
-def shares(rows: int, fmt: str = "parquet") -> list[tuple[int, int]]:
-    """The shares (i, n) that a job of so many rows is written in; one for Delta, where each write is a version of its own."""
-    n = 1 if fmt == "delta" else max(1, min(MAX_SHARES, rows // SHARE_ROWS))
+def shares(size: int, fmt: str = "parquet") -> list[tuple[int, int]]:
+    """The shares (i, n) that a job over so many bytes of files is written in; one for Delta, where each write is a version."""
+    n = 1 if fmt == "delta" else max(1, min(MAX_SHARES, size // SHARE_BYTES))
     return [(i, n) for i in range(n)]
 
 
 def bronze_job(spark: SparkSession, sf_dir: str, lake: str, fmt: str = "parquet") -> int:
     """C1 in batch form: the fixture feed decoded into the Bronze table, by shares of the orders."""
-    parts = shares(read_table(spark, sf_dir, "lineitem").count(), fmt)
+    parts = shares(store.stored_bytes(spark, os.path.join(sf_dir, "lineitem.parquet")), fmt)
     return store.publish([bronze_batch(spark, sf_dir, share=s) for s in parts], lake, "bronze", fmt)
 
 
@@ -85,7 +85,7 @@ def gold_job(spark: SparkSession, lake: str, fmt: str = "parquet", require_targe
     c = read_silver(spark, lake, "silver_cancellations", fmt)
     split = gold.split_column(p)
     parts = [gold.gold_features_joined(in_share(p, gold.K, s), in_share(c, gold.K, s), split, require_target)
-             for s in shares(p.count() + c.count(), fmt)]
+             for s in shares(store.stored_bytes(spark, os.path.join(lake, SILVER_FOLDER)), fmt)]
     return store.publish(parts, lake, "gold", fmt)
 
 
